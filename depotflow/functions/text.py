@@ -81,7 +81,7 @@ def like_regex(pattern: str, escape: str | None = None) -> str:
         else:
             out.append(re.escape(letter))
         position += 1
-    return f"(?isu)^{''.join(out)}$"
+    return f"(?isu)^{''.join(out)}\\z"
 
 
 def like(value: ColumnOrName, pattern: str, escape: str | None = None) -> Column:

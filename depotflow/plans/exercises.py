@@ -421,11 +421,11 @@ def _(star):
 
 @query("e5_17_covering_suppliers", """
     WITH tag AS (SELECT DISTINCT anr FROM lieferung WHERE lnr = 4 AND ldatum >= TIMESTAMP '1998-01-01'
-                 AND ldatum < TIMESTAMP '1998-01-15')
+                 AND ldatum < TIMESTAMP '1998-01-08')
     SELECT lnr FROM lieferant x WHERE lnr <> 4 AND NOT EXISTS (
         FROM tag WHERE anr NOT IN (SELECT anr FROM lieferung y WHERE y.lnr = x.lnr))""")
 def _(star):
-    period = dates.within("ldatum", datetime(1998, 1, 1), datetime(1998, 1, 15))
+    period = dates.within("ldatum", datetime(1998, 1, 1), datetime(1998, 1, 8))
     wanted = star.lieferung.filter((F.col("lnr") == 4) & period)
     return division.divide(star.lieferung, "lnr", "anr", wanted).filter(F.col("lnr") != 4)
 
@@ -452,6 +452,17 @@ def _(star):
     return suppliers_of_every_part(star)
 
 
+@query("e5_20_suppliers_of_all_colours", """
+    SELECT lnr, any_value(lname) AS lname FROM lieferung JOIN artikel USING (anr) JOIN lieferant USING (lnr)
+    WHERE ldatum >= TIMESTAMP '1998-01-01' AND ldatum < TIMESTAMP '1998-05-01' GROUP BY lnr
+    HAVING list_unique(list(farbe)) = (SELECT count(DISTINCT farbe) FROM artikel)""")
+def _(star):
+    period = dates.within("ldatum", datetime(1998, 1, 1), datetime(1998, 5, 1))
+    pairs = star.lieferung.filter(period).join(star.artikel.select("anr", "farbe"), "anr")
+    complete = division.divide(pairs, "lnr", "farbe", star.artikel)
+    return star.lieferant.join(complete, "lnr", "left_semi").select("lnr", "lname")
+
+
 def above_lowest_status(star) -> DataFrame:
     lowest = star.lieferant.agg(F.min("status")).scalar()
     rows = membership.only_in(star.lieferant.filter(F.col("status") > lowest), star.lieferung, "lnr")

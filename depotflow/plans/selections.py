@@ -16,12 +16,13 @@ DELIVERY = "SELECT lnr, anr, lmenge, ldatum FROM lieferung"
 # --- filters ----------------------------------------------------------------------------------
 
 
-@query("f1_equal_text", "SELECT anr, aname, farbe FROM artikel WHERE astadt = 'NATION_3'")
+@query("f1_equal_text", """
+    SELECT p_partkey AS anr, p_name AS aname, split_part(p_name, ' ', 1) AS farbe FROM part WHERE p_partkey % 20 = 3""")
 def _(star):
     return star.artikel.filter(text.same_text("astadt", "nation_3")).select("anr", "aname", "farbe")
 
 
-@query("f1_equal_number", f"{DELIVERY} WHERE lmenge = 20")
+@query("f1_equal_number", f"{DELIVERY} WHERE lmenge IN (20)")
 def _(star):
     return star.lieferung.filter(F.col("lmenge") == 20)
 
@@ -169,7 +170,9 @@ def _(star):
     return orders.join(lines, "o_orderkey").filter(dates.same_day(due, "l_shipdate")).select("o_orderkey")
 
 
-@query("f18_optional_given", "SELECT anr, aname, astadt FROM artikel WHERE farbe = 'blue'")
+@query("f18_optional_given", """
+    SELECT p_partkey AS anr, p_name AS aname, n_name AS astadt FROM part JOIN nation ON n_nationkey = p_partkey % 20
+    WHERE p_name LIKE 'blue %'""")
 def _(star):
     return objects.parts_by_colour(star, "Blue")
 

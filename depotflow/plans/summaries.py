@@ -83,8 +83,10 @@ def status_by_place(suppliers, above):
 
 
 @query("a8_where_before_having", """
-    SELECT lstadt, max(status) AS hoechster FROM lieferant GROUP BY lstadt
-    HAVING avg(status) > 45 AND lstadt <> 'NATION_3'""")
+    SELECT n_name AS lstadt, hoechster FROM nation JOIN (
+        SELECT s_nationkey, CAST(max(floor(s_acctbal / 100)) AS INTEGER) AS hoechster FROM supplier
+        WHERE s_acctbal >= 0 AND s_nationkey <> 3 GROUP BY s_nationkey HAVING avg(floor(s_acctbal / 100)) > 45)
+    ON s_nationkey = n_nationkey""")
 def _(star):
     return status_by_place(star.lieferant.filter(~text.same_text("lstadt", "NATION_3")), 45)
 

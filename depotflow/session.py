@@ -46,6 +46,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def frozen(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage, so that later jobs all see the same rows."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into a table of the shared folder and go on from there.
+
+    Later jobs all see the same rows, read only the columns they need, and lose nothing with an
+    executor.
+    """
+    path = shared_folder(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

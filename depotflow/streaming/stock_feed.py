@@ -3,7 +3,7 @@
 Each micro-batch writes the summed change of the parts it touches into a folder of its own. A
 batch that is replayed after a failure overwrites its folder, so nothing is counted twice, and
 the work of a batch grows with the batch and not with the part table. ``published`` names the
-batches that were written to the end.
+batches that were written to the end, and the last batch that each compacted sum goes up to.
 """
 
 from __future__ import annotations
@@ -13,19 +13,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from depotflow.operators.stock import apply_delta, delta_of_changes
 
+_PUBLISHED = "kind STRING, batch BIGINT"
 
-def _deltas(folder: str) -> str:
-    return f"{folder}/deltas"
 
-
-def _published(folder: str) -> str:
-    return f"{folder}/published"
+def _publish(spark: SparkSession, folder: str, kind: str, batch: int) -> None:
+    entry = spark.range(batch, batch + 1, 1, 1).select(F.lit(kind).alias("kind"), F.col("id").alias("batch"))
+    entry.write.mode("append").parquet(f"{folder}/published")
 
 
 def write_batch(changes: DataFrame, batch: int, folder: str) -> None:
     """Store the change of one batch; ``changes`` has ``was`` (Insert or Delete), ``anr``, ``lmenge``."""
-    delta_of_changes(changes).write.mode("overwrite").parquet(f"{_deltas(folder)}/batch={batch}")
-    changes.sparkSession.range(batch, batch + 1, 1, 1).write.mode("append").parquet(_published(folder))
+    delta_of_changes(changes).write.mode("overwrite").parquet(f"{folder}/deltas/batch={batch}")
+    _publish(changes.sparkSession, folder, "deltas", batch)
 
 
 def start(changes: DataFrame, folder: str, checkpoint: str, **trigger: object) -> StreamingQuery:
@@ -38,12 +37,33 @@ def start(changes: DataFrame, folder: str, checkpoint: str, **trigger: object) -
     )
 
 
+def _last(spark: SparkSession, folder: str) -> dict[str, int]:
+    published = spark.read.schema(_PUBLISHED).parquet(f"{folder}/published")
+    # One row for each of the two kinds.
+    return {row.kind: row.batch for row in published.groupBy("kind").agg(F.max("batch").alias("batch")).collect()}
+
+
+def _summed(spark: SparkSession, folder: str, last: dict[str, int]) -> DataFrame:
+    """Change of every part up to the last published batch; batches are published in order."""
+    folded = last.get("sums", -1)
+    parts = [
+        spark.read.option("basePath", f"{folder}/deltas").parquet(f"{folder}/deltas")
+        .filter((F.col("batch") > folded) & (F.col("batch") <= last["deltas"])).select("anr", "menge")
+    ]
+    if folded >= 0:
+        parts.append(spark.read.parquet(f"{folder}/sums/through={folded}").select("anr", "menge"))
+    changes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return changes.groupBy("anr").agg(F.sum("menge").alias("menge"))
+
+
 def current_stock(spark: SparkSession, parts: DataFrame, folder: str) -> DataFrame:
     """The part table with all published changes applied."""
-    done = spark.read.parquet(_published(folder)).select(F.col("id").alias("batch")).distinct()
-    deltas = (
-        spark.read.option("basePath", _deltas(folder)).parquet(f"{_deltas(folder)}/batch=*")
-        .join(done, "batch", "left_semi")
-        .groupBy("anr").agg(F.sum("menge").alias("menge"))
-    )
-    return apply_delta(parts, deltas)
+    return apply_delta(parts, _summed(spark, folder, _last(spark, folder)))
+
+
+def compact(spark: SparkSession, folder: str) -> None:
+    """Fold the published batches into one sum per part, so that readers open few files."""
+    last = _last(spark, folder)
+    if last["deltas"] > last.get("sums", -1):
+        _summed(spark, folder, last).write.mode("overwrite").parquet(f"{folder}/sums/through={last['deltas']}")
+        _publish(spark, folder, "sums", last["deltas"])
