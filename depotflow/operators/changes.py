@@ -135,12 +135,12 @@ def route_joined_feed(
 
     Each key that the dimension lacks is added once; every row of the feed becomes a fact.
     """
-    described = feed.select(*dimension.columns)
-    # One description per key, the same whichever task sees it first.
+    # The feed repeats a description with every fact; the repeats go before anything is shuffled.
+    described = feed.select(*dimension.columns).distinct()
     rest = [name for name in dimension.columns if name != key]
-    first = described.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
-    fresh = not_matched(first, dimension, key).select(key, "_row.*").select(*dimension.columns)
-    return fresh, feed.select(*fact.columns)
+    # Of several descriptions of a key the smallest is taken, whichever task sees it first.
+    fresh = not_matched(described, dimension, key).groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    return fresh.select(key, "_row.*").select(*dimension.columns), feed.select(*fact.columns)
 
 
 def refuse_all(rows: DataFrame, reason: str) -> DataFrame:

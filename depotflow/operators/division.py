@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from depotflow.session import frozen
+
 
 def divide(pairs: DataFrame, candidate: str, element: str, wanted: DataFrame) -> DataFrame:
     """Candidates paired with every ``element`` of ``wanted``; all candidates if it is empty.
 
-    Pairs are reduced before they meet ``wanted``. Each distinct pair then carries a mark, and the
-    count of marks is compared with the size of ``wanted``.
+    The wanted elements are written down first, so that Spark knows how many bytes they are when
+    it chooses between sending them to all tasks and shuffling. Pairs with other elements are
+    dropped before the rest is reduced and counted.
     """
-    elements = wanted.select(element).distinct()
-    size = elements.agg(F.count("*")).scalar()
+    elements = frozen(wanted.select(element).distinct())
+    size = elements.count()
+    if size == 0:
+        return pairs.select(candidate).distinct()
     return (
-        pairs.select(candidate, element).distinct()
-        .join(elements.withColumn("_wanted", F.lit(1)), element, "left")
-        .groupBy(candidate).agg(F.count("_wanted").alias("_covered"))
+        pairs.select(candidate, element)
+        .join(elements, element, "left_semi")
+        .groupBy(candidate).agg(F.countDistinct(element).alias("_covered"))
         .filter(F.col("_covered") == size)
         .select(candidate)
     )

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.functions.text import like, text_in
+from depotflow.session import frozen
 
 
 @dataclass(frozen=True)
@@ -62,41 +63,51 @@ def validate(rows: DataFrame, rules: Rules, existing: DataFrame | None = None) -
 
     Only ``rows`` are judged; ``existing`` rows count for unique keys and are taken as they are.
     All rows that share a key are rejected, as a set-based insert would reject them.
+
+    For each key rule the offending key values are found first, from reduced key columns, and
+    written down. They are few as a rule; Spark sees how many bytes they are and shuffles the whole
+    rows only if they are many.
     """
     judged = broken_checks(rows, rules)
     for name, columns in rules.keys.items():
-        judged = _mark(judged, name, columns, _taken(rows, columns, existing), "left")
+        judged = _mark(judged, name, columns, frozen(_taken(rows, columns, existing)))
     for name, key in rules.foreign_keys.items():
-        parent = key.parent.select(*[F.col(p).alias(c) for p, c in zip(key.parent_columns, key.columns)]).distinct()
-        judged = _mark_orphans(judged, name, key.columns, parent)
+        judged = _mark(judged, name, key.columns, frozen(_orphan_keys(rows, key)))
     accepted = judged.filter(F.size("verletzt") == 0).drop("verletzt")
     return accepted, judged.filter(F.size("verletzt") > 0)
 
 
-def _taken(rows: DataFrame, columns: tuple[str, ...], existing: DataFrame | None) -> DataFrame:
-    taken = duplicate_keys(rows, columns).select(*columns)
-    if existing is not None:
-        taken = taken.union(existing.select(*columns)).distinct()
-    return taken
+def _renamed(keys: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    return keys.select(*[F.col(c).alias(f"_{c}") for c in columns])
 
 
-def _mark(judged: DataFrame, name: str, columns: tuple[str, ...], keys: DataFrame, how: str) -> DataFrame:
-    renamed = keys.select(*[F.col(c).alias(f"_{c}") for c in columns], F.lit(True).alias("_hit"))
+def _same(columns: tuple[str, ...]) -> Column:
+    """Equal key values, NULL being equal to NULL."""
     condition = F.lit(True)
     for c in columns:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    marked = judged.join(renamed, condition, how)
-    return _append(marked, name, F.col("_hit")).drop("_hit", *[f"_{c}" for c in columns])
+    return condition
+
+
+def _taken(rows: DataFrame, columns: tuple[str, ...], existing: DataFrame | None) -> DataFrame:
+    """Key values that occur more than once in ``rows`` or that ``existing`` rows have already."""
+    counted = rows.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    if existing is None:
+        return counted.filter("_rows > 1").select(*columns)
+    old = _renamed(existing, columns).distinct().withColumn("_old", F.lit(True))
+    known = counted.join(old, _same(columns), "left")
+    return known.filter("_rows > 1 OR _old").select(*columns)
 
 
-def _mark_orphans(judged: DataFrame, name: str, columns: tuple[str, ...], parent: DataFrame) -> DataFrame:
-    marked = judged.join(parent.withColumn("_hit", F.lit(True)), list(columns), "left")
-    return _append(marked, name, F.col("_hit").isNull() & _known(columns)).drop("_hit").select(*judged.columns)
+def _orphan_keys(rows: DataFrame, key: ForeignKey) -> DataFrame:
+    return orphans(rows.select(*key.columns).distinct(), key)
 
 
-def _append(df: DataFrame, name: str, broken: Column) -> DataFrame:
+def _mark(judged: DataFrame, name: str, columns: tuple[str, ...], offending: DataFrame) -> DataFrame:
+    marked = judged.join(_renamed(offending, columns).withColumn("_hit", F.lit(True)), _same(columns), "left")
     longer = F.array_append("verletzt", F.lit(name))
-    return df.withColumn("verletzt", F.when(broken, longer).otherwise(F.col("verletzt")))
+    told = F.when(F.col("_hit"), longer).otherwise(F.col("verletzt"))
+    return marked.withColumn("verletzt", told).select(*judged.columns)
 
 
 # --- the rules of the model -------------------------------------------------------------------

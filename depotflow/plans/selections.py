@@ -192,7 +192,8 @@ def _(star):
 
 @query("o1_two_keys", "SELECT anr, aname, astadt FROM artikel")
 def _(star):
-    return star.artikel.select("anr", "aname", "astadt").orderBy(F.asc("aname"), F.desc("astadt"))
+    # The part number behind the two keys lets rows with equal names and places spread over tasks.
+    return star.artikel.select("anr", "aname", "astadt").orderBy(F.asc("aname"), F.desc("astadt"), "anr")
 
 
 @query("o2_alias", "SELECT anr AS artikelnummer, astadt AS lagerort FROM artikel")
@@ -203,7 +204,7 @@ def _(star):
 
 @query("o3_position", "SELECT anr, aname, farbe FROM artikel")
 def _(star):
-    return star.artikel.select("anr", "aname", "farbe").orderBy(2, F.desc("farbe"))
+    return star.artikel.select("anr", "aname", "farbe").orderBy(2, F.desc("farbe"), 1)
 
 
 @query("o4_sorted_union", """

@@ -191,4 +191,4 @@ def _(star):
     SELECT 999 + row_number() OVER (ORDER BY ldatum, lnr, anr, lmenge) AS nr, lnr, anr, lmenge, ldatum FROM lieferung""")
 def _(star):
     order = [F.col(name) for name in ("ldatum", "lnr", "anr", "lmenge")]
-    return numbering.number_rows(star.lieferung, order, "nr", start=1000)
+    return numbering.number_rows(star.lieferung, order, "nr", start=1000, unique=False)
