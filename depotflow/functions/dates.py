@@ -99,7 +99,7 @@ def age_sentence(value: ColumnOrName, as_of: Column) -> Column:
     days = days_between(value, as_of)
     years = F.call_function("div", days, F.lit(365))
     rest = (days.cast("decimal(12,4)") % F.lit("365.25").cast("decimal(12,4)")).cast("double")
-    months = F.floor(rest / F.lit(30.4375))
+    months = (rest / F.lit(30.4375)).cast("int")
     return F.concat(F.lit("vor "), years.cast("string"), F.lit(" Jahren und "), months.cast("string"), F.lit(" Monaten."))
 
 

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def only_in(df: DataFrame, other: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``other``; keys are reduced before they are shuffled."""
+def only_in(df: DataFrame, other: DataFrame, on: str | list[str], unique: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``other``.
+
+    The keys of ``other`` are reduced before they meet ``df``; where they are unique in it already
+    (a dimension), ``unique`` saves that shuffle.
+    """
     keys = [on] if isinstance(on, str) else on
-    return df.join(other.select(*keys).distinct(), keys, "left_semi")
+    wanted = other.select(*keys)
+    return df.join(wanted if unique else wanted.distinct(), keys, "left_semi")
 
 
 def where_exists(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
@@ -39,13 +46,20 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) ->
     return rows.join(keys, F.col(column) == F.col("_key"), "left_anti")
 
 
-def in_cascade(df: DataFrame, *levels: tuple[DataFrame, str]) -> DataFrame:
-    """Nested IN, from the outer level to the inner one: each is a table and the key it is asked for."""
-    *outer, (found, key) = levels
-    for table, outer_key in reversed(outer):
-        found = only_in(table, found, key)
-        key = outer_key
-    return only_in(df, found, key)
+class Level(NamedTuple):
+    """One level of a nested IN: a table, the key it is asked for, and whether that key is unique."""
+
+    table: DataFrame
+    key: str
+    unique: bool = False
+
+
+def in_cascade(df: DataFrame, *levels: Level) -> DataFrame:
+    """Nested IN, from the outer level to the inner one."""
+    *outer, inner = levels
+    for level in reversed(outer):
+        inner = level._replace(table=only_in(level.table, *inner))
+    return only_in(df, *inner)
 
 
 def count_unequal(df: DataFrame, other: DataFrame, on: str, name: str) -> DataFrame:

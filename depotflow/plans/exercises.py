@@ -205,8 +205,8 @@ def parts_of_busy_suppliers(star, year: int, month: int, at_least: int) -> DataF
     busy = star.lieferung.groupBy("lnr").agg(F.count("lnr").alias("anzahl")).filter(F.col("anzahl") >= at_least)
     return membership.in_cascade(
         star.artikel,
-        (star.lieferung.filter(dates.in_month("ldatum", year, month)), "anr"),
-        (busy, "lnr"),
+        membership.Level(star.lieferung.filter(dates.in_month("ldatum", year, month)), "anr"),
+        membership.Level(busy, "lnr", unique=True),
     ).select("anr", "aname")
 
 
@@ -261,7 +261,7 @@ def _(star):
 def repeated_parts_of_busy_suppliers(star, times: int, more_than: int) -> DataFrame:
     """Parts delivered so many times by suppliers with more than so many deliveries."""
     busy = star.lieferung.groupBy("lnr").agg(F.count("lnr").alias("anzahl")).filter(F.col("anzahl") > more_than)
-    theirs = membership.only_in(star.lieferung, busy, "lnr")
+    theirs = membership.only_in(star.lieferung, busy, "lnr", unique=True)
     repeated = theirs.groupBy("anr").agg(F.count("anr").alias("mal")).filter(F.col("mal") >= times)
     return star.artikel.join(repeated, "anr", "left_semi").select("anr", "aname")
 
@@ -341,7 +341,7 @@ def _(star):
 @query("e5_6_deliveries_from_city", """
     SELECT d.lnr, d.anr, d.lmenge, d.ldatum FROM lieferung d JOIN lieferant s ON s.lnr = d.lnr AND s.lstadt = 'NATION_3'""")
 def _(star):
-    return membership.only_in(star.lieferung, star.lieferant.filter(objects.at_place("NATION_3")), "lnr")
+    return membership.only_in(star.lieferung, star.lieferant.filter(objects.at_place("NATION_3")), "lnr", unique=True)
 
 
 @query("e5_7_same_place", """

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from depotflow.functions import dates, numbers, text
-from depotflow.operators import audit, changes, stock, validation
+from depotflow.operators import audit, changes, receipt, stock, validation
 from depotflow.plans import objects
 from depotflow.plans.registry import query
 from depotflow.session import shared_folder
@@ -365,6 +365,36 @@ def _(star):
     return validation.validate(star.lieferung, delivery_checks(star))[0]
 
 
+def receipt_of(star):
+    """The deliveries since 2000 arrive as a batch on top of the older ones."""
+    older = star.lieferung.filter(~dates.since("ldatum", datetime(2000, 1, 1)))
+    batch = star.lieferung.filter(dates.since("ldatum", datetime(2000, 1, 1)))
+    return receipt.receive(
+        star.lieferant, star.artikel, older, batch, 7, STAMP, F.lit("lager"), rules=delivery_checks(star)
+    )
+
+
+RECEIVED = f"""{JUDGED}, neu AS (
+    SELECT anr, CAST(sum(lmenge) AS BIGINT) AS m FROM urteil
+    WHERE verletzt = '' AND ldatum >= TIMESTAMP '2000-01-01' GROUP BY anr)"""
+
+
+@query("d9_checked_receipt", f"""
+    {RECEIVED} SELECT a.anr, aname, farbe, gewicht, astadt, CAST(amenge + coalesce(m, 0) AS INTEGER) AS amenge
+    FROM artikel a LEFT JOIN neu ON neu.anr = a.anr""")
+def _(star):
+    return receipt_of(star).parts
+
+
+@query("d8_receipt_log", f"""
+    {RECEIVED} SELECT 7 AS lfdnr, TIMESTAMP '2002-01-15' AS wann, 'lager' AS wer, 'Update' AS was,
+                      CAST(a.anr AS VARCHAR) AS primaerschluessel, CAST(amenge + m AS VARCHAR) AS neuer_wert,
+                      CAST(amenge AS VARCHAR) AS alter_wert
+    FROM artikel a JOIN neu ON neu.anr = a.anr""")
+def _(star):
+    return receipt_of(star).log
+
+
 @query("d21_default", f"{SUPPLIER} UNION ALL {NEW}, 'Gotha' FROM customer")
 def _(star):
     return changes.insert(star.lieferant, new_suppliers(star), defaults={"lstadt": "Gotha"})

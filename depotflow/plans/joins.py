@@ -186,8 +186,8 @@ def _(star):
 def coloured_deliverers(star, place, colours, moment):
     return membership.in_cascade(
         star.lieferant.filter(objects.at_place(place)),
-        (star.lieferung.filter(dates.after("ldatum", moment)), "lnr"),
-        (star.artikel.filter(text.text_in("farbe", *colours)), "anr"),
+        membership.Level(star.lieferung.filter(dates.after("ldatum", moment)), "lnr"),
+        membership.Level(star.artikel.filter(text.text_in("farbe", *colours)), "anr", unique=True),
     )
 
 
@@ -262,8 +262,8 @@ def _(star):
 
 
 def coloured_deliveries(star, place, colours):
-    by_supplier = membership.only_in(star.lieferung, star.lieferant.filter(objects.at_place(place)), "lnr")
-    return membership.only_in(by_supplier, star.artikel.filter(text.text_in("farbe", *colours)), "anr")
+    by_supplier = membership.only_in(star.lieferung, star.lieferant.filter(objects.at_place(place)), "lnr", unique=True)
+    return membership.only_in(by_supplier, star.artikel.filter(text.text_in("farbe", *colours)), "anr", unique=True)
 
 
 @query("j26_same_value_as", """

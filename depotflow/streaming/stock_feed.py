@@ -8,11 +8,16 @@ batches that were written to the end, and the last batch that each compacted sum
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from depotflow.operators.stock import apply_delta, delta_of_changes
 
+# Splits a batch into accepted and rejected rows.
+Check = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
 _PUBLISHED = "kind STRING, batch BIGINT"
 
 
@@ -21,16 +26,24 @@ def _publish(spark: SparkSession, folder: str, kind: str, batch: int) -> None:
     entry.write.mode("append").parquet(f"{folder}/published")
 
 
-def write_batch(changes: DataFrame, batch: int, folder: str) -> None:
-    """Store the change of one batch; ``changes`` has ``was`` (Insert or Delete), ``anr``, ``lmenge``."""
+def write_batch(changes: DataFrame, batch: int, folder: str, check: Check | None = None) -> None:
+    """Store the change of one batch; ``changes`` has ``was`` (Insert or Delete), ``anr``, ``lmenge``.
+
+    With ``check`` only the accepted rows count, and the rejected ones are stored beside them.
+    """
+    if check is not None:
+        changes, rejected = check(changes)
+        rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch}")
     delta_of_changes(changes).write.mode("overwrite").parquet(f"{folder}/deltas/batch={batch}")
     _publish(changes.sparkSession, folder, "deltas", batch)
 
 
-def start(changes: DataFrame, folder: str, checkpoint: str, **trigger: object) -> StreamingQuery:
+def start(
+    changes: DataFrame, folder: str, checkpoint: str, check: Check | None = None, **trigger: object
+) -> StreamingQuery:
     """Run the feed; by default until everything that is there has been read."""
     return (
-        changes.writeStream.foreachBatch(lambda df, batch: write_batch(df, batch, folder))
+        changes.writeStream.foreachBatch(lambda df, batch: write_batch(df, batch, folder, check))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

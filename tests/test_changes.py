@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from depotflow.operators import audit, changes, stock, validation
+from depotflow.operators import audit, changes, receipt, stock, validation
 from depotflow.plans import jobs, objects
 from depotflow.sources import schema, star as model
 
@@ -92,6 +92,17 @@ def test_stock_edges(star):
     assert [(r.anr, r.verletzt) for r in broken.collect()] == [("A01", ["amenge_chk"])]
 
 
+def test_receipt(star, rows):
+    batch = model.delivery_rows(star.spark, [
+        ("L03", "A06", 500, "2022-06-30"), ("L44", "A06", 1, "2022-06-30"), ("L01", "A01", 9, "1990-05-18")])
+    done = receipt.receive(star.lieferant, star.artikel, star.lieferung, batch, 3, datetime(2022, 6, 30), F.lit("ich"))
+    assert rows(done.accepted, "lnr", "anr") == [("L03", "A06")]
+    assert verdicts(done.rejected) == {"L44": ["lnr_fs"], "L01": ["lief_ps"]}
+    assert done.deliveries.count() == 13
+    assert rows(done.parts.filter("anr = 'A06'"), "amenge") == [(1000,)]
+    assert rows(done.log, "was", "primaerschluessel", "neuer_wert", "alter_wert") == [("Update", "A06", "1000", "500")]
+
+
 def test_routing(star, rows):
     feed = star.spark.createDataFrame([
         ("L10", "Krause", 10, "Erfurt", "A03", 500, datetime(2022, 6, 30)),

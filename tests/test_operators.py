@@ -117,7 +117,7 @@ def test_cascade_of_levels(spark):
     b = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "x int, y int")
     c = spark.createDataFrame([(10, 5), (20, 6)], "y int, z int")
     d = spark.createDataFrame([(6,)], "z int")
-    assert [r.x for r in membership.in_cascade(a, (b, "x"), (c, "y"), (d, "z")).collect()] == [2]
+    assert [r.x for r in membership.in_cascade(a, *(membership.Level(*l) for l in ((b, "x"), (c, "y"), (d, "z", True)))).collect()] == [2]
 
 
 def test_hot_join_key_is_split(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from depotflow.functions import dates
-from depotflow.operators import stock
+from depotflow.operators import stock, validation
 from depotflow.session import frozen, shared_folder
 from depotflow.sources import readers, sinks, star as model
 from depotflow.streaming import stock_feed
@@ -131,6 +131,21 @@ def test_replayed_batch_counts_once(star):
     assert levels(stock_feed.current_stock(spark, star.artikel, folder))["A06"] == 1000
 
 
+def test_feed_with_check(star, tmp_path):
+    spark = star.spark
+    batch = changes_of(spark, ("Insert", "A06", 500), ("Insert", "A99", 1), ("Insert", "A06", 0))
+    batch.coalesce(1).write.parquet(str(tmp_path / "in"))
+    key = validation.ForeignKey(("anr",), star.artikel, ("anr",))
+    rules = validation.Rules(checks={"lmenge_chk": F.col("lmenge") >= 1}, foreign_keys={"anr_fs": key})
+    folder = shared_folder(spark, "feed")
+    feed = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
+    check = lambda rows: validation.validate(rows, rules)
+    stock_feed.start(feed, folder, f"{folder}/fortschritt", check).awaitTermination()
+    assert levels(stock_feed.current_stock(spark, star.artikel, folder))["A06"] == 1000
+    refused = spark.read.parquet(f"{folder}/rejected/batch=0").collect()
+    assert sorted((r.anr, r.verletzt) for r in refused) == [("A06", ["lmenge_chk"]), ("A99", ["anr_fs"])]
+
+
 def test_unfinished_batch_is_not_seen(star):
     spark = star.spark
     folder = shared_folder(spark, "feed")
