@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.functions.text import like, text_in
-from depotflow.session import frozen
+from depotflow.session import frozen_all
 
 
 @dataclass(frozen=True)
@@ -68,11 +68,12 @@ def validate(rows: DataFrame, rules: Rules, existing: DataFrame | None = None) -
     written down. They are few as a rule; Spark sees how many bytes they are and shuffles the whole
     rows only if they are many.
     """
+    offending = {name: (columns, _taken(rows, columns, existing)) for name, columns in rules.keys.items()}
+    offending |= {name: (key.columns, _orphan_keys(rows, key)) for name, key in rules.foreign_keys.items()}
+    written = frozen_all([keys for _columns, keys in offending.values()])
     judged = broken_checks(rows, rules)
-    for name, columns in rules.keys.items():
-        judged = _mark(judged, name, columns, frozen(_taken(rows, columns, existing)))
-    for name, key in rules.foreign_keys.items():
-        judged = _mark(judged, name, key.columns, frozen(_orphan_keys(rows, key)))
+    for (name, (columns, _keys)), keys in zip(offending.items(), written):
+        judged = _mark(judged, name, columns, keys)
     accepted = judged.filter(F.size("verletzt") == 0).drop("verletzt")
     return accepted, judged.filter(F.size("verletzt") > 0)
 

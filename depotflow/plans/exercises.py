@@ -170,7 +170,7 @@ def _(star):
 
 @query("e4_0b_delivered_parts", "SELECT p_partkey AS anr, p_name AS aname FROM part SEMI JOIN lineitem ON l_partkey = p_partkey")
 def delivered_parts(star):
-    return membership.only_in(star.artikel, star.lieferung, "anr").select("anr", "aname")
+    return membership.only_in(star.only("artikel", "anr", "aname"), star.lieferung, "anr")
 
 
 @query("e4_0c_coloured_deliverers", """
@@ -204,10 +204,10 @@ def parts_of_busy_suppliers(star, year: int, month: int, at_least: int) -> DataF
     """
     busy = star.lieferung.groupBy("lnr").agg(F.count("lnr").alias("anzahl")).filter(F.col("anzahl") >= at_least)
     return membership.in_cascade(
-        star.artikel,
+        star.only("artikel", "anr", "aname"),
         membership.Level(star.lieferung.filter(dates.in_month("ldatum", year, month)), "anr"),
         membership.Level(busy, "lnr", unique=True),
-    ).select("anr", "aname")
+    )
 
 
 @query("e4_2_parts_of_busy_suppliers", """
@@ -232,7 +232,7 @@ def last_delivered_with(star, number) -> DataFrame:
     """Parts whose last delivery has the date of another part's last delivery."""
     last = star.lieferung.filter(F.col("anr") == F.lit(number)).agg(F.max("ldatum")).scalar()
     latest = star.lieferung.groupBy("anr").agg(F.max("ldatum").alias("letzte")).filter(F.col("letzte") == last)
-    return star.artikel.join(latest, "anr", "left_semi").select("anr", "aname")
+    return star.only("artikel", "anr", "aname").join(latest, "anr", "left_semi")
 
 
 @query("e4_4_same_last_day", """
@@ -245,7 +245,7 @@ def _(star):
 def suppliers_of_every_part(star) -> DataFrame:
     """Suppliers with as many different parts as there are."""
     complete = division.with_every(star.lieferung, "lnr", "anr", star.artikel)
-    return star.lieferant.join(complete, "lnr", "left_semi").select("lnr", "lname")
+    return star.only("lieferant", "lnr", "lname").join(complete, "lnr", "left_semi")
 
 
 EVERY_PART = """
@@ -263,7 +263,7 @@ def repeated_parts_of_busy_suppliers(star, times: int, more_than: int) -> DataFr
     busy = star.lieferung.groupBy("lnr").agg(F.count("lnr").alias("anzahl")).filter(F.col("anzahl") > more_than)
     theirs = membership.only_in(star.lieferung, busy, "lnr", unique=True)
     repeated = theirs.groupBy("anr").agg(F.count("anr").alias("mal")).filter(F.col("mal") >= times)
-    return star.artikel.join(repeated, "anr", "left_semi").select("anr", "aname")
+    return star.only("artikel", "anr", "aname").join(repeated, "anr", "left_semi")
 
 
 @query("e4_6_repeated_parts", """
@@ -460,7 +460,7 @@ def _(star):
     period = dates.within("ldatum", datetime(1998, 1, 1), datetime(1998, 5, 1))
     pairs = star.lieferung.filter(period).join(star.artikel.select("anr", "farbe"), "anr")
     complete = division.divide(pairs, "lnr", "farbe", star.artikel)
-    return star.lieferant.join(complete, "lnr", "left_semi").select("lnr", "lname")
+    return star.only("lieferant", "lnr", "lname").join(complete, "lnr", "left_semi")
 
 
 def above_lowest_status(star) -> DataFrame:
@@ -481,7 +481,7 @@ def _(star):
     SELECT a.anr, a.aname FROM artikel a JOIN m ON m.anr = a.anr JOIN m g ON g.anr = 6 WHERE m.mittel < g.mittel""")
 def _(star):
     low = summaries.below_average_of(star.lieferung, 6)
-    return star.artikel.join(low, "anr").select("anr", "aname")
+    return star.only("artikel", "anr", "aname").join(low, "anr")
 
 
 def city_deliveries_since(star, place: str, moment: datetime) -> DataFrame:

@@ -11,7 +11,7 @@ from depotflow.operators import audit, changes, receipt, stock, validation
 from depotflow.plans import objects
 from depotflow.plans.registry import query
 from depotflow.session import shared_folder
-from depotflow.sources import sinks
+from depotflow.sources import schema, sinks
 from depotflow.streaming import stock_feed
 
 SUPPLIER = "SELECT lnr, lname, status, lstadt FROM lieferant"
@@ -156,8 +156,7 @@ def _(star):
 
 @query("d9_stock_stream", stock_sql("CASE l_returnflag WHEN 'R' THEN -l_quantity ELSE l_quantity END"))
 def _(star):
-    stored = star.raw("lineitem").schema
-    feed = star.spark.readStream.schema(stored).parquet(f"{star.folder}/lineitem*.parquet").select(
+    feed = star.spark.readStream.schema(schema.STORED["lineitem"]).parquet(f"{star.folder}/lineitem*.parquet").select(
         F.when(F.col("l_returnflag") == "R", "Delete").otherwise("Insert").alias("was"),
         F.col("l_partkey").alias("anr"), F.col("l_quantity").cast("int").alias("lmenge"),
     )

@@ -111,7 +111,7 @@ def _(star):
 
 def deliveries_per_supplier(star):
     counts = star.lieferung.groupBy("lnr").agg(F.count("*").alias("anz"))
-    return star.lieferant.select("lnr", "lname").join(counts, "lnr")
+    return star.only("lieferant", "lnr", "lname").join(counts, "lnr")
 
 
 REPORT = """SELECT lnr, any_value(lname) AS lname, count(*) AS anz

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from depotflow.sources import schema
 
@@ -42,22 +42,55 @@ DELIVERIES = [
 ]
 
 
-@dataclass(frozen=True)
 class Star:
-    """The three tables of one data set."""
-
-    spark: SparkSession
-    lieferant: DataFrame
-    artikel: DataFrame
-    lieferung: DataFrame
-    folder: str | None = None
+    """The three tables of one data set.
+
+    A table is given as a DataFrame, or as a function that makes it from the columns it is asked
+    for; that function runs when the table is first needed.
+    """
+
+    def __init__(
+        self, spark: SparkSession, tables: Mapping[str, DataFrame | Callable[..., DataFrame]], folder: str | None = None
+    ):
+        self.spark = spark
+        self.folder = folder
+        self._tables = dict(tables)
+        self._made: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._made:
+            given = self._tables[name]
+            self._made[name] = given if isinstance(given, DataFrame) else given()
+        return self._made[name]
+
+    @property
+    def lieferant(self) -> DataFrame:
+        return self._table("lieferant")
+
+    @property
+    def artikel(self) -> DataFrame:
+        return self._table("artikel")
+
+    @property
+    def lieferung(self) -> DataFrame:
+        return self._table("lieferung")
+
+    def only(self, name: str, *columns: str) -> DataFrame:
+        """Some columns of a table; a source that is needed for other columns alone is not read."""
+        given = self._tables[name]
+        return (given if isinstance(given, DataFrame) else given(*columns)).select(*columns)
 
     def raw(self, name: str) -> DataFrame:
         """A table of the folder this data set was read from, as it is stored."""
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return stored(self.spark, self.folder, name)
 
     def with_tables(self, **tables: DataFrame) -> "Star":
-        return replace(self, **tables)
+        return Star(self.spark, {**self._tables, **tables}, self.folder)
+
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stored table with its declared schema, so that no file is opened to find it out."""
+    return spark.read.schema(schema.STORED[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def supplier_rows(spark: SparkSession, rows) -> DataFrame:
@@ -76,50 +109,53 @@ def delivery_rows(spark: SparkSession, rows) -> DataFrame:
 
 def sample(spark: SparkSession) -> Star:
     """The sample data set as row literals."""
-    return Star(
-        spark,
-        supplier_rows(spark, SUPPLIERS),
-        part_rows(spark, PARTS),
-        delivery_rows(spark, DELIVERIES),
-    )
+    return Star(spark, {
+        "lieferant": supplier_rows(spark, SUPPLIERS),
+        "artikel": part_rows(spark, PARTS),
+        "lieferung": delivery_rows(spark, DELIVERIES),
+    })
 
 
 def from_tables(spark: SparkSession, folder: str) -> Star:
     """Map the supplier, part, lineitem and nation files of ``folder`` to the model."""
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return stored(spark, folder, name)
+
+    def placed(rows: DataFrame, place: Column, name: str, columns: tuple[str, ...]) -> DataFrame:
+        """Rows with the name of their nation, which is looked up only if it is asked for."""
+        if columns and name not in columns:
+            return rows.withColumn(name, F.lit(None).cast("string"))
+        nation = read("nation").select("n_nationkey", F.col("n_name").alias(name))
+        return rows.join(nation, place == F.col("n_nationkey"))
 
-    nation = read("nation").select("n_nationkey", "n_name")
-    lieferant = (
-        read("supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
+    def lieferant(*columns: str) -> DataFrame:
+        return placed(read("supplier"), F.col("s_nationkey"), "lstadt", columns).select(
             F.col("s_suppkey").alias("lnr"),
             F.col("s_name").alias("lname"),
             F.when(F.col("s_acctbal") >= 0, F.floor(F.col("s_acctbal") / 100).cast("int")).alias("status"),
-            F.col("n_name").alias("lstadt"),
+            "lstadt",
         )
-    )
-    artikel = (
-        read("part")
-        .join(nation, F.col("p_partkey") % 20 == F.col("n_nationkey"))
-        .select(
+
+    def artikel(*columns: str) -> DataFrame:
+        return placed(read("part"), F.col("p_partkey") % 20, "astadt", columns).select(
             F.col("p_partkey").alias("anr"),
             F.col("p_name").alias("aname"),
             F.substring_index("p_name", " ", 1).alias("farbe"),
             F.col("p_size").cast("decimal(9,2)").alias("gewicht"),
-            F.col("n_name").alias("astadt"),
+            "astadt",
             F.floor("p_retailprice").cast("int").alias("amenge"),
         )
-    )
-    lieferung = read("lineitem").select(
-        F.col("l_suppkey").alias("lnr"),
-        F.col("l_partkey").alias("anr"),
-        F.col("l_quantity").cast("int").alias("lmenge"),
-        F.col("l_shipdate").alias("ldatum"),
-    )
-    return Star(spark, lieferant, artikel, lieferung, folder)
+
+    def lieferung(*columns: str) -> DataFrame:
+        return read("lineitem").select(
+            F.col("l_suppkey").alias("lnr"),
+            F.col("l_partkey").alias("anr"),
+            F.col("l_quantity").cast("int").alias("lmenge"),
+            F.col("l_shipdate").alias("ldatum"),
+        )
+
+    return Star(spark, {"lieferant": lieferant, "artikel": artikel, "lieferung": lieferung}, folder)
 
 
 def store(star: Star, folder: str) -> None:
@@ -138,7 +174,7 @@ def store(star: Star, folder: str) -> None:
 def load(spark: SparkSession, folder: str) -> Star:
     """Read what ``store`` wrote."""
     read = spark.read.parquet
-    return Star(spark, read(f"{folder}/lieferant"), read(f"{folder}/artikel"), read(f"{folder}/lieferung"), folder)
+    return Star(spark, {name: read(f"{folder}/{name}") for name in ("lieferant", "artikel", "lieferung")}, folder)
 
 
 def qualified(spark: SparkSession, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from depotflow.sources import schema, star as model
 from tests.compare import compare, oracle
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,3 +54,11 @@ def test_filters_and_columns_reach_the_scan(spark, name, parts):
     plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for part in parts:
         assert part in plan
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_declared_schemas_are_the_stored_ones(spark, scale):
+    folder = Path(FOLDER).with_name(scale)
+    for name in schema.STORED:
+        found = spark.read.parquet(f"{folder}/{name}.parquet").schema
+        assert model.stored(spark, folder, name).schema == found, name
