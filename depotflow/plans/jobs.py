@@ -562,7 +562,7 @@ def _(star):
 
 
 @query("q7_scalar_functions", """
-    SELECT lnr, anr, ldatum, week(ldatum) AS woche, concat(day(ldatum), '/', month(ldatum), '/', year(ldatum)) AS datum,
+    SELECT lnr, anr, ldatum, week(ldatum)::INTEGER AS woche, concat(day(ldatum), '/', month(ldatum), '/', year(ldatum)) AS datum,
            lnr * 1000 + anr BETWEEN 10000 AND 99999 AS gueltig FROM lieferung""")
 def _(star):
     code = (F.col("lnr") * 1000 + F.col("anr")).cast("string")

@@ -165,7 +165,7 @@ def _(star):
 
 @query("p4_arithmetic", """
     SELECT anr, amenge + 6 AS summe, 3 - amenge AS differenz, amenge * 3 AS produkt,
-           round(amenge * 3.3, 1)::DOUBLE AS dezimal, amenge // 7 AS ganzzahl, round(amenge / 2.0, 1)::DOUBLE AS bruch,
+           round(amenge * 3.3, 1)::DOUBLE AS dezimal, CAST(amenge // 7 AS BIGINT) AS ganzzahl, round(amenge / 2.0, 1)::DOUBLE AS bruch,
            amenge % 7 AS rest
     FROM artikel""")
 def _(star):
@@ -344,8 +344,8 @@ def _(star):
 
 
 @query("x1_lengths", r"""
-    SELECT doc_id, length(rtrim(text, ' ')) AS zeichen,
-           2 * length(text) + 2 * (length(text) - length(regexp_replace(text, '[\x{10000}-\x{10FFFF}]', '', 'g'))) AS bytes
+    SELECT doc_id, length(rtrim(text, ' '))::INTEGER AS zeichen,
+           CAST(4 * length(text) - 2 * length(regexp_replace(text, '[\x{10000}-\x{10FFFF}]', '', 'g')) AS INTEGER) AS bytes
     FROM documents""")
 def _(star):
     return star.raw("documents").select(
@@ -408,8 +408,8 @@ def _(star):
 
 
 @query("x11_date_parts", """
-    SELECT lnr, anr, extract(day FROM ldatum) AS tag, extract(month FROM ldatum) AS monat,
-           extract(year FROM ldatum) AS jahr FROM lieferung""")
+    SELECT lnr, anr, extract(day FROM ldatum)::INTEGER AS tag, extract(month FROM ldatum)::INTEGER AS monat,
+           extract(year FROM ldatum)::INTEGER AS jahr FROM lieferung""")
 def _(star):
     return star.lieferung.select(
         "lnr", "anr", F.dayofmonth("ldatum").alias("tag"), F.month("ldatum").alias("monat"),
@@ -418,7 +418,7 @@ def _(star):
 
 
 @query("x12_week_parts", """
-    SELECT lnr, anr, isodow(ldatum) AS wochentag, dayofweek(ldatum) + 1 AS wochentag_ab_sonntag,
+    SELECT lnr, anr, isodow(ldatum)::INTEGER AS wochentag, (dayofweek(ldatum) + 1)::INTEGER AS wochentag_ab_sonntag,
            (dayofyear(ldatum) + isodow(date_trunc('year', ldatum)) - 2) // 7 + 1 AS woche
     FROM lieferung""")
 def _(star):
@@ -446,13 +446,13 @@ def _(star):
 
 
 @query("x15_month_boundaries", """
-    SELECT lnr, anr, ldatum, date_diff('month', ldatum, TIMESTAMP '2002-01-15') AS monate FROM lieferung""")
+    SELECT lnr, anr, ldatum, date_diff('month', ldatum, TIMESTAMP '2002-01-15')::INTEGER AS monate FROM lieferung""")
 def _(star):
     return star.lieferung.select("lnr", "anr", "ldatum", dates.months_between("ldatum", as_of()).alias("monate"))
 
 
 @query("x16_day_boundaries", """
-    SELECT event_id, CAST(DATE '2024-03-01' - CAST(ts AS DATE) AS BIGINT) AS tage FROM events""")
+    SELECT event_id, CAST(DATE '2024-03-01' - CAST(ts AS DATE) AS INTEGER) AS tage FROM events""")
 def _(star):
     until = F.lit(datetime(2024, 3, 1)).cast("timestamp_ntz")
     return star.raw("events").select("event_id", dates.days_between("ts", until).alias("tage"))

@@ -55,7 +55,8 @@ def by_month(star, at_least):
     )
 
 
-MONTHLY = "SELECT lnr, month(ldatum) AS monat, year(ldatum) AS jahr, lmenge FROM lieferung WHERE lmenge >= 10"
+MONTHLY = """
+    SELECT lnr, month(ldatum)::INTEGER AS monat, year(ldatum)::INTEGER AS jahr, lmenge FROM lieferung WHERE lmenge >= 10"""
 
 
 @query("a5_group_by_expressions", f"""
@@ -124,7 +125,7 @@ def _(star):
 
 @query("a11_cube_month_names", """
     SELECT (['Januar', 'Februar', 'März', 'April', 'Mai', 'Juni', 'Juli', 'August', 'September', 'Oktober',
-             'November', 'Dezember'])[month(ldatum)] AS monat, year(ldatum) AS jahr,
+             'November', 'Dezember'])[month(ldatum)] AS monat, year(ldatum)::INTEGER AS jahr,
            CAST(sum(lmenge) AS BIGINT) AS summe, CAST(grouping_id(month(ldatum), year(ldatum)) AS INTEGER) AS ebene
     FROM lieferung GROUP BY CUBE (month(ldatum), year(ldatum))""")
 def _(star):

@@ -39,6 +39,10 @@ def oracle(folder):
     return connection
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+         "boolean": "BOOLEAN"}
+
+
 def compare(spark, connection, build, sql, folder):
     """None if both give the same, else a short text."""
     df = build(spark, folder)
@@ -50,6 +54,10 @@ def compare(spark, connection, build, sql, folder):
     expected = rows_of(names, cursor.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} instead of {sorted(names)}"
+    types = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    for field in df.schema:
+        if TYPES.get(field.dataType.simpleString()) != types[field.name]:
+            return f"{field.name} is {field.dataType.simpleString()}, not {types[field.name]}"
     if found != expected:
         extra = [r for r in found if r not in set(expected)][:2]
         missing = [r for r in expected if r not in set(found)][:2]
