@@ -86,11 +86,23 @@ def like_regex(pattern: str, escape: str | None = None) -> str:
 
 def like(value: ColumnOrName, pattern: str, escape: str | None = None) -> Column:
     """Case-insensitive LIKE; plain patterns keep Spark's own LIKE and its prefix rewrites."""
+    # Spark matches patterns in plain strings only; for those the cast is dropped.
+    plain = _col(value).cast("string")
     if "[" in pattern:
-        return _col(value).rlike(like_regex(pattern, escape))
+        return plain.rlike(like_regex(pattern, escape))
     if escape:
-        return F.like(F.lower(_col(value)), F.lit(pattern.lower()), F.lit(escape.lower()))
-    return F.lower(_col(value)).like(pattern.lower().replace("\\", "\\\\"))
+        return F.like(F.lower(plain), F.lit(pattern.lower()), F.lit(escape.lower()))
+    return F.lower(plain).like(pattern.lower().replace("\\", "\\\\"))
+
+
+def alphabetic(value: ColumnOrName) -> Column:
+    """Sort key that ignores letter case."""
+    return F.lower(_col(value))
+
+
+def first_in_alphabet(value: ColumnOrName) -> Column:
+    """Aggregate: the text that comes first when letter case is ignored."""
+    return F.min(F.struct(alphabetic(value), _col(value).alias("_text")))["_text"]
 
 
 def byte_length(value: ColumnOrName) -> Column:

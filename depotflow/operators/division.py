@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from depotflow.session import frozen
 
+FEW_ELEMENTS = 500_000
+
 
 def divide(pairs: DataFrame, candidate: str, element: str, wanted: DataFrame) -> DataFrame:
     """Candidates paired with every ``element`` of ``wanted``; all candidates if it is empty.
@@ -18,9 +20,12 @@ def divide(pairs: DataFrame, candidate: str, element: str, wanted: DataFrame) ->
     size = elements.count()
     if size == 0:
         return pairs.select(candidate).distinct()
+    rows = pairs.select(candidate, element)
+    if size > FEW_ELEMENTS:
+        # Too many to send to every task: the pairs will be shuffled, so copies go first.
+        rows = rows.distinct()
     return (
-        pairs.select(candidate, element)
-        .join(elements, element, "left_semi")
+        rows.join(elements, element, "left_semi")
         .groupBy(candidate).agg(F.countDistinct(element).alias("_covered"))
         .filter(F.col("_covered") == size)
         .select(candidate)

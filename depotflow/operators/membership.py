@@ -6,16 +6,22 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from depotflow.session import frozen
 
-def only_in(df: DataFrame, other: DataFrame, on: str | list[str], unique: bool = False) -> DataFrame:
+
+def only_in(
+    df: DataFrame, other: DataFrame, on: str | list[str], unique: bool = False, measured: bool = False
+) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``other``.
 
     The keys of ``other`` are reduced before they meet ``df``; where they are unique in it already
-    (a dimension), ``unique`` saves that shuffle.
+    (a dimension), ``unique`` saves that shuffle. ``measured`` writes the keys down first: Spark
+    cannot foresee how few keys a HAVING leaves, but it sees the size of a table, and then need not
+    shuffle a large ``df`` for a short list.
     """
     keys = [on] if isinstance(on, str) else on
-    wanted = other.select(*keys)
-    return df.join(wanted if unique else wanted.distinct(), keys, "left_semi")
+    wanted = other.select(*keys) if unique else other.select(*keys).distinct()
+    return df.join(frozen(wanted) if measured else wanted, keys, "left_semi")
 
 
 def where_exists(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
@@ -47,11 +53,12 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) ->
 
 
 class Level(NamedTuple):
-    """One level of a nested IN: a table, the key it is asked for, and whether that key is unique."""
+    """One level of a nested IN: a table, the key it is asked for, and the rest as in ``only_in``."""
 
     table: DataFrame
     key: str
     unique: bool = False
+    measured: bool = False
 
 
 def in_cascade(df: DataFrame, *levels: Level) -> DataFrame:

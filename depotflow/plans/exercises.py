@@ -107,7 +107,7 @@ def _(star):
 
 @query("e3_4_first_named", "SELECT min(aname) AS erster FROM artikel WHERE starts_with(aname, 's')")
 def _(star):
-    return star.artikel.filter(text.like("aname", "s%")).select(F.col("aname").alias("erster")).orderBy("erster").limit(1)
+    return star.artikel.filter(text.like("aname", "s%")).agg(text.first_in_alphabet("aname").alias("erster"))
 
 
 @query("e3_5_highest_stock", "SELECT DISTINCT astadt, max(amenge) OVER (PARTITION BY astadt) AS hoechster FROM artikel")
@@ -206,7 +206,7 @@ def parts_of_busy_suppliers(star, year: int, month: int, at_least: int) -> DataF
     return membership.in_cascade(
         star.only("artikel", "anr", "aname"),
         membership.Level(star.lieferung.filter(dates.in_month("ldatum", year, month)), "anr"),
-        membership.Level(busy, "lnr", unique=True),
+        membership.Level(busy, "lnr", unique=True, measured=True),
     )
 
 
@@ -261,7 +261,7 @@ def _(star):
 def repeated_parts_of_busy_suppliers(star, times: int, more_than: int) -> DataFrame:
     """Parts delivered so many times by suppliers with more than so many deliveries."""
     busy = star.lieferung.groupBy("lnr").agg(F.count("lnr").alias("anzahl")).filter(F.col("anzahl") > more_than)
-    theirs = membership.only_in(star.lieferung, busy, "lnr", unique=True)
+    theirs = membership.only_in(star.lieferung, busy, "lnr", unique=True, measured=True)
     repeated = theirs.groupBy("anr").agg(F.count("anr").alias("mal")).filter(F.col("mal") >= times)
     return star.only("artikel", "anr", "aname").join(repeated, "anr", "left_semi")
 
@@ -369,7 +369,7 @@ def _(star):
 
 def sharing_a_part_with(star, number) -> DataFrame:
     theirs = star.lieferung.filter(F.col("lnr") == F.lit(number))
-    shared = membership.only_in(star.lieferung.select("lnr", "anr"), theirs, "anr")
+    shared = membership.only_in(star.lieferung.select("lnr", "anr"), theirs, "anr", measured=True)
     return shared.filter(F.col("lnr") != F.lit(number)).select("lnr").distinct()
 
 

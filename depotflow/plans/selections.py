@@ -193,13 +193,15 @@ def _(star):
 @query("o1_two_keys", "SELECT anr, aname, astadt FROM artikel")
 def _(star):
     # The part number behind the two keys lets rows with equal names and places spread over tasks.
-    return star.artikel.select("anr", "aname", "astadt").orderBy(F.asc("aname"), F.desc("astadt"), "anr")
+    return star.artikel.select("anr", "aname", "astadt").orderBy(
+        text.alphabetic("aname").asc(), text.alphabetic("astadt").desc(), "anr"
+    )
 
 
 @query("o2_alias", "SELECT anr AS artikelnummer, astadt AS lagerort FROM artikel")
 def _(star):
     renamed = star.artikel.select(F.col("anr").alias("artikelnummer"), F.col("astadt").alias("lagerort"))
-    return renamed.orderBy(F.asc("artikelnummer"), F.desc("lagerort"))
+    return renamed.orderBy(F.asc("artikelnummer"), text.alphabetic("lagerort").desc())
 
 
 @query("o3_position", "SELECT anr, aname, farbe FROM artikel")
@@ -210,14 +212,14 @@ def _(star):
 @query("o4_sorted_union", """
     SELECT ort FROM (SELECT lstadt AS ort FROM lieferant UNION SELECT astadt FROM artikel)""")
 def _(star):
-    return all_places(star).orderBy(F.desc("ort"))
+    return all_places(star).orderBy(text.alphabetic("ort").desc())
 
 
 @query("o5_first", """
     SELECT arg_min(anr, (aname, anr)) AS anr, min(aname) AS aname FROM artikel WHERE aname LIKE 's%'""")
 def _(star):
     rows = star.artikel.filter(text.like("aname", "[s]%"))
-    return rows.select("anr", "aname").orderBy("aname", "anr").limit(1)
+    return rows.select("anr", "aname").orderBy(text.alphabetic("aname"), "anr").limit(1)
 
 
 # --- set operations ---------------------------------------------------------------------------

@@ -135,7 +135,7 @@ def _(star):
 
 @query("a12_first_in_alphabet", "SELECT aname AS erster FROM artikel WHERE aname[1] = 's' ORDER BY aname LIMIT 1")
 def _(star):
-    return star.artikel.filter(text.like("aname", "s%")).agg(F.min("aname").alias("erster"))
+    return star.artikel.filter(text.like("aname", "s%")).agg(text.first_in_alphabet("aname").alias("erster"))
 
 
 @query("a14_whole_average", """

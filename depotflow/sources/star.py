@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from depotflow.sources import schema
 
@@ -177,6 +177,22 @@ def load(spark: SparkSession, folder: str) -> Star:
     return Star(spark, {name: read(f"{folder}/{name}") for name in ("lieferant", "artikel", "lieferung")}, folder)
 
 
+def case_insensitive(star: Star) -> Star:
+    """The same tables with text columns that ignore letter case and trailing blanks everywhere.
+
+    Groups, joins, set operations, sorting and comparisons then all follow that rule. It is not the
+    default: filters on such columns do not reach the Parquet scan, and grouping by them sorts.
+    """
+
+    def collated(df: DataFrame) -> DataFrame:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        return df.withColumns({name: F.collate(F.col(name), "UTF8_LCASE_RTRIM") for name in texts})
+
+    return star.with_tables(
+        lieferant=collated(star.lieferant), artikel=collated(star.artikel), lieferung=collated(star.lieferung)
+    )
+
+
 def qualified(spark: SparkSession, name: str) -> DataFrame:
     """Table by one- to four-part name; a leading server part has no meaning here and is dropped."""
     parts = name.split(".")

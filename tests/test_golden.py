@@ -226,3 +226,19 @@ def test_cascade(star, rows):
     assert rows(changes.cascade_key(star.lieferant, renamed, "lnr"), "lnr")[-1] == ("L06",)
     moved = changes.cascade_key(star.lieferung, renamed, "lnr")
     assert moved.filter("lnr = 'L06'").count() == 3 and moved.filter("lnr = 'L04'").count() == 0
+
+
+def test_letter_case_can_be_ignored_everywhere(star, values):
+    more = model.supplier_rows(star.spark, [("l06", "anders", 5, "HAMBURG  "), ("L07", "Zorn", 40, "aachen")])
+    mixed = star.with_tables(lieferant=star.lieferant.union(more),
+                             lieferung=star.lieferung.union(model.delivery_rows(star.spark, [("L06", "a01", 5, "1990-01-01")])))
+    loose = model.case_insensitive(mixed)
+    assert loose.lieferant.select("lstadt").distinct().count() == 3
+    assert selections.all_places(loose).count() == 4 and selections.all_places(mixed).count() == 6
+    assert ex.suppliers_of_every_part(loose).count() == 1
+    assert len(values(ex.that_delivered(loose, loose.lieferung, "in").select("lnr"))) == 5
+    assert loose.lieferant.filter(text.like("lname", "[a-b]%")).count() == 3
+    assert objects.suppliers_at(loose, "hamburg").count() == 3
+    assert loose.lieferung.agg(F.countDistinct("anr")).first()[0] == 6
+    assert mixed.lieferant.agg(text.first_in_alphabet("lname")).first()[0] == "Adam"
+    assert mixed.lieferant.filter("lnr != 'L05'").agg(text.first_in_alphabet("lname")).first()[0] == "anders"

@@ -74,8 +74,9 @@ pairs_of = st.lists(st.tuples(st.integers(0, 4), maybe), max_size=25)
 
 
 @few
-@given(pairs_of, st.lists(maybe, max_size=4))
-def test_division_matches_nested_not_exists(spark, pairs, wanted):
+@given(pairs_of, st.lists(maybe, max_size=4), st.sampled_from([0, 500_000]))
+def test_division_matches_nested_not_exists(spark, pairs, wanted, few_elements):
+    division.FEW_ELEMENTS = few_elements
     df = spark.createDataFrame(pairs, "c int, e int")
     found = sorted(r.c for r in division.divide(df, "c", "e", spark.createDataFrame([(w,) for w in wanted], "e int")).collect())
     covers = lambda c: all(any(p == (c, w) and w is not None for p in pairs) for w in wanted)
