@@ -4,25 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from depotflow.session import frozen
-
-FEW_ELEMENTS = 500_000
-
+from depotflow.session import FEW_KEYS, counted
 
 def divide(pairs: DataFrame, candidate: str, element: str, wanted: DataFrame) -> DataFrame:
     """Candidates paired with every ``element`` of ``wanted``; all candidates if it is empty.
 
-    The wanted elements are written down first, so that Spark knows how many bytes they are when
-    it chooses between sending them to all tasks and shuffling. Pairs with other elements are
-    dropped before the rest is reduced and counted.
+    The wanted elements are counted first. Pairs with other elements are dropped before the rest is
+    reduced and counted.
     """
-    elements = frozen(wanted.select(element).distinct())
-    size = elements.count()
+    elements, size = counted(wanted.select(element).distinct())
     if size == 0:
         return pairs.select(candidate).distinct()
     rows = pairs.select(candidate, element)
-    if size > FEW_ELEMENTS:
-        # Too many to send to every task: the pairs will be shuffled, so copies go first.
+    if size > FEW_KEYS:
+        # The pairs will be shuffled, so copies go first.
         rows = rows.distinct()
     return (
         rows.join(elements, element, "left_semi")

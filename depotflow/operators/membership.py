@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from depotflow.session import frozen
+from depotflow.session import counted
 
 
 def only_in(
@@ -15,13 +15,12 @@ def only_in(
     """Rows of ``df`` whose key occurs in ``other``.
 
     The keys of ``other`` are reduced before they meet ``df``; where they are unique in it already
-    (a dimension), ``unique`` saves that shuffle. ``measured`` writes the keys down first: Spark
-    cannot foresee how few keys a HAVING leaves, but it sees the size of a table, and then need not
-    shuffle a large ``df`` for a short list.
+    (a dimension), ``unique`` saves that shuffle. ``measured`` counts the keys first, so that a
+    large ``df`` is not shuffled for a short list.
     """
     keys = [on] if isinstance(on, str) else on
     wanted = other.select(*keys) if unique else other.select(*keys).distinct()
-    return df.join(frozen(wanted) if measured else wanted, keys, "left_semi")
+    return df.join(counted(wanted)[0] if measured else wanted, keys, "left_semi")
 
 
 def where_exists(df: DataFrame, other: DataFrame, on: str) -> DataFrame:

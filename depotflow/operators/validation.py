@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.functions.text import like, text_in
-from depotflow.session import frozen_all
+from depotflow.session import all_counted
 
 
 @dataclass(frozen=True)
@@ -65,12 +65,11 @@ def validate(rows: DataFrame, rules: Rules, existing: DataFrame | None = None) -
     All rows that share a key are rejected, as a set-based insert would reject them.
 
     For each key rule the offending key values are found first, from reduced key columns, and
-    written down. They are few as a rule; Spark sees how many bytes they are and shuffles the whole
-    rows only if they are many.
+    counted. They are few as a rule; the whole rows are shuffled only if they are many.
     """
     offending = {name: (columns, _taken(rows, columns, existing)) for name, columns in rules.keys.items()}
     offending |= {name: (key.columns, _orphan_keys(rows, key)) for name, key in rules.foreign_keys.items()}
-    written = frozen_all([keys for _columns, keys in offending.values()])
+    written = all_counted([keys for _columns, keys in offending.values()])
     judged = broken_checks(rows, rules)
     for (name, (columns, _keys)), keys in zip(offending.items(), written):
         judged = _mark(judged, name, columns, keys)

@@ -7,7 +7,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(name: str = "depotflow", master: str | None = None, **conf: object) -> SparkSession:
@@ -20,6 +20,9 @@ def build_session(name: str = "depotflow", master: str | None = None, **conf: ob
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Repeated values take far less room in files than in memory; without this a large table
+        # whose columns compress well could be taken for one that is small enough to broadcast.
+        "spark.sql.sources.fileCompressionFactor": "10",
         # Split hot join partitions even where that costs one more shuffle above the join.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
@@ -58,7 +61,25 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def frozen_all(dfs: list[DataFrame]) -> list[DataFrame]:
-    """``frozen`` for independent results, whose jobs share the cluster instead of waiting in line."""
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(dfs)))) as pool:
-        return list(pool.map(inheritable_thread_target(dfs[0].sparkSession)(frozen), dfs)) if dfs else []
+# Key sets up to this many rows are sent to every task: some ten megabytes.
+FEW_KEYS = 500_000
+
+
+def counted(keys: DataFrame) -> tuple[DataFrame, int]:
+    """A set of keys that decides a join, written down and counted, and its size.
+
+    Spark cannot foresee how few keys a condition on groups leaves. Up to ``FEW_KEYS`` of them are
+    broadcast, so that the other side is not shuffled; more are joined by shuffling.
+    """
+    written = frozen(keys)
+    size = written.count()
+    return (F.broadcast(written) if size <= FEW_KEYS else written.hint("merge")), size
+
+
+def all_counted(sets: list[DataFrame]) -> list[DataFrame]:
+    """``counted`` for independent sets, whose jobs share the cluster instead of waiting in line."""
+    if not sets:
+        return []
+    work = inheritable_thread_target(sets[0].sparkSession)(lambda keys: counted(keys)[0])
+    with ThreadPoolExecutor(max_workers=min(8, len(sets))) as pool:
+        return list(pool.map(work, sets))

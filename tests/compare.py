@@ -35,7 +35,8 @@ def rows_of(names, rows):
 def oracle(folder):
     connection = duckdb.connect()
     for path in sorted(Path(folder).glob("*.parquet")):
-        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+        files = path / "*.parquet" if path.is_dir() else path
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     return connection
 
 

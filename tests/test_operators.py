@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from depotflow import session
 from depotflow.operators import division, grouping, joins, membership, numbering
 
 few = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -75,14 +76,24 @@ pairs_of = st.lists(st.tuples(st.integers(0, 4), maybe), max_size=25)
 
 @few
 @given(pairs_of, st.lists(maybe, max_size=4), st.sampled_from([0, 500_000]))
-def test_division_matches_nested_not_exists(spark, pairs, wanted, few_elements):
-    division.FEW_ELEMENTS = few_elements
+def test_division_matches_nested_not_exists(spark, pairs, wanted, few_keys):
+    session.FEW_KEYS = division.FEW_KEYS = few_keys
     df = spark.createDataFrame(pairs, "c int, e int")
     found = sorted(r.c for r in division.divide(df, "c", "e", spark.createDataFrame([(w,) for w in wanted], "e int")).collect())
     covers = lambda c: all(any(p == (c, w) and w is not None for p in pairs) for w in wanted)
     assert found == sorted({c for c, _ in pairs if covers(c)})
 
 
+def test_counted_keys(spark, monkeypatch):
+    facts, keys = spark.range(1000), spark.range(0, 1000, 100)
+    few = membership.only_in(facts, keys, "id", unique=True, measured=True)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(session, "FEW_KEYS", 9)
+    many = membership.only_in(facts, keys, "id", unique=True, measured=True)
+    assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+    assert few.count() == many.count() == 10
+
+
 def test_division_by_every_row(spark):
     pairs = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 1)], "c int, e int")
     table = spark.createDataFrame([(1,), (2,)], "e int")
