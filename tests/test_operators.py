@@ -1,6 +1,7 @@
 """Operators beside brute force, with ties, NULLs and hot keys."""
 
 from collections import Counter
+from unittest.mock import patch
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -77,9 +78,10 @@ pairs_of = st.lists(st.tuples(st.integers(0, 4), maybe), max_size=25)
 @few
 @given(pairs_of, st.lists(maybe, max_size=4), st.sampled_from([0, 500_000]))
 def test_division_matches_nested_not_exists(spark, pairs, wanted, few_keys):
-    session.FEW_KEYS = division.FEW_KEYS = few_keys
     df = spark.createDataFrame(pairs, "c int, e int")
-    found = sorted(r.c for r in division.divide(df, "c", "e", spark.createDataFrame([(w,) for w in wanted], "e int")).collect())
+    elements = spark.createDataFrame([(w,) for w in wanted], "e int")
+    with patch.object(session, "FEW_KEYS", few_keys), patch.object(division, "FEW_KEYS", few_keys):
+        found = sorted(r.c for r in division.divide(df, "c", "e", elements).collect())
     covers = lambda c: all(any(p == (c, w) and w is not None for p in pairs) for w in wanted)
     assert found == sorted({c for c, _ in pairs if covers(c)})
 
