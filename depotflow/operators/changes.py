@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.operators.membership import not_matched
+from depotflow.operators.numbering import number_rows
 
 
 def aligned(rows: DataFrame, like: DataFrame, defaults: dict[str, object] | None = None) -> DataFrame:
@@ -33,6 +34,16 @@ def insert_by_position(table: DataFrame, rows: DataFrame) -> DataFrame:
     return insert(table, rows.toDF(*table.columns))
 
 
+def insert_numbered(table: DataFrame, rows: DataFrame, key: str, order: list[Column], first: int = 1000) -> DataFrame:
+    """Insert rows that get the next numbers, from ``first`` on in an empty table.
+
+    Columns that only give the order stay behind.
+    """
+    last = table.agg(F.coalesce(F.max(key), F.lit(first - 1))).scalar()
+    numbered = number_rows(rows, order, "_next").withColumn(key, F.col("_next") + last)
+    return insert(table, numbered.select(*[name for name in table.columns if name in numbered.columns]))
+
+
 def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 

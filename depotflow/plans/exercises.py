@@ -163,7 +163,8 @@ def _(star):
 # --- 4: subqueries ----------------------------------------------------------------------------
 
 
-@query("e4_0a_living_where_stored", "SELECT s.lnr, s.lname, s.lstadt FROM artikel p, lieferant s WHERE p.anr = 7 AND p.astadt = s.lstadt")
+@query("e4_0a_living_where_stored", """
+    SELECT s.lnr, s.lname, s.lstadt FROM artikel p, lieferant s WHERE p.anr = 7 AND p.astadt = s.lstadt""")
 def _(star):
     return joined.suppliers_where_stored(star, 7)
 
@@ -387,12 +388,15 @@ def several_parts(star):
     return ends.filter(F.col("von") < F.col("bis")).select("lnr")
 
 
-@query("e5_12_stored_with", "SELECT anr, aname FROM artikel WHERE anr <> 5 AND astadt IN (SELECT astadt FROM artikel WHERE anr = 5)")
+@query("e5_12_stored_with", """
+    SELECT anr, aname FROM (SELECT *, bool_or(anr = 5) OVER (PARTITION BY astadt) AS hier FROM artikel)
+    WHERE hier AND anr <> 5""")
 def _(star):
     return joined.stored_with(star, 5)
 
 
-@query("e5_13_average_quantity", "SELECT round(sum(l_quantity) / count(l_quantity), 6) AS mittel FROM lineitem WHERE l_partkey = 1")
+@query("e5_13_average_quantity", """
+    SELECT round(sum(l_quantity) / count(l_quantity), 6) AS mittel FROM lineitem WHERE l_partkey = 1""")
 def _(star):
     return star.lieferung.filter(F.col("anr") == 1).agg(F.round(F.avg("lmenge"), 6).alias("mittel"))
 

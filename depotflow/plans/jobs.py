@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from depotflow.functions import dates, numbers, text
-from depotflow.operators import audit, changes, receipt, stock, validation
+from depotflow.operators import audit, changes, numbering, receipt, stock, validation
 from depotflow.plans import objects
 from depotflow.plans.registry import query
 from depotflow.session import shared_folder
@@ -43,6 +43,19 @@ def _(star):
     return changes.insert_by_position(star.lieferant, rows)
 
 
+@query("d1_insert_numbered", """
+    SELECT 999 + row_number() OVER (ORDER BY lnr) AS m_nr, lname AS m_name FROM lieferant
+    UNION ALL
+    SELECT 999 + (SELECT count(*) FROM supplier) + row_number() OVER (ORDER BY c_custkey), c_name FROM customer""")
+def _(star):
+    suppliers = star.only("lieferant", "lnr", "lname")
+    staff = numbering.number_rows(suppliers, [F.col("lnr")], "m_nr", start=1000).select(
+        "m_nr", F.col("lname").alias("m_name")
+    )
+    hired = star.raw("customer").select("c_custkey", F.col("c_name").alias("m_name"))
+    return changes.insert_numbered(staff, hired, "m_nr", [F.col("c_custkey")])
+
+
 @query("d2_update", f"""
     SELECT lnr, lname, status, CASE WHEN status < 20 THEN 'Gotha' ELSE lstadt END AS lstadt FROM lieferant""")
 def _(star):
@@ -135,14 +148,15 @@ def _(star):
 @query("d11_stock_on_new_part", """
     WITH menge AS (SELECT l_partkey AS anr, CAST(sum(l_quantity) AS BIGINT) AS m FROM lineitem
                    WHERE l_returnflag = 'R' GROUP BY l_partkey),
-         verschoben AS (SELECT CASE WHEN anr % 2 = 0 THEN anr + 1 ELSE anr - 1 END AS anr, m FROM menge)
+         verschoben AS (SELECT xor(anr, 1) AS anr, m FROM menge)
     SELECT a.anr, aname, farbe, gewicht, astadt,
            CAST(amenge - coalesce(menge.m, 0) + coalesce(verschoben.m, 0) AS INTEGER) AS amenge
     FROM artikel a LEFT JOIN menge ON menge.anr = a.anr LEFT JOIN verschoben ON verschoben.anr = a.anr""")
 def _(star):
     before = lines(star, "R")
-    neighbour = F.when(F.col("anr") % 2 == 0, F.col("anr") + 1).otherwise(F.col("anr") - 1)
-    return stock.maintain_stock(star.artikel, inserted=before.withColumn("anr", neighbour), deleted=before)
+    # The delivery was booked on the part's neighbour by mistake.
+    after = before.withColumn("anr", F.col("anr").bitwiseXOR(1))
+    return stock.maintain_stock(star.artikel, inserted=after, deleted=before)
 
 
 @query("d12_stock_on_new_quantity", stock_sql("CASE WHEN l_returnflag = 'A' THEN l_linenumber - 3 ELSE 0 END"))

@@ -46,7 +46,9 @@ def _(star):
     return objects.deliveries_with_supplier(star)
 
 
-@query("j4_filtered", f"{JOINED} JOIN lieferung USING (lnr) WHERE lstadt = 'NATION_3' AND date_trunc('month', ldatum) = DATE '1998-08-01'")
+@query("j4_filtered", f"""
+    {JOINED} JOIN lieferung USING (lnr)
+    WHERE lstadt = 'NATION_3' AND date_trunc('month', ldatum) = DATE '1998-08-01'""")
 def _(star):
     rows = objects.deliveries_with_supplier(star)
     return rows.filter(objects.at_place("NATION_3") & dates.in_month("ldatum", 1998, 8))

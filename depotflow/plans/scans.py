@@ -165,7 +165,8 @@ def _(star):
 
 @query("p4_arithmetic", """
     SELECT anr, amenge + 6 AS summe, 3 - amenge AS differenz, amenge * 3 AS produkt,
-           round(amenge * 3.3, 1)::DOUBLE AS dezimal, CAST(amenge // 7 AS BIGINT) AS ganzzahl, round(amenge / 2.0, 1)::DOUBLE AS bruch,
+           round(amenge * 3.3, 1)::DOUBLE AS dezimal, CAST(amenge // 7 AS BIGINT) AS ganzzahl,
+           round(amenge / 2.0, 1)::DOUBLE AS bruch,
            amenge % 7 AS rest
     FROM artikel""")
 def _(star):
@@ -234,7 +235,8 @@ def _(star):
     )
 
 
-@query("p10_null_replaced", "SELECT lnr, lname, CASE WHEN status IS NULL THEN 50 ELSE status END AS status FROM lieferant")
+@query("p10_null_replaced", """
+    SELECT lnr, lname, CASE WHEN status IS NULL THEN 50 ELSE status END AS status FROM lieferant""")
 def _(star):
     return star.lieferant.select("lnr", "lname", F.coalesce("status", F.lit(50)).alias("status"))
 
@@ -244,7 +246,8 @@ def _(star):
     return star.lieferung.select("lnr").distinct()
 
 
-@query("p12_cast", "SELECT lnr, CAST(status AS VARCHAR) AS text, CAST(CAST(lnr AS VARCHAR) AS INTEGER) + 100 AS zahl FROM lieferant")
+@query("p12_cast", """
+    SELECT lnr, CAST(status AS VARCHAR) AS text, CAST(CAST(lnr AS VARCHAR) AS INTEGER) + 100 AS zahl FROM lieferant""")
 def _(star):
     return star.lieferant.select(
         "lnr", F.col("status").cast("string").alias("text"),

@@ -17,7 +17,8 @@ DELIVERY = "SELECT lnr, anr, lmenge, ldatum FROM lieferung"
 
 
 @query("f1_equal_text", """
-    SELECT p_partkey AS anr, p_name AS aname, split_part(p_name, ' ', 1) AS farbe FROM part WHERE p_partkey % 20 = 3""")
+    SELECT anr, aname, split_part(aname, ' ', 1) AS farbe FROM artikel SEMI JOIN nation
+    ON n_name = astadt AND n_nationkey = 3""")
 def _(star):
     return star.artikel.filter(text.same_text("astadt", "nation_3")).select("anr", "aname", "farbe")
 

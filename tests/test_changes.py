@@ -39,6 +39,14 @@ def test_insert(star, rows):
         changes.insert_by_position(table, named(star, a="Erfurt", b="L22", c="Krause", d=5)).collect()
 
 
+def test_insert_numbered(star, rows):
+    staff = star.spark.createDataFrame([], "m_nr bigint, m_name string")
+    first = changes.insert_numbered(staff, star.lieferant.select(F.col("lname").alias("m_name")), "m_nr", [F.col("m_name")])
+    assert rows(first) == [(1000, "Adam"), (1001, "Blank"), (1002, "Clark"), (1003, "Jonas"), (1004, "Schmidt")]
+    more = changes.insert_numbered(first, first.filter("m_nr < 1002").select("m_name"), "m_nr", [F.col("m_name").desc()])
+    assert rows(more)[5:] == [(1005, "Blank"), (1006, "Adam")]
+
+
 def test_update_and_delete(star, rows):
     table = star.lieferant.union(supplier(star, ("L22", "Maria", 5, None)))
     moved = changes.update(table, F.col("lnr") == "L22", lstadt=F.lit("Gotha"))

@@ -96,6 +96,23 @@ def test_frozen_rows_stay(spark):
     assert drawn.collect() == drawn.collect()
 
 
+def test_cluster_needs_a_shared_folder():
+    class Cluster:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Cluster()
+
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(), "x")
+
+
 def changes_of(spark, *rows):
     return spark.createDataFrame(list(rows), "was string, anr string, lmenge int")
 
