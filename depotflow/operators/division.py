@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from depotflow.session import FEW_KEYS, counted
+from depotflow import session
+from depotflow.session import counted
 
 def divide(pairs: DataFrame, candidate: str, element: str, wanted: DataFrame) -> DataFrame:
     """Candidates paired with every ``element`` of ``wanted``; all candidates if it is empty.
@@ -16,7 +17,7 @@ def divide(pairs: DataFrame, candidate: str, element: str, wanted: DataFrame) ->
     if size == 0:
         return pairs.select(candidate).distinct()
     rows = pairs.select(candidate, element)
-    if size > FEW_KEYS:
+    if size > session.FEW_KEYS:
         # The pairs will be shuffled, so copies go first.
         rows = rows.distinct()
     return (

@@ -7,8 +7,9 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from depotflow import session
 from depotflow.functions.text import like, text_in
-from depotflow.session import all_counted
+from depotflow.session import all_counted, counted
 
 
 @dataclass(frozen=True)
@@ -91,16 +92,24 @@ def _same(columns: tuple[str, ...]) -> Column:
 
 def _taken(rows: DataFrame, columns: tuple[str, ...], existing: DataFrame | None) -> DataFrame:
     """Key values that occur more than once in ``rows`` or that ``existing`` rows have already."""
-    counted = rows.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    keys = rows.groupBy(*columns).agg(F.count("*").alias("_rows"))
     if existing is None:
-        return counted.filter("_rows > 1").select(*columns)
-    old = _renamed(existing, columns).distinct().withColumn("_old", F.lit(True))
-    known = counted.join(old, _same(columns), "left")
-    return known.filter("_rows > 1 OR _old").select(*columns)
+        return keys.filter("_rows > 1").select(*columns)
+    # A short batch is sent to the existing rows, which then need not be shuffled.
+    keys, _size = counted(keys)
+    old = existing.select(*columns).join(_renamed(keys, columns), _same(columns), "left_semi")
+    return keys.filter("_rows > 1").select(*columns).union(old).distinct()
 
 
 def _orphan_keys(rows: DataFrame, key: ForeignKey) -> DataFrame:
-    return orphans(rows.select(*key.columns).distinct(), key)
+    """Known key values of ``rows`` that the parent does not have."""
+    columns = list(key.columns)
+    keys, size = counted(rows.select(*columns).filter(_known(key.columns)).distinct())
+    parent = key.parent.select(*[F.col(p).alias(c) for p, c in zip(key.parent_columns, columns)])
+    if size <= session.FEW_KEYS:
+        # A short batch is sent to the parent, and only what it finds there is shuffled.
+        parent = parent.join(keys, columns, "left_semi")
+    return keys.join(parent.distinct(), columns, "left_anti")
 
 
 def _mark(judged: DataFrame, name: str, columns: tuple[str, ...], offending: DataFrame) -> DataFrame:

@@ -31,9 +31,20 @@ def write_batch(changes: DataFrame, batch: int, folder: str, check: Check | None
 
     With ``check`` only the accepted rows count, and the rejected ones are stored beside them.
     """
-    if check is not None:
-        changes, rejected = check(changes)
+    if check is None:
+        _write_deltas(changes, batch, folder)
+        return
+    # The check reads the batch several times; the source is read once.
+    kept = changes.persist()
+    try:
+        accepted, rejected = check(kept)
         rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch}")
+        _write_deltas(accepted, batch, folder)
+    finally:
+        kept.unpersist()
+
+
+def _write_deltas(changes: DataFrame, batch: int, folder: str) -> None:
     delta_of_changes(changes).write.mode("overwrite").parquet(f"{folder}/deltas/batch={batch}")
     _publish(changes.sparkSession, folder, "deltas", batch)
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from depotflow import session
 from depotflow.operators import audit, changes, receipt, stock, validation
 from depotflow.plans import jobs, objects
 from depotflow.sources import schema, star as model
@@ -155,7 +156,12 @@ def verdicts(rejected, key="lnr"):
     return {r[key]: sorted(r["verletzt"]) for r in rejected.collect()}
 
 
-def test_model_rules(star):
+@pytest.fixture(params=[0, 500_000], ids=["shuffled", "broadcast"])
+def few_keys(request, monkeypatch):
+    monkeypatch.setattr(session, "FEW_KEYS", request.param)
+
+
+def test_model_rules(star, few_keys):
     for table, rules in ((star.lieferant, validation.supplier_rules()), (star.artikel, validation.part_rules()),
                          (star.lieferung, validation.delivery_rules(star.lieferant, star.artikel))):
         accepted, rejected = validation.validate(table, rules)
@@ -173,7 +179,7 @@ def test_model_rules(star):
     assert rejected.count() == 10
 
 
-def test_delivery_rules(star):
+def test_delivery_rules(star, few_keys):
     batch = star.spark.createDataFrame([
         ("L44", "A02", 500, datetime(2022, 1, 1)), ("L01", "A77", 1, datetime(2022, 1, 1)),
         ("L01", "A01", 0, datetime(2022, 1, 1)), ("L01", "A01", 7, datetime(1990, 5, 18)),

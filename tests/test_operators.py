@@ -80,7 +80,7 @@ pairs_of = st.lists(st.tuples(st.integers(0, 4), maybe), max_size=25)
 def test_division_matches_nested_not_exists(spark, pairs, wanted, few_keys):
     df = spark.createDataFrame(pairs, "c int, e int")
     elements = spark.createDataFrame([(w,) for w in wanted], "e int")
-    with patch.object(session, "FEW_KEYS", few_keys), patch.object(division, "FEW_KEYS", few_keys):
+    with patch.object(session, "FEW_KEYS", few_keys):
         found = sorted(r.c for r in division.divide(df, "c", "e", elements).collect())
     covers = lambda c: all(any(p == (c, w) and w is not None for p in pairs) for w in wanted)
     assert found == sorted({c for c, _ in pairs if covers(c)})
