@@ -34,7 +34,7 @@ RULES = (
     Rule("many_words", "n_words > 1000000"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
     Rule("symbols", "10 * n_symbols > 3 * n_words"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("few_letters", "100 * n_letter_words < 70 * n_words"),
     Rule("capitals", "100 * n_capital_words > 50 * n_words"),
 )
