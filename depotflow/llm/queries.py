@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from depotflow.llm import mixing, rules, sharding
-from depotflow.llm.common import table
+from depotflow.llm import archives, decontamination, extraction, mixing, quality, rules, sharding, toxicity
+from depotflow.llm.common import table, training
 from depotflow.llm.words import WORD
 
 
@@ -22,6 +22,36 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(spark, folder, "documents"), 40)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scores = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    return _predicted(scores, toxicity.REJECTED)
+
+
+def _predicted(scores: DataFrame, least: float) -> DataFrame:
+    return scores.select(
+        "doc_id", (~training()).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract(table(spark, folder, "pages"))
+
+
+def op8_archive_conversion(spark: SparkSession, folder: str) -> DataFrame:
+    return archives.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    stats = quality.measured(table(spark, folder, "documents"))
+    scores = quality.score(stats, quality.train(stats, table(spark, folder, "labels")))
+    return _predicted(scores, quality.KEPT)
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -58,7 +88,20 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM judged
 """
 
+ARCHIVE_SQL = """
+WITH sized AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id AND first IS NOT NULL
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM firsts
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: build for name, build in list(globals().items()) if name.startswith("op")}
 
-SQL = {"op2_quality_rules": RULES_SQL, "op10_mixing": mixing.SQL}
+SQL = {"op2_quality_rules": RULES_SQL, "op8_archive_conversion": ARCHIVE_SQL, "op10_mixing": mixing.SQL}

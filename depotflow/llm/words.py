@@ -16,6 +16,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
+#: For folded words anything but ASCII letters, digits and bytes of other scripts separates.
+SIGNS = np.ones(256, dtype=bool)
+for _low, _high in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
+    SIGNS[_low:_high + 1] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
+
 _random = np.random.default_rng(20240501)
 _BYTE = _random.integers(1, 2**63, size=256, dtype=np.uint64)
 _STEP = {"byte": 0x9E3779B97F4A7C15, "word": 0xD1342543DE82EF95}
@@ -103,6 +110,10 @@ class Slice:
         sums = np.concatenate([[0], np.cumsum(values)])
         return sums[self.words[1:]] - sums[self.words[:-1]]
 
+    def folded(self) -> Slice:
+        """The same texts with ASCII letters in lower case, cut into words at every ASCII sign."""
+        return Slice(self.first, LOWER[self.data], self.bounds, SIGNS)
+
     def text(self, row: int) -> bytes:
         return self.data[self.bounds[row]:self.bounds[row + 1]].tobytes()
 
