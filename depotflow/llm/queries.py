@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from depotflow.llm import archives, decontamination, extraction, mixing, quality, rules, sharding, toxicity
+from depotflow.llm import archives, decontamination, extraction, mixing, passages, quality, rules, sharding, toxicity
 from depotflow.llm.common import table, training
 from depotflow.llm.words import WORD
 
@@ -37,6 +37,10 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.dedup(table(spark, folder, "documents"))
+
+
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(table(spark, folder, "pages"))
 
