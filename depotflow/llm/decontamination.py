@@ -251,3 +251,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, identity: str = "doc_id
     for more in found[1:]:
         whole = whole.unionByName(more)
     return whole
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = THRESHOLD,
+          overlap: float = OVERLAP) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item of a benchmark."""
+    place = docs.columns.index(text)
+    for index in index_parts(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own = sent.value
+            for batch in batches:
+                for part in slices(batch.column(place)):
+                    good = np.ones(part.rows, dtype=bool)
+                    good[[found[0] for found in _judged(part.folded(), own, threshold, overlap)]] = False
+                    yield batch.slice(part.first, part.rows).filter(pa.array(good))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -103,19 +103,15 @@ def schedule(spark, planned: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, identity: str = "doc_id", text: str = "text", source: str = "source", share: float = SHARE,
-        most: float = MOST, block: int = BLOCK) -> DataFrame:
-    """Every row of ``docs`` with its size, its source's size and target, and the words the mix takes of it.
+def _order(identity: str, text: str) -> Column:
+    return F.md5(F.concat_ws(":", F.coalesce(F.col(identity).cast("string"), F.lit("")), text_of(text)))
 
-    Sizes are words; null and empty texts have none and are taken with 0. A null source is a source. Rows are shuffled
-    by a digest of id and text, so a rerun gives the same; rows that agree in both may change places with each other.
-    Other columns are left aside; an empty table stays empty.
-    """
+
+def _mixed(docs: DataFrame, identity: str, text: str, source: str, share: float, most: float, block: int) -> DataFrame:
     spark = docs.sparkSession
     rows = frozen(docs.select(
-        F.col(identity).alias("id"), F.col(source).alias("source"), text_of(text).alias("text")).select(
-        "id", _key("source").alias("source_key"), word_count("text").alias("size"),
-        F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), "text")).alias("order")))
+        F.col(identity).alias("id"), _key(source).alias("source_key"), word_count(text).alias("size"),
+        _order(identity, text).alias("order")))
     goals = frozen(targets(rows.groupBy("source_key").agg(F.sum("size").alias("source_size")), share, most))
     slots = schedule(spark, _planned(goals, block), block)
     placed = with_starts(rows, "source_key", "order", "size", goals)
@@ -125,10 +121,43 @@ def mix(docs: DataFrame, identity: str = "doc_id", text: str = "text", source: s
     end = F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block), F.col("limit"))
     drawn = pieces.join(slots, ["source_key", "block"], "left").withColumn("drawn", F.greatest(end - begin, F.lit(0)))
     return drawn.groupBy("source_key", "bucket", "place").agg(
-        F.first("id").alias(identity), F.first("size").alias("size"), F.first("source_size").alias("source_size"),
-        F.first("target").alias("target"),
-        F.coalesce(F.sum(F.when(F.col("limit").isNotNull(), F.col("drawn"))), F.lit(0)).cast("long").alias("taken"),
-    ).drop("source_key", "bucket", "place")
+        F.first("id").alias("id"), F.first("order").alias("order"), F.first("size").alias("size"),
+        F.first("source_size").alias("source_size"), F.first("target").alias("target"),
+        F.coalesce(F.sum(F.when(F.col("limit").isNotNull(), F.col("drawn"))), F.lit(0)).cast("long").alias("taken"))
+
+
+def mix(docs: DataFrame, identity: str = "doc_id", text: str = "text", source: str = "source", share: float = SHARE,
+        most: float = MOST, block: int = BLOCK) -> DataFrame:
+    """Every row of ``docs`` with its size, its source's size and target, and the words the mix takes of it.
+
+    Sizes are words; null and empty texts have none and are taken with 0. A null source is a source. Rows are shuffled
+    by a digest of id and text, so a rerun gives the same; rows that agree in both may change places with each other.
+    Other columns are left aside; an empty table stays empty.
+    """
+    return _mixed(docs, identity, text, source, share, most, block).select(
+        F.col("id").alias(identity), "size", "source_size", "target", "taken")
+
+
+def mixed_rows(docs: DataFrame, identity: str = "doc_id", text: str = "text", source: str = "source",
+               share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as the mix takes them: never, once, or up to ``most`` times.
+
+    A document at the end of its source's target counts as taken once more if at least half of its words are. Texts
+    without words are not taken. Which of several equal rows are repeated is not determined, nor does it show.
+    """
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    taken = _mixed(docs, identity, text, source, share, most, block).where("taken > 0").select(
+        "order", times.alias("times")).where("times > 0")
+    # Equal rows share a digest; theirs are put together and dealt out again by place.
+    taken = taken.groupBy("order").agg(F.collect_list("times").alias("_times")).withColumnRenamed("order", "_order")
+    keyed = docs.withColumn("_digest", _order(identity, text))
+    found = keyed.join(taken, F.col("_digest") == F.col("_order"))
+    alone = found.where(F.size("_times") == 1).withColumn("_turn", F.lit(1))
+    several = found.where(F.size("_times") > 1).withColumn(
+        "_turn", F.row_number().over(Window.partitionBy("_digest").orderBy("_digest")))
+    dealt = alone.unionByName(several).where(F.col("_turn") <= F.size("_times"))
+    return dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.element_at("_times", F.col("_turn"))))).select(
+        *docs.columns)
 
 
 SQL = f"""

@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from depotflow.llm import archives, decontamination, extraction, mixing, passages, quality, rules, sharding, toxicity
+from depotflow.llm import (
+    archives, decontamination, extraction, mixing, ngrams, passages, quality, rules, sharding, toxicity,
+)
 from depotflow.llm.common import table, training
 from depotflow.llm.words import WORD
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngrams.near_duplicates(table(spark, folder, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = rules.ledger(table(spark, folder, "documents"))
     return rows.select(

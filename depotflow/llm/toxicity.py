@@ -174,3 +174,19 @@ def score(docs: DataFrame, model: Model, identity: str = "doc_id", text: str = "
 
     rows = docs.select(F.col(identity).alias("id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", identity)
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = REJECTED) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores below ``least``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        dense = own.dense()
+        for batch in batches:
+            for part in slices(batch.column(place)):
+                good = chances(part, dense, own.bias, own.bits) < least
+                yield batch.slice(part.first, part.rows).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
