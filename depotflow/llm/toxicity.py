@@ -23,7 +23,7 @@ from depotflow.session import frozen
 #: Training rows at most. Rows are taken by a hash of their id, so the sample is the same in every run.
 SAMPLE = 24_000
 PARTS = 4
-PASSES = 3
+PASSES = 4
 
 #: Texts from this score on are rejected.
 REJECTED = 0.7
@@ -32,9 +32,9 @@ REJECTED = 0.7
 @dataclass(frozen=True)
 class Settings:
     bits: int = 20
-    alpha: float = 0.3
+    alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 1.0
+    l1: float = 4.0
     l2: float = 1.0
 
 
