@@ -2,8 +2,8 @@
 
 Features are presences: of each word, its first four and five bytes, each pair of neighbours and each pair with one word
 between. Per-coordinate rates let rare features move fast, and the L1 term leaves most weights at zero, so the model is
-a few kilobytes to a few megabytes, whatever the corpus holds. Training reads a bounded sample of the labelled rows in a
-fixed number of parts, whose weights are averaged after every pass; scoring reads every whole text once.
+a few kilobytes, whatever the corpus holds. Training reads a bounded sample of the labelled rows in a fixed number of
+parts, each fitted by one task, and averages their weights; scoring reads every whole text once.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from depotflow.session import frozen
 
 #: Training rows at most. Rows are taken by a hash of their id, so the sample is the same in every run.
 SAMPLE = 24_000
-PARTS = 4
-PASSES = 4
+PARTS = 2
+PASSES = 8
 
 #: Texts from this score on are rejected.
 REJECTED = 0.7
@@ -75,41 +75,42 @@ def _parted(part: Slice, bits: int) -> list[np.ndarray]:
     return [np.unique(places[order[a:b]]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _train_part(rows: pd.DataFrame, z: np.ndarray, n: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """One pass of FTRL-proximal over some rows, from the state ``z``, ``n``; the last place is the bias."""
-    z, n = z.copy(), n.copy()
-    texts = pa.array(rows["text"], pa.large_string())
-    labels = rows["label"].to_numpy()
-    bias = np.array([len(z) - 1])
-    for part in slices(texts):
-        for row, places in enumerate(_parted(part.folded(), settings.bits)):
-            places = np.concatenate([places, bias])
-            own_z, own_n = z[places], n[places]
-            free = np.abs(own_z) - settings.l1
-            free[-1] = np.abs(own_z[-1])
-            weights = np.where(free > 0, -np.sign(own_z) * free / (
-                (settings.beta + np.sqrt(own_n)) / settings.alpha + settings.l2), 0.0)
-            chance = 1 / (1 + np.exp(-np.clip(weights.sum(), -35, 35)))
-            slope = chance - labels[part.first + row]
-            more = own_n + slope * slope
-            z[places] = own_z + slope - (np.sqrt(more) - np.sqrt(own_n)) / settings.alpha * weights
-            n[places] = more
-    return z, n
-
-
-def _learner(state, settings: Settings):
-    """One pass over one part of the sample, from the shared state, as the change of the state."""
-
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        z, n = state.value
+def _fit(rows: pd.DataFrame, settings: Settings, passes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights after some passes of FTRL-proximal over some rows; the last place is the bias."""
+    size = 1 << settings.bits
+    z, n = np.zeros(size + 1), np.zeros(size + 1)
+    known = [np.append(places, size).astype(np.int32)
+             for part in slices(pa.array(rows["text"], pa.large_string())) for places in _parted(part.folded(), settings.bits)]
+    labels, draw = rows["label"].to_numpy(), np.random.default_rng(1)
+
+    def weights(places: np.ndarray) -> np.ndarray:
+        own = z[places]
+        # The bias, at the end, is free of the L1 term.
+        free = np.abs(own) - np.where(places < size, settings.l1, 0.0)
+        rate = (settings.beta + np.sqrt(n[places])) / settings.alpha + settings.l2
+        return np.where(free > 0, -np.sign(own) * free / rate, 0.0)
+
+    for _ in range(passes):
+        for row in draw.permutation(len(known)):
+            places = known[row]
+            own = weights(places)
+            slope = 1 / (1 + np.exp(-np.clip(own.sum(), -35, 35))) - labels[row]
+            before = n[places]
+            after = before + slope * slope
+            z[places] += slope - (np.sqrt(after) - np.sqrt(before)) / settings.alpha * own
+            n[places] = after
+    found = weights(np.arange(size + 1))
+    live = np.flatnonzero(found)
+    return live, found[live]
+
+
+def _fitter(settings: Settings, passes: int):
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
         # In an order of its own, so that neither partitioning nor arrival decides the weights.
-        group = group.fillna({"text": ""}).sort_values(["id", "label", "text"])
-        group = group.sample(frac=1.0, random_state=1, ignore_index=True)
-        after_z, after_n = _train_part(group, z, n, settings)
-        changed = np.flatnonzero(after_n != n)
-        return pd.DataFrame({"place": changed, "z": (after_z - z)[changed], "n": (after_n - n)[changed]})
+        places, weights = _fit(group.fillna({"text": ""}).sort_values(["id", "label", "text"]), settings, passes)
+        return pd.DataFrame({"place": places, "weight": weights})
 
-    return learn
+    return fit
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", identity: str = "doc_id", text: str = "text",
@@ -127,22 +128,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", identity: st
     rows = docs.select(F.col(identity).alias("id"), F.col(text).cast("string").alias("text"))
     # The sample is bounded, so the labels travel to the texts and not the other way round.
     rows = frozen(rows.join(F.broadcast(frozen(chosen)), "id").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))))
-    size = (1 << settings.bits) + 1
-    z, n = np.zeros(size), np.zeros(size)
-    for _ in range(passes):
-        state = spark.sparkContext.broadcast((z, n))
-        change = rows.groupBy("part").applyInPandas(_learner(state, settings), "place long, z double, n double")
-        change = change.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        # One row per feature that occurs in the sample, at most 2**bits of them.
-        moved = change.toPandas()
-        z[moved["place"].to_numpy()] += moved["z"].to_numpy() / parts
-        n[moved["place"].to_numpy()] += moved["n"].to_numpy() / parts
-        state.unpersist()
-    free = np.abs(z) - settings.l1
-    weights = np.where(free > 0, -np.sign(z) * free / ((settings.beta + np.sqrt(n)) / settings.alpha + settings.l2), 0.0)
-    bias = -z[-1] / ((settings.beta + np.sqrt(n[-1])) / settings.alpha + settings.l2)
-    places = np.flatnonzero(weights[:-1])
-    return Model(float(bias), places, weights[places], settings.bits)
+    fitted = rows.groupBy("part").applyInPandas(_fitter(settings, passes), "place long, weight double")
+    size = 1 << settings.bits
+    # The L1 term leaves a few hundred to a few thousand weights.
+    found = dict(fitted.groupBy("place").agg((F.sum("weight") / parts).alias("weight")).collect())
+    places = np.array(sorted(place for place in found if place < size), dtype=np.int64)
+    return Model(found.get(size, 0.0), places, np.array([found[place] for place in places.tolist()]), settings.bits)
 
 
 def chances(part: Slice, dense: np.ndarray, bias: float, bits: int) -> np.ndarray:
