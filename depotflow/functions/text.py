@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ColumnOrName = Column | str
 
@@ -24,8 +24,23 @@ def text_in(value: ColumnOrName, *options: str) -> Column:
     return F.lower(F.rtrim(_col(value))).isin([o.rstrip().lower() for o in options])
 
 
+def comparable(df: DataFrame, name: str) -> Column:
+    """A column of ``df`` as a key: texts that differ in letter case or trailing blanks alone are equal."""
+    return _comparable(F.col(name), df.schema[name].dataType)
+
+
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    return F.lower(F.rtrim(value)) if isinstance(kind, T.StringType) else value
+
+
+# Fixed value: letters follow German order, case and trailing blanks do not count.
+GERMAN = "de_CI_RTRIM"
+
+
 def text_between(value: ColumnOrName, low: str, high: str) -> Column:
-    return F.lower(F.rtrim(_col(value))).between(low.lower(), high.lower())
+    """Between two texts in German order, bounds included."""
+    own = alphabetic(value)
+    return (own >= F.collate(F.lit(low), GERMAN)) & (own <= F.collate(F.lit(high), GERMAN))
 
 
 def _accented_within(low: str, high: str) -> str:
@@ -96,8 +111,8 @@ def like(value: ColumnOrName, pattern: str, escape: str | None = None) -> Column
 
 
 def alphabetic(value: ColumnOrName) -> Column:
-    """Sort key that ignores letter case."""
-    return F.lower(_col(value))
+    """Sort key in German order: letter case does not count, an umlaut follows its base letter."""
+    return F.collate(_col(value).cast("string"), GERMAN)
 
 
 def first_in_alphabet(value: ColumnOrName) -> Column:

@@ -78,9 +78,17 @@ def truncate(table: DataFrame) -> DataFrame:
 
 
 def cascade_key(table: DataFrame, renamed: DataFrame, on: str) -> DataFrame:
-    """Follow changed keys; ``renamed`` holds one row (``old``, ``new``) for each of them."""
+    """Follow changed keys; ``renamed`` holds one row (``old``, ``new``) for each of them.
+
+    A key that ``renamed`` has with two new values stops the job; so no row is multiplied.
+    """
+    one = renamed.groupBy("old").agg(F.min("new").alias("new"), F.max("new").alias("_other"))
+    stop = F.raise_error(F.concat(F.lit("two new keys for "), F.col("old").cast("string")))
+    kind = renamed.schema["new"].dataType
+    one = one.select("old", F.when(F.col("new").eqNullSafe(F.col("_other")), F.col("new")).otherwise(
+        stop.cast(kind)).alias("new"))
     return (
-        table.join(renamed, F.col(on) == F.col("old"), "left")
+        table.join(one, F.col(on) == F.col("old"), "left")
         .withColumn(on, F.coalesce("new", on))
         .select(*table.columns)
     )

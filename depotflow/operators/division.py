@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from depotflow import session
-from depotflow.session import counted
+from depotflow.session import frozen
+
 
 def divide(pairs: DataFrame, candidate: str, element: str, wanted: DataFrame) -> DataFrame:
     """Candidates paired with every ``element`` of ``wanted``; all candidates if it is empty.
 
-    The wanted elements are counted first. Pairs with other elements are dropped before the rest is
-    reduced and counted.
+    The wanted elements are written and counted first, so that Spark knows their size. Pairs with
+    other elements are dropped before the rest is reduced and counted.
     """
-    elements, size = counted(wanted.select(element).distinct())
+    elements = frozen(wanted.select(element).distinct())
+    size = elements.count()
     if size == 0:
         return pairs.select(candidate).distinct()
-    rows = pairs.select(candidate, element)
-    if size > session.FEW_KEYS:
-        # The pairs will be shuffled, so copies go first.
-        rows = rows.distinct()
     return (
-        rows.join(elements, element, "left_semi")
+        pairs.select(candidate, element).join(elements, element, "left_semi")
         .groupBy(candidate).agg(F.countDistinct(element).alias("_covered"))
         .filter(F.col("_covered") == size)
         .select(candidate)

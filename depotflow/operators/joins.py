@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from depotflow.functions import text
 from depotflow.operators.membership import not_matched
 from depotflow.operators.numbering import number_rows
-from depotflow.session import counted
+from depotflow.session import frozen
 
 
 def left_from_dimension(dimension: DataFrame, fact: DataFrame, on: str) -> DataFrame:
@@ -36,8 +37,8 @@ def partners_by_group(df: DataFrame, group: str, key: str) -> DataFrame:
     members = df.filter(F.col(group).isNotNull())
     numbered = number_rows(members, [F.col(group), F.col(key)], "_number")
     groups = numbered.groupBy(group).agg(F.min("_number").alias("_first"), F.count("*").alias("_size"))
-    # As a rule there are few groups, and their members are then not shuffled by them.
-    groups, _size = counted(groups)
+    # As a rule there are few groups; written, they have a known size, and their members stay where they are.
+    groups = frozen(groups)
     position = F.col("_number") - F.col("_first") + 1
     return (
         numbered.join(groups, group)
@@ -48,6 +49,11 @@ def partners_by_group(df: DataFrame, group: str, key: str) -> DataFrame:
 
 
 def count_partners(df: DataFrame, other: DataFrame, key: str, other_key: str, name: str) -> DataFrame:
-    """How many rows of ``other`` each row meets in a join on a non-unique key; rows with none are left out."""
-    met, _size = counted(other.groupBy(F.col(other_key).alias("_met")).agg(F.count("*").alias(name)))
-    return df.join(met, F.col(key) == F.col("_met")).drop("_met")
+    """How many rows of ``other`` each row meets in a join on a non-unique key; rows with none are left out.
+
+    Text keys meet whatever their letter case and trailing blanks.
+    """
+    theirs = text.comparable(other, other_key)
+    met = frozen(other.groupBy(theirs.alias("_met")).agg(F.count("*").alias(name)))
+    return df.join(met, text.comparable(df, key) == F.col("_met")).drop("_met")
+

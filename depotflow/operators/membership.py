@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from depotflow.session import counted
+from depotflow.session import frozen
 
 
 def only_in(
@@ -15,19 +15,24 @@ def only_in(
     """Rows of ``df`` whose key occurs in ``other``.
 
     The keys of ``other`` are reduced before they meet ``df``; where they are unique in it already
-    (a dimension), ``unique`` saves that shuffle. ``measured`` counts the keys first, so that a
-    large ``df`` is not shuffled for a short list.
+    (a dimension), ``unique`` saves that shuffle. ``measured`` writes the keys first, so that Spark
+    knows their size and does not shuffle a large ``df`` for a short list.
     """
     keys = [on] if isinstance(on, str) else on
     wanted = other.select(*keys) if unique else other.select(*keys).distinct()
-    return df.join(counted(wanted)[0] if measured else wanted, keys, "left_semi")
+    return df.join(frozen(wanted) if measured else wanted, keys, "left_semi")
 
 
 def where_exists(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
-    """The correlated spelling of ``only_in``; Spark plans it as the same semi-join."""
+    """The correlated spelling of ``only_in``, with the keys of ``other`` reduced in the same way.
+
+    Without that step the inner rows would be shuffled as they are, a hot key into one task.
+    """
     # Another name for the outer key keeps it from being found in the inner table.
     outer = df.withColumnRenamed(on, "_outer")
-    found = outer.filter(other.where(F.col(on) == F.col("_outer").outer()).exists())
+    # Grouping, unlike DISTINCT, is not optimised away below EXISTS.
+    keys = other.groupBy(on).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 0")
+    found = outer.filter(keys.where(F.col(on) == F.col("_outer").outer()).exists())
     return found.withColumnRenamed("_outer", on)
 
 

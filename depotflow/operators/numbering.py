@@ -10,22 +10,19 @@ from depotflow.session import frozen
 _ROW_BITS = 33
 
 
-def number_rows(
-    df: DataFrame, order: list[Column], name: str, start: int = 1, unique: bool = True
-) -> DataFrame:
-    """Consecutive numbers in the given order.
+def number_rows(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
+    """Consecutive numbers in the given order; rows that it leaves equal are numbered in any order.
 
     One range shuffle sorts the table; each row then knows its partition and its place in it.
     The sorted rows are written once, because a second range shuffle could draw other bounds.
-    What the window sees is one row per partition. Where the order leaves ties (``unique=False``)
-    each row gets a written number of its own first, so that many equal rows spread over tasks.
+    What the window sees is one row per partition. The row's place in the source is the last sort
+    key, so that many equal rows spread over tasks.
     """
-    if not unique:
-        df = frozen(df.withColumn("_tie", F.monotonically_increasing_id()))
-        order = [*order, F.col("_tie")]
     placed = frozen(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*order, F.col("_tie"))
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
     )
     part = F.shiftright("_place", _ROW_BITS)
@@ -39,7 +36,7 @@ def number_rows(
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + local + start)
-        .drop("_part", "_before", "_place", "_tie")
+        .drop("_part", "_before", "_place")
     )
 
 

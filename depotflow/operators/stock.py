@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from depotflow.session import frozen
 
 
 def stock_delta(inserted: DataFrame | None = None, deleted: DataFrame | None = None) -> DataFrame:
@@ -22,24 +24,67 @@ def stock_delta(inserted: DataFrame | None = None, deleted: DataFrame | None = N
     return changes.groupBy("anr").agg(F.sum("menge").alias("menge"))
 
 
+KINDS = ("Insert", "Delete")
+
+
+def split_changes(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Changes that can be booked, and the rest with ``grund``: another kind, no part, or no quantity."""
+    known = F.col("was").isin(*KINDS)
+    reason = F.when(F.col("was").isNull() | ~known, "was").when(F.col("anr").isNull(), "anr").when(
+        F.col("lmenge").isNull(), "lmenge")
+    judged = changes.withColumn("grund", reason)
+    return judged.filter("grund IS NULL").drop("grund"), judged.filter("grund IS NOT NULL")
+
+
 def delta_of_changes(changes: DataFrame) -> DataFrame:
-    """The same for a mixed feed with ``was`` (Insert or Delete), in one pass over it."""
+    """The same for a mixed feed with ``was``, Insert or Delete, in one pass over it.
+
+    The rows are those that ``split_changes`` lets through; any other stops the job.
+    """
     amount = F.col("lmenge").cast("long")
     signed = F.when(F.col("was") == "Insert", amount).when(F.col("was") == "Delete", -amount)
-    return changes.groupBy("anr").agg(F.sum(signed).alias("menge")).filter("menge IS NOT NULL")
+    stop = F.raise_error(F.concat(F.lit("no stock change: "), F.to_json(F.struct("was", "anr", "lmenge"))))
+    booked = F.when(F.col("anr").isNotNull() & signed.isNotNull(), signed).otherwise(stop.cast("long"))
+    return changes.select("anr", booked.alias("menge")).groupBy("anr").agg(F.sum("menge").alias("menge"))
 
 
 def apply_delta(parts: DataFrame, delta: DataFrame) -> DataFrame:
-    """The next version of the part table; unknown stock stays unknown."""
-    kind = parts.schema["amenge"].dataType
-    return (
-        parts.join(delta, "anr", "left")
-        .withColumn("amenge", (F.col("amenge") + F.coalesce("menge", F.lit(0))).cast(kind))
-        .select(*parts.columns)
-    )
+    """The next version of the part table; unknown stock stays unknown.
+
+    Stock becomes a BIGINT, so that no part's total stops the others; the stock rule is checked afterwards.
+    """
+    level = F.col("amenge").cast("long") + F.coalesce("menge", F.lit(0))
+    return parts.join(delta, "anr", "left").withColumn("amenge", level).select(*parts.columns)
 
 
 def maintain_stock(
     parts: DataFrame, inserted: DataFrame | None = None, deleted: DataFrame | None = None
 ) -> DataFrame:
     return apply_delta(parts, stock_delta(inserted, deleted))
+
+
+# The stock a part may have.
+LOWEST, HIGHEST = 0, 10000
+
+
+def outside(low: int = LOWEST, high: int = HIGHEST) -> Column:
+    """Parts whose stock breaks the rule; unknown stock does not."""
+    return ~F.col("amenge").between(low, high)
+
+
+def checked_stock(
+    parts: DataFrame, delta: DataFrame, low: int = LOWEST, high: int = HIGHEST
+) -> tuple[DataFrame, DataFrame]:
+    """The part table after a change, and the changed parts that break the stock rule.
+
+    The rule is checked after the whole change. If any part breaks it, nothing is changed: the table is the old one. The
+    new levels of the changed parts are written once, so that check and result see the same.
+    """
+    changed = frozen(apply_delta(parts.join(delta.select("anr"), "anr", "left_semi"), delta))
+    broken = changed.filter(outside(low, high))
+    if broken.limit(1).count():
+        return parts.withColumn("amenge", F.col("amenge").cast("long")), broken
+    level = changed.select(F.col("anr").alias("_anr"), F.col("amenge").alias("_amenge"), F.lit(True).alias("_new"))
+    new = parts.join(level, F.col("anr") == F.col("_anr"), "left").withColumn(
+        "amenge", F.when(F.col("_new"), F.col("_amenge")).otherwise(F.col("amenge").cast("long")))
+    return new.select(*parts.columns), broken

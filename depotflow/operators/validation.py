@@ -7,9 +7,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from depotflow import session
-from depotflow.functions.text import like, text_in
-from depotflow.session import all_counted, counted
+from depotflow.functions.text import comparable, like, text_in
+from depotflow.session import frozen
 
 
 @dataclass(frozen=True)
@@ -41,9 +40,20 @@ def broken_checks(rows: DataFrame, rules: Rules) -> DataFrame:
     return rows.withColumn("verletzt", names)
 
 
+def _keys(rows: DataFrame, columns: tuple[str, ...], names: tuple[str, ...] | None = None) -> list[Column]:
+    """Key columns as they are compared: letter case and trailing blanks of texts do not count."""
+    return [comparable(rows, c).alias(n) for c, n in zip(columns, names or columns)]
+
+
 def duplicate_keys(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Key values that occur more than once; NULL counts as one value."""
-    return rows.groupBy(*columns).agg(F.count("*").alias("anzahl")).filter("anzahl > 1")
+    """Key values that occur more than once; NULL counts as one value.
+
+    Of several spellings of one text the first is shown.
+    """
+    names = tuple(f"_{c}" for c in columns)
+    shown = [F.min(c).alias(c) for c in columns]
+    found = rows.groupBy(*_keys(rows, columns, names)).agg(*shown, F.count("*").alias("anzahl"))
+    return found.filter("anzahl > 1").drop(*names)
 
 
 def _known(columns: tuple[str, ...]) -> Column:
@@ -53,73 +63,90 @@ def _known(columns: tuple[str, ...]) -> Column:
     return condition
 
 
+def _parents(key: ForeignKey, names: tuple[str, ...]) -> DataFrame:
+    return key.parent.select(*_keys(key.parent, key.parent_columns, names)).distinct()
+
+
 def orphans(rows: DataFrame, key: ForeignKey) -> DataFrame:
     """Rows whose key has no parent; a NULL in the key is not checked."""
-    parent = key.parent.select(*[F.col(p).alias(c) for p, c in zip(key.parent_columns, key.columns)]).distinct()
-    return rows.filter(_known(key.columns)).join(parent, list(key.columns), "left_anti")
+    names = tuple(f"_{c}" for c in key.columns)
+    keyed = rows.filter(_known(key.columns)).select("*", *_keys(rows, key.columns, names))
+    return keyed.join(_parents(key, names), list(names), "left_anti").select(*rows.columns)
 
 
-def validate(rows: DataFrame, rules: Rules, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Accepted rows, and rejected rows with ``verletzt``.
+def judge(rows: DataFrame, rules: Rules, existing: DataFrame | None = None) -> DataFrame:
+    """``rows`` with ``verletzt``, the names of all rules a row breaks.
 
     Only ``rows`` are judged; ``existing`` rows count for unique keys and are taken as they are.
     All rows that share a key are rejected, as a set-based insert would reject them.
 
-    For each key rule the offending key values are found first, from reduced key columns, and
-    counted. They are few as a rule; the whole rows are shuffled only if they are many.
+    The rows are read twice: once for their key columns, from which the offending key values of all
+    rules are found and written as one table, and once to be judged.
     """
-    offending = {name: (columns, _taken(rows, columns, existing)) for name, columns in rules.keys.items()}
-    offending |= {name: (key.columns, _orphan_keys(rows, key)) for name, key in rules.foreign_keys.items()}
-    written = all_counted([keys for _columns, keys in offending.values()])
+    columns = tuple(dict.fromkeys(c for own in [*rules.keys.values(), *(k.columns for k in rules.foreign_keys.values())]
+                                  for c in own))
     judged = broken_checks(rows, rules)
-    for (name, (columns, _keys)), keys in zip(offending.items(), written):
-        judged = _mark(judged, name, columns, keys)
+    if not columns:
+        return judged
+    keys = frozen(rows.select(*_keys(rows, columns)))
+    found = [(name, own, _taken(keys, own, existing)) for name, own in rules.keys.items()]
+    found += [(name, key.columns, _orphan_keys(keys, key)) for name, key in rules.foreign_keys.items()]
+    types = {f.name: f.dataType for f in keys.schema.fields}
+    offending = None
+    for name, own, wrong in found:
+        shaped = wrong.select(F.lit(name).alias("_rule"), *[
+            (F.col(c) if c in own else F.lit(None)).cast(types[c]).alias(c) for c in columns])
+        offending = shaped if offending is None else offending.unionByName(shaped)
+    offending = frozen(offending)
+    for name, own, _wrong in found:
+        judged = _mark(judged, name, own, offending.filter(F.col("_rule") == name))
+    return judged
+
+
+def parted(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Judged rows as accepted ones, and rejected ones with ``verletzt``."""
     accepted = judged.filter(F.size("verletzt") == 0).drop("verletzt")
     return accepted, judged.filter(F.size("verletzt") > 0)
 
 
-def _renamed(keys: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    return keys.select(*[F.col(c).alias(f"_{c}") for c in columns])
-
-
-def _same(columns: tuple[str, ...]) -> Column:
-    """Equal key values, NULL being equal to NULL."""
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return condition
+def validate(rows: DataFrame, rules: Rules, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows, and rejected rows with ``verletzt``."""
+    return parted(judge(rows, rules, existing))
 
 
-def _taken(rows: DataFrame, columns: tuple[str, ...], existing: DataFrame | None) -> DataFrame:
-    """Key values that occur more than once in ``rows`` or that ``existing`` rows have already."""
-    keys = rows.groupBy(*columns).agg(F.count("*").alias("_rows"))
+def _taken(keys: DataFrame, columns: tuple[str, ...], existing: DataFrame | None) -> DataFrame:
+    """Key values that occur more than once in ``keys`` or that ``existing`` rows have already."""
+    counts = keys.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    again = counts.filter("_rows > 1").select(*columns)
     if existing is None:
-        return keys.filter("_rows > 1").select(*columns)
-    # A short batch is sent to the existing rows, which then need not be shuffled.
-    keys, _size = counted(keys)
-    old = existing.select(*columns).join(_renamed(keys, columns), _same(columns), "left_semi")
-    return keys.filter("_rows > 1").select(*columns).union(old).distinct()
+        return again
+    names = tuple(f"_{c}" for c in columns)
+    same = F.lit(True)
+    for c, n in zip(columns, names):
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    old = existing.select(*_keys(existing, columns, names)).join(counts.select(*columns), same, "left_semi")
+    return again.unionByName(old.toDF(*columns)).distinct()
 
 
-def _orphan_keys(rows: DataFrame, key: ForeignKey) -> DataFrame:
-    """Known key values of ``rows`` that the parent does not have."""
-    columns = list(key.columns)
-    keys, size = counted(rows.select(*columns).filter(_known(key.columns)).distinct())
-    parent = key.parent.select(*[F.col(p).alias(c) for p, c in zip(key.parent_columns, columns)])
-    if size <= session.FEW_KEYS:
-        # A short batch is sent to the parent, and only what it finds there is shuffled.
-        parent = parent.join(keys, columns, "left_semi")
-    return keys.join(parent.distinct(), columns, "left_anti")
+def _orphan_keys(keys: DataFrame, key: ForeignKey) -> DataFrame:
+    """Known key values that the parent does not have."""
+    own = keys.select(*key.columns).filter(_known(key.columns)).distinct()
+    return own.join(_parents(key, key.columns), list(key.columns), "left_anti")
 
 
 def _mark(judged: DataFrame, name: str, columns: tuple[str, ...], offending: DataFrame) -> DataFrame:
-    marked = judged.join(_renamed(offending, columns).withColumn("_hit", F.lit(True)), _same(columns), "left")
-    longer = F.array_append("verletzt", F.lit(name))
-    told = F.when(F.col("_hit"), longer).otherwise(F.col("verletzt"))
+    """Add the rule's name to the rows with an offending key, NULL being equal to NULL."""
+    wrong = offending.select(*[F.col(c).alias(f"_{c}") for c in columns], F.lit(True).alias("_hit"))
+    same = F.lit(True)
+    for c in columns:
+        same = same & comparable(judged, c).eqNullSafe(F.col(f"_{c}"))
+    marked = judged.join(wrong, same, "left")
+    told = F.when(F.col("_hit"), F.array_append("verletzt", F.lit(name))).otherwise(F.col("verletzt"))
     return marked.withColumn("verletzt", told).select(*judged.columns)
 
 
 # --- the rules of the model -------------------------------------------------------------------
+# Bounds, patterns and names of these rules are fixed values.
 
 
 def _code_number(column: str, length: int) -> Column:

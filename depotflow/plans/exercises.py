@@ -304,9 +304,8 @@ def that_delivered(star, deliveries, how: str) -> DataFrame:
 
 for _how in ("exists", "in", "join"):
     query(f"e4_9_that_delivered_{_how}", f"""
-        SELECT lnr, lname, status, lstadt FROM lieferant SEMI JOIN lieferung USING (lnr)
-        WHERE lnr IN (SELECT lnr FROM lieferung WHERE {joined.FEW})""")(
-        lambda star, how=_how: that_delivered(star, joined.few_days(star), how)
+        SELECT lnr, lname, status, lstadt FROM lieferant SEMI JOIN lieferung USING (lnr)""")(
+        lambda star, how=_how: that_delivered(star, star.lieferung, how)
     )
 
 
@@ -424,14 +423,11 @@ def _(star):
 
 
 @query("e5_17_covering_suppliers", """
-    WITH tag AS (SELECT DISTINCT anr FROM lieferung WHERE lnr = 4 AND ldatum >= TIMESTAMP '1998-01-01'
-                 AND ldatum < TIMESTAMP '1998-01-08')
-    SELECT lnr FROM lieferant x WHERE lnr <> 4 AND NOT EXISTS (
-        FROM tag WHERE anr NOT IN (SELECT anr FROM lieferung y WHERE y.lnr = x.lnr))""")
+    WITH paare AS (SELECT DISTINCT lnr, anr FROM lieferung)
+    SELECT x.lnr FROM paare x JOIN paare y ON y.anr = x.anr AND y.lnr = 4 AND x.lnr <> 4
+    GROUP BY x.lnr HAVING count(*) = (SELECT count(*) FROM paare WHERE lnr = 4)""")
 def _(star):
-    period = dates.within("ldatum", datetime(1998, 1, 1), datetime(1998, 1, 8))
-    wanted = star.lieferung.filter((F.col("lnr") == 4) & period)
-    return division.divide(star.lieferung, "lnr", "anr", wanted).filter(F.col("lnr") != 4)
+    return division.covers_all_of(star.lieferung, "lnr", "anr", 4)
 
 
 @query("e5_18_all_places", "SELECT lstadt AS ort FROM lieferant GROUP BY 1 UNION SELECT astadt FROM artikel GROUP BY 1")
@@ -457,12 +453,10 @@ def _(star):
 
 
 @query("e5_20_suppliers_of_all_colours", """
-    SELECT lnr, any_value(lname) AS lname FROM lieferung JOIN artikel USING (anr) JOIN lieferant USING (lnr)
-    WHERE ldatum >= TIMESTAMP '1998-01-01' AND ldatum < TIMESTAMP '1998-05-01' GROUP BY lnr
+    SELECT lnr, any_value(lname) AS lname FROM lieferung JOIN artikel USING (anr) JOIN lieferant USING (lnr) GROUP BY lnr
     HAVING list_unique(list(farbe)) = (SELECT count(DISTINCT farbe) FROM artikel)""")
 def _(star):
-    period = dates.within("ldatum", datetime(1998, 1, 1), datetime(1998, 5, 1))
-    pairs = star.lieferung.filter(period).join(star.artikel.select("anr", "farbe"), "anr")
+    pairs = star.lieferung.join(star.artikel.select("anr", "farbe"), "anr")
     complete = division.divide(pairs, "lnr", "farbe", star.artikel)
     return star.only("lieferant", "lnr", "lname").join(complete, "lnr", "left_semi")
 

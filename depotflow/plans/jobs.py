@@ -11,7 +11,7 @@ from depotflow.operators import audit, changes, numbering, receipt, stock, valid
 from depotflow.plans import objects
 from depotflow.plans.registry import query
 from depotflow.session import shared_folder
-from depotflow.sources import schema, sinks
+from depotflow.sources import sinks
 from depotflow.streaming import stock_feed
 
 SUPPLIER = "SELECT lnr, lname, status, lstadt FROM lieferant"
@@ -79,13 +79,17 @@ def _(star):
     return changes.delete(star.lieferant, F.col("status") < 20)
 
 
-@query("d6_delete_unmatched", f"""
-    {SUPPLIER} WHERE lnr = 5
-    UNION {SUPPLIER} JOIN lieferung USING (lnr)
-          WHERE ldatum >= TIMESTAMP '1998-01-01' AND ldatum < TIMESTAMP '1998-01-04'""")
+@query("d6_delete_unmatched", f"{SUPPLIER} WHERE lnr = 5 UNION {SUPPLIER} JOIN lieferung USING (lnr)")
 def _(star):
-    recent = star.lieferung.filter(dates.through_days("ldatum", datetime(1998, 1, 1), datetime(1998, 1, 3)))
-    return changes.delete_unmatched(star.lieferant, recent, "lnr", spared=F.col("lnr") == 5)
+    return changes.delete_unmatched(star.lieferant, star.lieferung, "lnr", spared=F.col("lnr") == 5)
+
+
+@query("d6_delete_unlabelled", """
+    SELECT doc_id, lang, source FROM documents WHERE lang = 'de' UNION
+    SELECT doc_id, lang, source FROM documents JOIN labels USING (doc_id)""")
+def _(star):
+    documents = star.raw("documents").select("doc_id", "lang", "source")
+    return changes.delete_unmatched(documents, star.raw("labels"), "doc_id", spared=text.same_text("lang", "DE"))
 
 
 @query("d7_truncate", "SELECT lnr, anr, lmenge, ldatum FROM lieferung WHERE FALSE")
@@ -98,15 +102,18 @@ STAMP = datetime(2002, 1, 15)
 
 def audited(star):
     """Audit of three changes to the suppliers at once: new ones, moved ones, removed ones."""
-    after = changes.insert(star.lieferant, new_suppliers(star))
-    after = changes.update(after, F.col("status").between(10, 50), lstadt=F.lit("Urbich"))
-    after = changes.delete(after, F.col("status") > 90)
-    return audit.record_changes(star.lieferant, after, "lnr", "lstadt", 2, STAMP, F.lit("pruefer"))
+    new, hit, gone = new_suppliers(star), F.col("status").between(10, 50), F.col("status") > 90
+    table = changes.insert(star.lieferant, new)
+    moved = audit.updated(table, hit, "lnr", lstadt=F.lit("NATION_3"))
+    table = changes.update(table, hit, lstadt=F.lit("NATION_3"))
+    return audit.stamped(
+        audit.inserted(new, "lnr"), moved, audit.deleted(table, gone, "lnr"), number=2, when=STAMP, who=F.lit("pruefer")
+    )
 
 
 @query("d8_audit", f"""
     WITH zeilen AS (
-        SELECT 'Update' AS was, lnr, 'Urbich' AS neu, lstadt AS alt FROM lieferant WHERE status BETWEEN 10 AND 50
+        SELECT 'Update' AS was, lnr, 'NATION_3' AS neu, lstadt AS alt FROM lieferant WHERE status BETWEEN 10 AND 50
         UNION ALL SELECT 'Delete', lnr, NULL, CAST(lnr AS VARCHAR) FROM lieferant WHERE status > 90
         UNION ALL SELECT 'Insert', c_custkey + {FIRST_NEW}, CAST(c_custkey + {FIRST_NEW} AS VARCHAR), NULL FROM customer)
     SELECT 2 AS lfdnr, TIMESTAMP '2002-01-15' AS wann, 'pruefer' AS wer, was,
@@ -115,6 +122,19 @@ def _(star):
     return audited(star)
 
 
+@query("d8_audit_of_columns", """
+    WITH zeilen AS (FROM lieferant WHERE lnr BETWEEN 5 AND 60)
+    SELECT 3 AS lfdnr, TIMESTAMP '2002-01-15' AS wann, 'pruefer' AS wer, 'Update' AS was,
+           CAST(lnr AS VARCHAR) AS primaerschluessel, 'lstadt' AS spalte, 'NATION_7' AS neuer_wert, lstadt AS alter_wert
+    FROM zeilen UNION ALL
+    SELECT 3, TIMESTAMP '2002-01-15', 'pruefer', 'Update', CAST(lnr AS VARCHAR), 'status', CAST(status + 1 AS VARCHAR),
+           CAST(status AS VARCHAR) FROM zeilen""")
+def _(star):
+    touched = audit.updated(
+        star.lieferant, F.col("lnr").between(5, 60), "lnr", lstadt=F.lit("NATION_7"), status=F.col("status") + 1)
+    return audit.stamped(touched, number=3, when=STAMP, who=F.lit("pruefer"), columns=True)
+
+
 # --- stock levels -----------------------------------------------------------------------------
 
 
@@ -126,7 +146,7 @@ def lines(star, flag):
 def stock_sql(change):
     return f"""
         SELECT anr, aname, farbe, gewicht, astadt,
-               CAST(amenge + coalesce((SELECT sum({change}) FROM lineitem WHERE l_partkey = anr), 0) AS INTEGER) AS amenge
+               CAST(amenge + coalesce((SELECT sum({change}) FROM lineitem WHERE l_partkey = anr), 0) AS BIGINT) AS amenge
         FROM artikel"""
 
 
@@ -150,7 +170,7 @@ def _(star):
                    WHERE l_returnflag = 'R' GROUP BY l_partkey),
          verschoben AS (SELECT xor(anr, 1) AS anr, m FROM menge)
     SELECT a.anr, aname, farbe, gewicht, astadt,
-           CAST(amenge - coalesce(menge.m, 0) + coalesce(verschoben.m, 0) AS INTEGER) AS amenge
+           CAST(amenge - coalesce(menge.m, 0) + coalesce(verschoben.m, 0) AS BIGINT) AS amenge
     FROM artikel a LEFT JOIN menge ON menge.anr = a.anr LEFT JOIN verschoben ON verschoben.anr = a.anr""")
 def _(star):
     before = lines(star, "R")
@@ -168,15 +188,72 @@ def _(star):
     return stock.maintain_stock(star.artikel, inserted=new, deleted=old)
 
 
-@query("d9_stock_stream", stock_sql("CASE l_returnflag WHEN 'R' THEN -l_quantity ELSE l_quantity END"))
-def _(star):
-    feed = star.spark.readStream.schema(schema.STORED["lineitem"]).parquet(f"{star.folder}/lineitem*.parquet").select(
-        F.when(F.col("l_returnflag") == "R", "Delete").otherwise("Insert").alias("was"),
-        F.col("l_partkey").alias("anr"), F.col("l_quantity").cast("int").alias("lmenge"),
+FEED = """
+    SELECT CASE l_returnflag WHEN 'R' THEN 'Delete' WHEN 'N' THEN 'Insert' ELSE 'insert' END AS was,
+           CASE WHEN l_linenumber <> 7 THEN l_partkey END AS anr,
+           CASE WHEN l_discount <> 0.1 THEN CAST(l_quantity AS INTEGER) END AS lmenge FROM lineitem"""
+
+
+def streamed(star):
+    """Folder of a feed of order lines as changes, some of a kind that is not known, some without part or quantity.
+
+    The feed lies in several files and is read in several batches.
+    """
+    flag = F.col("l_returnflag")
+    feed = star.raw("lineitem").select(
+        F.when(flag == "R", "Delete").when(flag == "N", "Insert").otherwise("insert").alias("was"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_partkey")).alias("anr"),
+        F.when(F.col("l_discount") != 0.1, F.col("l_quantity").cast("int")).alias("lmenge"),
     )
-    folder = shared_folder(star.spark, "bestand")
-    stock_feed.start(feed, folder, f"{folder}/fortschritt").awaitTermination()
-    return stock_feed.current_stock(star.spark, star.artikel, folder)
+    source, folder = shared_folder(star.spark, "zugang"), shared_folder(star.spark, "bestand")
+    feed.repartition(6, "anr", "lmenge").write.parquet(source)
+    stream = star.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    stock_feed.start(stream, folder, f"{folder}/fortschritt").awaitTermination()
+    return folder
+
+
+@query("d9_stock_stream", f"""
+    WITH buchung AS (SELECT anr, sum(CASE was WHEN 'Delete' THEN -lmenge WHEN 'Insert' THEN lmenge END) AS m
+                     FROM ({FEED}) WHERE anr IS NOT NULL GROUP BY anr)
+    SELECT a.anr, aname, farbe, gewicht, astadt, CAST(amenge + coalesce(m, 0) AS BIGINT) AS amenge
+    FROM artikel a LEFT JOIN buchung b ON b.anr = a.anr""")
+def _(star):
+    return stock_feed.current_stock(star.spark, star.artikel, streamed(star))
+
+
+@query("d9_stream_rejects", f"""
+    SELECT was, anr, lmenge, CASE WHEN was = 'insert' THEN 'was' WHEN anr IS NULL THEN 'anr' ELSE 'lmenge' END AS grund
+    FROM ({FEED}) WHERE was = 'insert' OR anr IS NULL OR lmenge IS NULL""")
+def _(star):
+    return stock_feed.rejects(star.spark, streamed(star))
+
+
+def checked_sql(change, low, high):
+    """The new levels if all changed parts keep the rule, else the old ones."""
+    return f"""
+        WITH neu AS (SELECT a.*, CAST(amenge + m AS BIGINT) AS stand FROM artikel a LEFT JOIN (
+                         SELECT l_partkey, sum({change}) AS m FROM lineitem GROUP BY l_partkey) ON l_partkey = anr)
+        SELECT anr, aname, farbe, gewicht, astadt,
+               CASE WHEN (SELECT count(*) FROM neu WHERE stand NOT BETWEEN {low} AND {high}) = 0
+                    THEN coalesce(stand, amenge) ELSE amenge END AS amenge FROM neu"""
+
+
+@query("d9_accepted_stock", checked_sql("l_quantity", 0, 10000))
+def _(star):
+    return stock.checked_stock(star.artikel, stock.stock_delta(inserted=star.lieferung))[0]
+
+
+@query("d9_refused_stock", checked_sql("-l_quantity", 0, 10000))
+def _(star):
+    return stock.checked_stock(star.artikel, stock.stock_delta(deleted=star.lieferung))[0]
+
+
+@query("d9_broken_parts", """
+    SELECT anr, CAST(amenge - m AS BIGINT) AS amenge FROM artikel JOIN (
+        SELECT l_partkey, sum(l_quantity) AS m FROM lineitem GROUP BY l_partkey) ON l_partkey = anr
+    WHERE amenge - m NOT BETWEEN 0 AND 10000""")
+def _(star):
+    return stock.checked_stock(star.artikel, stock.stock_delta(deleted=star.lieferung))[1].select("anr", "amenge")
 
 
 # --- routing and views ------------------------------------------------------------------------
@@ -258,11 +335,11 @@ def _(star):
 
 @query("d16_update_through_view", """
     SELECT lnr, lstadt, status,
-           CASE WHEN lstadt = 'NATION_3' AND status > 40 THEN 'Kaltduscher' ELSE lname END AS lname
+           CASE WHEN lstadt = 'NATION_3' AND status > 40 THEN 'Fruehaufsteher' ELSE lname END AS lname
     FROM lieferant""")
 def _(star):
     at_city = objects.at_place("NATION_3")
-    return changes.update_through_view(star.lieferant, at_city, F.col("status") > 40, lname=F.lit("Kaltduscher"))
+    return changes.update_through_view(star.lieferant, at_city, F.col("status") > 40, lname=F.lit("Fruehaufsteher"))
 
 
 @query("d16_refused_view_update", """
@@ -279,11 +356,16 @@ def _(star):
 
 
 @query("d16_delete_through_view", f"""
-    {SUPPLIER} WHERE lstadt <> 'NATION_7' OR lnr IN (
-        SELECT lnr FROM lieferung WHERE ldatum >= TIMESTAMP '1998-01-01' AND ldatum < TIMESTAMP '1998-01-04')""")
+    {SUPPLIER} WHERE lstadt <> 'NATION_7' OR lnr IN (SELECT lnr FROM lieferung)""")
 def _(star):
-    recent = star.lieferung.filter(dates.through_days("ldatum", datetime(1998, 1, 1), datetime(1998, 1, 3)))
-    return changes.delete_through_view(star.lieferant, objects.at_place("NATION_7"), recent, "lnr")
+    return changes.delete_through_view(star.lieferant, objects.at_place("NATION_7"), star.lieferung, "lnr")
+
+
+@query("d16_delete_unlabelled_through_view", """
+    SELECT doc_id, lang, source FROM documents WHERE lang <> 'en' OR doc_id IN (SELECT doc_id FROM labels)""")
+def _(star):
+    documents = star.raw("documents").select("doc_id", "lang", "source")
+    return changes.delete_through_view(documents, text.same_text("lang", "EN"), star.raw("labels"), "doc_id")
 
 
 # --- constraints ------------------------------------------------------------------------------
@@ -345,16 +427,57 @@ def _(star):
     return validation.duplicate_keys(star.lieferant, ("status",))
 
 
-@query("d20_orphans", """
-    SELECT lnr, anr, ldatum FROM lieferung LEFT JOIN (SELECT lnr AS k FROM lieferant WHERE status > 2) ON k = lnr
-    WHERE k IS NULL""")
+@query("d20_orphans", "SELECT lnr, anr, ldatum FROM lieferung ANTI JOIN lieferant USING (lnr)")
 def _(star):
-    key = validation.ForeignKey(("lnr",), star.lieferant.filter("status > 2"), ("lnr",))
+    key = validation.ForeignKey(("lnr",), star.lieferant, ("lnr",))
     return validation.orphans(star.lieferung, key).select("lnr", "anr", "ldatum")
 
 
+@query("d20_unlabelled_documents", "SELECT doc_id, lang, source FROM documents ANTI JOIN labels USING (doc_id)")
+def _(star):
+    key = validation.ForeignKey(("doc_id",), star.raw("labels"), ("doc_id",))
+    return validation.orphans(star.raw("documents").select("doc_id", "lang", "source"), key)
+
+
+def document_checks(star):
+    """Documents with a key that ignores letter case, and the labels as their parents."""
+    return validation.Rules(
+        checks={"n_chars_chk": F.col("n_chars").between(100, 5000), "lang_chk": text.text_in("lang", "EN", "DE", "FR")},
+        required=("lang", "source"),
+        keys={"laenge_ps": ("source", "n_chars")},
+        foreign_keys={"label_fs": validation.ForeignKey(("doc_id",), star.raw("labels"), ("doc_id",))},
+    )
+
+
+def spelled_documents(star):
+    rows = star.raw("documents").select("doc_id", "lang", "source", "n_chars")
+    upper = F.concat(F.upper("source"), F.lit("  "))
+    return rows.withColumn("source", F.when(F.col("doc_id") % 2 == 0, upper).otherwise(F.col("source")))
+
+
+DOCUMENTS = """
+    WITH urteil AS (
+        SELECT doc_id, lang, CASE WHEN doc_id % 2 = 0 THEN upper(source) || '  ' ELSE source END AS source, n_chars,
+               concat_ws(',', CASE WHEN n_chars NOT BETWEEN 100 AND 5000 THEN 'n_chars_chk' END,
+                   CASE WHEN lang = 'es' THEN 'lang_chk' END,
+                   CASE WHEN count(*) OVER (PARTITION BY source, n_chars) > 1 THEN 'laenge_ps' END,
+                   CASE WHEN doc_id NOT IN (SELECT doc_id FROM labels) THEN 'label_fs' END) AS verletzt FROM documents)"""
+
+
+@query("d20_validated_documents_rejects", f"{DOCUMENTS} SELECT * FROM urteil WHERE verletzt <> ''")
+def _(star):
+    rejected = validation.validate(spelled_documents(star), document_checks(star))[1]
+    return rejected.withColumn("verletzt", F.array_join("verletzt", ","))
+
+
+@query("d20_validated_documents_accepted", f"""
+    {DOCUMENTS} SELECT doc_id, lang, source, n_chars FROM urteil WHERE verletzt = ''""")
+def _(star):
+    return validation.validate(spelled_documents(star), document_checks(star))[0]
+
+
 def delivery_checks(star):
-    rules = validation.delivery_rules(star.lieferant.filter("status > 2"), star.artikel.filter("amenge > 905"))
+    rules = validation.delivery_rules(star.lieferant, star.artikel)
     return validation.Rules({"lmenge_chk": F.col("lmenge").between(2, 49)}, rules.required, rules.keys, rules.foreign_keys)
 
 
@@ -362,8 +485,8 @@ JUDGED = """
     WITH urteil AS (
         SELECT *, concat_ws(',', CASE WHEN lmenge NOT BETWEEN 2 AND 49 THEN 'lmenge_chk' END,
                    CASE WHEN count(*) OVER (PARTITION BY lnr, anr, ldatum) > 1 THEN 'lief_ps' END,
-                   CASE WHEN lnr NOT IN (SELECT lnr FROM lieferant WHERE status > 2) THEN 'lnr_fs' END,
-                   CASE WHEN anr NOT IN (SELECT anr FROM artikel WHERE amenge > 905) THEN 'anr_fs' END) AS verletzt
+                   CASE WHEN lnr NOT IN (SELECT lnr FROM lieferant) THEN 'lnr_fs' END,
+                   CASE WHEN anr NOT IN (SELECT anr FROM artikel) THEN 'anr_fs' END) AS verletzt
         FROM lieferung)"""
 
 
@@ -393,7 +516,7 @@ RECEIVED = f"""{JUDGED}, neu AS (
 
 
 @query("d9_checked_receipt", f"""
-    {RECEIVED} SELECT a.anr, aname, farbe, gewicht, astadt, CAST(amenge + coalesce(m, 0) AS INTEGER) AS amenge
+    {RECEIVED} SELECT a.anr, aname, farbe, gewicht, astadt, CAST(amenge + coalesce(m, 0) AS BIGINT) AS amenge
     FROM artikel a LEFT JOIN neu ON neu.anr = a.anr""")
 def _(star):
     return receipt_of(star).parts
@@ -439,15 +562,25 @@ def _(star):
 
 @query("d23_only_new_rows_checked", """
     SELECT lnr, anr, lmenge, ldatum FROM lieferung
-    WHERE ldatum < TIMESTAMP '2000-01-01' OR lnr IN (SELECT lnr FROM lieferant WHERE status > 2)""")
+    WHERE ldatum < TIMESTAMP '2000-01-01' OR lnr IN (SELECT lnr FROM lieferant)""")
 def _(star):
     existing = star.lieferung.filter(F.col("ldatum") < F.lit(datetime(2000, 1, 1)).cast("timestamp_ntz"))
     batch = star.lieferung.filter(dates.since("ldatum", datetime(2000, 1, 1)))
-    key = validation.ForeignKey(("lnr",), star.lieferant.filter("status > 2"), ("lnr",))
+    key = validation.ForeignKey(("lnr",), star.lieferant, ("lnr",))
     accepted, _rejected = validation.validate(batch, validation.Rules(foreign_keys={"lnr_fs": key}))
     return existing.unionByName(accepted)
 
 
+@query("d23_only_new_documents_checked", """
+    SELECT doc_id, lang, source FROM documents WHERE lang <> 'en' OR doc_id IN (SELECT doc_id FROM labels)""")
+def _(star):
+    documents = star.raw("documents").select("doc_id", "lang", "source")
+    english = text.same_text("lang", "EN")
+    key = validation.ForeignKey(("doc_id",), star.raw("labels"), ("doc_id",))
+    accepted, _rejected = validation.validate(documents.filter(english), validation.Rules(foreign_keys={"label_fs": key}))
+    return documents.filter(~english).unionByName(accepted)
+
+
 @query("d24_schema_change", "SELECT CAST(lnr AS VARCHAR) AS lnr, lname, status, CAST(NULL AS VARCHAR) AS vers_nr FROM lieferant")
 def _(star):
     wider = changes.add_column(star.lieferant, "vers_nr", "string")

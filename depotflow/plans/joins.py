@@ -13,13 +13,17 @@ from depotflow.plans.registry import query
 
 JOINED = "SELECT lnr, lname, status, lstadt, anr, lmenge, ldatum FROM lieferant"
 
-# Three days in which about half of the suppliers delivered; outer joins need the other half.
-FEW_DAYS = (datetime(1998, 1, 1), datetime(1998, 1, 3))
-FEW = "ldatum >= TIMESTAMP '1998-01-01' AND ldatum < TIMESTAMP '1998-01-04'"
 
+# Beside the model: customers and their events, of which most customers have none.
+def customers(star):
+    return star.raw("customer").select(F.col("c_custkey").alias("kunde"), F.col("c_name").alias("kname"))
 
-def few_days(star):
-    return star.lieferung.filter(dates.through_days("ldatum", *FEW_DAYS))
+
+def events(star):
+    return star.raw("events").select(F.col("user_id").alias("kunde"), F.col("event_type").alias("art"), "value")
+
+
+CUSTOMERS = "SELECT c_custkey AS kunde, c_name AS kname FROM customer"
 
 
 @query("j1_product_size", """
@@ -76,10 +80,15 @@ def that_delivered(star, deliveries):
     return membership.only_in(star.lieferant, deliveries, "lnr").select("lnr", "lname")
 
 
-@query("j7_distinct_as_semi_join", f"""
-    SELECT lnr, any_value(lname) AS lname FROM lieferant JOIN lieferung USING (lnr) WHERE {FEW} GROUP BY lnr""")
+@query("j7_distinct_as_semi_join", """
+    SELECT lnr, any_value(lname) AS lname FROM lieferant JOIN lieferung USING (lnr) GROUP BY lnr""")
+def _(star):
+    return that_delivered(star, star.lieferung)
+
+
+@query("j7_customers_with_events", f"{CUSTOMERS} WHERE c_custkey IN (SELECT user_id FROM events)")
 def _(star):
-    return that_delivered(star, few_days(star))
+    return membership.only_in(customers(star), events(star), "kunde")
 
 
 @query("j8_joined_aggregate", """
@@ -90,47 +99,64 @@ def _(star):
     return star.lieferant.join(counts, "lnr").select("lnr", "lname", "anz")
 
 
-@query("j9_left_outer", f"""
-    {JOINED} LEFT JOIN (SELECT * FROM lieferung WHERE {FEW}) USING (lnr)""")
+@query("j9_left_outer", f"{JOINED} LEFT JOIN lieferung USING (lnr)")
+def _(star):
+    return joins.left_from_dimension(star.lieferant, star.lieferung, "lnr")
+
+
+@query("j9_customers_and_events", f"""
+    SELECT kunde, kname, event_type AS art, value FROM ({CUSTOMERS}) LEFT JOIN events ON user_id = kunde""")
+def _(star):
+    return joins.left_from_dimension(customers(star), events(star), "kunde")
+
+
+@query("j10_right_outer", """
+    SELECT d.lnr, lname, status, lstadt, anr, lmenge, ldatum FROM lieferung d LEFT JOIN lieferant s ON s.lnr = d.lnr""")
 def _(star):
-    return joins.left_from_dimension(star.lieferant, few_days(star), "lnr")
+    return star.lieferant.join(star.lieferung, "lnr", "right")
 
 
-PLACES = "lstadt IN ('NATION_3', 'NATION_7', 'NATION_11', 'NATION_15')"
+def documents(star):
+    return star.raw("documents").select("doc_id", "lang", "source")
 
 
-def some_suppliers(star):
-    return star.lieferant.filter(text.text_in("lstadt", "NATION_3", "NATION_7", "NATION_11", "NATION_15"))
+@query("j10_labels_of_documents", """
+    SELECT doc_id, lang, source, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)""")
+def _(star):
+    return star.raw("labels").join(documents(star), "doc_id", "right").select(
+        "doc_id", "lang", "source", "quality", "toxic")
+
+
+@query("j11_full_outer", f"{JOINED} FULL JOIN lieferung USING (lnr)")
+def _(star):
+    return joins.full_outer(star.lieferant, star.lieferung, "lnr")
 
 
-@query("j10_right_outer", f"""
-    SELECT d.lnr, lname, status, lstadt, anr, lmenge, ldatum
-    FROM lieferung d LEFT JOIN (SELECT * FROM lieferant WHERE {PLACES}) s ON s.lnr = d.lnr""")
+@query("j11_parts_and_customers", """
+    SELECT coalesce(p_partkey, c_custkey) AS nummer, p_name AS aname, c_name AS kname
+    FROM part FULL JOIN customer ON c_custkey = p_partkey""")
 def _(star):
-    return some_suppliers(star).join(star.lieferung, "lnr", "right")
+    parts = star.raw("part").select(F.col("p_partkey").alias("nummer"), F.col("p_name").alias("aname"))
+    buyers = star.raw("customer").select(F.col("c_custkey").alias("nummer"), F.col("c_name").alias("kname"))
+    return joins.full_outer(parts, buyers, "nummer")
 
 
-@query("j11_full_outer", f"""
-    {JOINED} FULL JOIN (SELECT * FROM lieferung WHERE {FEW}) USING (lnr) WHERE {PLACES} OR lstadt IS NULL
-    UNION ALL
-    SELECT lnr, NULL, NULL, NULL, anr, lmenge, ldatum FROM lieferung
-    WHERE {FEW} AND lnr NOT IN (SELECT lnr FROM lieferant WHERE {PLACES})""")
+@query("j12_anti_join", """
+    SELECT lnr, lname FROM lieferant EXCEPT SELECT lnr, lname FROM lieferant JOIN lieferung USING (lnr)""")
 def _(star):
-    return joins.full_outer(some_suppliers(star), few_days(star), "lnr")
+    return membership.not_matched(star.lieferant, star.lieferung, "lnr").select("lnr", "lname")
 
 
-@query("j12_anti_join", f"""
-    SELECT lnr, lname FROM lieferant EXCEPT
-    SELECT lnr, lname FROM lieferant JOIN lieferung USING (lnr) WHERE {FEW}""")
+@query("j12_customers_without_events", f"{CUSTOMERS} ANTI JOIN events ON user_id = c_custkey")
 def _(star):
-    return membership.not_matched(star.lieferant, few_days(star), "lnr").select("lnr", "lname")
+    return membership.not_matched(customers(star), events(star), "kunde")
 
 
-@query("j13_unequal_join", f"""
-    SELECT s.lnr, count(d.lnr) AS fremde_lieferungen FROM lieferant s JOIN lieferung d ON s.lnr <> d.lnr
-    WHERE {FEW} GROUP BY s.lnr""")
+@query("j13_unequal_join", """
+    SELECT lnr, (SELECT count(*) FROM lieferung) - (SELECT count(*) FROM lieferung d WHERE d.lnr = s.lnr)
+        AS fremde_lieferungen FROM lieferant s""")
 def _(star):
-    counted = membership.count_unequal(star.lieferant.select("lnr"), few_days(star), "lnr", "fremde_lieferungen")
+    counted = membership.count_unequal(star.lieferant.select("lnr"), star.lieferung, "lnr", "fremde_lieferungen")
     return counted.filter("fremde_lieferungen > 0")
 
 
@@ -145,6 +171,20 @@ def same_place(star):
     return joins.count_partners(parts, star.lieferant, "astadt", "lstadt", "lieferanten")
 
 
+def mixed_case(rows, column, number):
+    """Texts in capitals with a trailing blank for every second row."""
+    spelled = F.when(F.col(number) % 2 == 0, F.concat(F.upper(column), F.lit(" "))).otherwise(F.lower(column))
+    return rows.withColumn(column, spelled)
+
+
+@query("j14_same_place_mixed_case", """
+    SELECT anr, CASE WHEN anr % 2 = 0 THEN upper(astadt) || ' ' ELSE lower(astadt) END AS astadt, count(*) AS lieferanten
+    FROM artikel JOIN lieferant ON lstadt = astadt GROUP BY anr, artikel.astadt""")
+def _(star):
+    parts = mixed_case(star.artikel.select("anr", "astadt"), "astadt", "anr")
+    return joins.count_partners(parts, mixed_case(star.lieferant, "lstadt", "lnr"), "astadt", "lstadt", "lieferanten")
+
+
 @query("j15_pairs", """
     SELECT astadt, anr, row_number() OVER w AS position, count(*) OVER (PARTITION BY astadt) - row_number() OVER w AS partner
     FROM artikel WINDOW w AS (PARTITION BY astadt ORDER BY anr)""")
@@ -214,8 +254,8 @@ def _(star):
 
 
 def suppliers_where_stored(star, part):
-    place = star.artikel.filter(F.col("anr") == F.lit(part)).select("astadt").scalar()
-    return star.lieferant.filter(F.col("lstadt") == place).select("lnr", "lname", "lstadt")
+    place = star.artikel.filter(F.col("anr") == F.lit(part)).select(text.comparable(star.artikel, "astadt")).scalar()
+    return star.lieferant.filter(text.comparable(star.lieferant, "lstadt") == place).select("lnr", "lname", "lstadt")
 
 
 @query("j21_correlated_count", """
@@ -230,29 +270,51 @@ def frequent_suppliers(star, at_least):
     return star.lieferant.join(counts.filter(F.col("anzahl") >= at_least), "lnr", "left_semi")
 
 
-@query("j22_exists", f"SELECT lnr, lname FROM lieferant WHERE lnr = ANY (SELECT lnr FROM lieferung WHERE {FEW})")
+@query("j22_exists", "SELECT lnr, lname FROM lieferant WHERE lnr = ANY (SELECT lnr FROM lieferung)")
+def _(star):
+    return membership.where_exists(star.lieferant, star.lieferung, "lnr").select("lnr", "lname")
+
+
+@query("j22_customers_with_events", f"{CUSTOMERS} SEMI JOIN events ON user_id = c_custkey")
 def _(star):
-    return membership.where_exists(star.lieferant, few_days(star), "lnr").select("lnr", "lname")
+    return membership.where_exists(customers(star), events(star), "kunde")
 
 
 @query("j23_covers_other", """
-    WITH zeitraum AS (
-        SELECT DISTINCT lnr, anr FROM lieferung WHERE ldatum >= TIMESTAMP '1998-01-01' AND ldatum < TIMESTAMP '1998-01-05'
-            AND lnr = 2)
-    SELECT d.lnr FROM (SELECT DISTINCT lnr, anr FROM lieferung) d JOIN zeitraum z ON z.anr = d.anr
-    WHERE d.lnr <> 2 GROUP BY d.lnr HAVING count(*) = (SELECT count(*) FROM zeitraum)""")
+    WITH ihre AS (SELECT DISTINCT anr FROM lieferung WHERE lnr = 2)
+    SELECT d.lnr FROM (SELECT DISTINCT lnr, anr FROM lieferung) d JOIN ihre z ON z.anr = d.anr
+    WHERE d.lnr <> 2 GROUP BY d.lnr HAVING count(*) = (SELECT count(*) FROM ihre)""")
+def _(star):
+    return division.covers_all_of(star.lieferung, "lnr", "anr", 2)
+
+
+def priorities(star):
+    return star.raw("orders").select(F.col("o_custkey").alias("kunde"), F.col("o_orderpriority").alias("prioritaet"))
+
+
+@query("j23_customers_covering_other", """
+    WITH p AS (SELECT DISTINCT o_custkey AS kunde, o_orderpriority AS prioritaet FROM orders),
+         ihre AS (SELECT prioritaet FROM p WHERE kunde = 7)
+    SELECT DISTINCT kunde FROM p x WHERE kunde <> 7 AND NOT EXISTS (
+        FROM ihre WHERE prioritaet NOT IN (SELECT prioritaet FROM p y WHERE y.kunde = x.kunde))""")
+def _(star):
+    return division.covers_all_of(priorities(star), "kunde", "prioritaet", 7)
+
+
+@query("j24_customers_of_every_priority", """
+    SELECT o_custkey AS kunde FROM orders GROUP BY o_custkey
+    HAVING count(DISTINCT o_orderpriority) = (SELECT count(DISTINCT o_orderpriority) FROM orders)""")
 def _(star):
-    period = star.lieferung.filter(dates.through_days("ldatum", datetime(1998, 1, 1), datetime(1998, 1, 4)))
-    wanted = period.filter(F.col("lnr") == 2)
-    return division.divide(star.lieferung, "lnr", "anr", wanted).filter(F.col("lnr") != 2)
+    pairs = priorities(star)
+    return division.with_every(pairs, "kunde", "prioritaet", pairs.select("prioritaet").distinct())
 
 
 @query("j24_all_of_a_table", """
-    SELECT l_suppkey AS lnr FROM lineitem JOIN part ON p_partkey = l_partkey WHERE year(l_shipdate) = 1998
+    SELECT l_suppkey AS lnr FROM lineitem JOIN part ON p_partkey = l_partkey
     GROUP BY l_suppkey HAVING count(DISTINCT p_brand) = (SELECT count(DISTINCT p_brand) FROM part)""")
 def _(star):
     parts = star.raw("part").select(F.col("p_partkey").alias("anr"), F.col("p_brand").alias("marke"))
-    pairs = star.lieferung.filter(dates.in_year("ldatum", 1998)).join(parts, "anr")
+    pairs = star.lieferung.join(parts, "anr")
     return division.with_every(pairs, "lnr", "marke", parts.select("marke").distinct())
 
 
@@ -275,5 +337,6 @@ def _(star):
 
 
 def stored_with(star, part):
-    place = star.artikel.filter(F.col("anr") == F.lit(part)).select("astadt").scalar()
-    return star.artikel.filter((F.col("astadt") == place) & (F.col("anr") != F.lit(part))).select("anr", "aname")
+    same = text.comparable(star.artikel, "astadt")
+    place = star.artikel.filter(F.col("anr") == F.lit(part)).select(same).scalar()
+    return star.artikel.filter((same == place) & (F.col("anr") != F.lit(part))).select("anr", "aname")

@@ -78,9 +78,10 @@ def chosen_columns(df: DataFrame, columns: list[str], where: str, at_least) -> D
 def parts_at_place_of(star: Star, number) -> DataFrame:
     """Look one part up and list what is stored at its place, with that part's colour beside it."""
     found = star.artikel.filter(F.col("anr") == F.lit(number))
-    place = found.select(F.lower("astadt")).scalar()
+    same = text.comparable(star.artikel, "astadt")
+    place = found.select(same).scalar()
     colour = found.select("farbe").scalar()
-    return star.artikel.filter(F.lower("astadt") == place).select(
+    return star.artikel.filter(same == place).select(
         "anr", "aname", "amenge", F.col("astadt").alias("ort"), colour.alias("farbe")
     )
 

@@ -18,7 +18,7 @@ MODEL = {
     "artikel": """artikel AS (
         SELECT p_partkey AS anr, p_name AS aname, split_part(p_name, ' ', 1) AS farbe,
                CAST(p_size AS DOUBLE) AS gewicht, n_name AS astadt,
-               CAST(floor(p_retailprice) AS INTEGER) AS amenge
+               CAST(floor(p_retailprice) AS BIGINT) AS amenge
         FROM part JOIN nation ON n_nationkey = p_partkey % 20)""",
     "lieferung": """lieferung AS (
         SELECT l_suppkey AS lnr, l_partkey AS anr, CAST(trunc(l_quantity) AS INTEGER) AS lmenge,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def _(star):
 
 
 @query("s2_named_columns", """
-    SELECT p_partkey AS anr, regexp_extract(p_name, '^[a-z]+') AS farbe, CAST(trunc(p_retailprice) AS INTEGER) AS amenge
+    SELECT p_partkey AS anr, regexp_extract(p_name, '^[a-z]+') AS farbe, CAST(trunc(p_retailprice) AS BIGINT) AS amenge
     FROM part""")
 def _(star):
     return star.artikel.select("anr", "farbe", "amenge")
@@ -37,18 +38,21 @@ def _(star):
 
 @query("s3_qualified_name", "SELECT lnr, lname, lstadt FROM lieferant")
 def _(star):
-    sinks.into_shared_view(star.lieferant, "lieferant")
-    return model.qualified(star.spark, "global_temp.lieferant").select("lnr", "lname", "lstadt")
+    database = f"lager_{uuid4().hex}"
+    star.spark.sql(f"CREATE DATABASE {database}")
+    sinks.into_table(star.lieferant, f"{database}.lieferant")
+    return model.qualified(star.spark, f"server.spark_catalog.{database}.lieferant").select("lnr", "lname", "lstadt")
 
 
-@query("s6_binary_files")
+@query("s3_shared_view_name", "SELECT lnr, lname, lstadt FROM lieferant")
 def _(star):
-    return readers.binary_files(star.spark, star.folder, "*.parquet").select("typ", "bytes")
+    sinks.into_shared_view(star.lieferant, "lieferant")
+    return model.qualified(star.spark, "global_temp.lieferant").select("lnr", "lname", "lstadt")
 
 
 @query("s7_text_keys", """
-    SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) || 'Warmduschwer' AS namen,
-           'Max_' || CAST(o_orderkey AS VARCHAR) AS vname, format('{}_Suhl_{}', o_orderkey, o_orderkey) AS ort
+    SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) || 'Lagerkraft' AS namen,
+           'Nr_' || CAST(o_orderkey AS VARCHAR) AS vname, format('{}_Halle_{}', o_orderkey, o_orderkey) AS ort
     FROM orders""")
 def _(star):
     return star.raw("orders").select(*readers.text_keys("o_orderkey"))
@@ -73,6 +77,19 @@ def _(star):
     return sinks.into_folder(numbered_suppliers(star), shared_folder(star.spark, "lief_m_nr"))
 
 
+@query("s8_saved_table", NUMBERED)
+def _(star):
+    return sinks.into_table(numbered_suppliers(star), f"lief_m_nr_{uuid4().hex}")
+
+
+@query("s11_append_to_table", "SELECT lnr, lname, status, lstadt FROM lieferant, range(2)")
+def _(star):
+    name = f"lief_hist_{uuid4().hex}"
+    sinks.into_table(star.lieferant, name)
+    sinks.append_to_table(star.lieferant, name)
+    return star.spark.table(name)
+
+
 @query("s9_session_view", NUMBERED)
 def _(star):
     return sinks.into_session_view(numbered_suppliers(star), "lief_m_nr")

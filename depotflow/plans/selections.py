@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from depotflow.functions import dates, text
+from depotflow.operators import numbering, sets
 from depotflow.plans import objects
 from depotflow.plans.registry import query
 
@@ -191,18 +192,19 @@ def _(star):
 # --- sorting ----------------------------------------------------------------------------------
 
 
-@query("o1_two_keys", "SELECT anr, aname, astadt FROM artikel")
+# The place of each row is a column, so that the order itself is compared.
+@query("o1_two_keys", """
+    SELECT row_number() OVER (ORDER BY lower(aname), lower(astadt) DESC, anr) AS platz, anr, aname, astadt FROM artikel""")
 def _(star):
-    # The part number behind the two keys lets rows with equal names and places spread over tasks.
-    return star.artikel.select("anr", "aname", "astadt").orderBy(
-        text.alphabetic("aname").asc(), text.alphabetic("astadt").desc(), "anr"
-    )
+    order = [text.alphabetic("aname").asc(), text.alphabetic("astadt").desc(), F.col("anr")]
+    return numbering.number_rows(star.artikel.select("anr", "aname", "astadt"), order, "platz")
 
 
-@query("o2_alias", "SELECT anr AS artikelnummer, astadt AS lagerort FROM artikel")
+@query("o2_alias", """
+    SELECT row_number() OVER (ORDER BY anr, astadt DESC) AS platz, anr AS artikelnummer, astadt AS lagerort FROM artikel""")
 def _(star):
     renamed = star.artikel.select(F.col("anr").alias("artikelnummer"), F.col("astadt").alias("lagerort"))
-    return renamed.orderBy(F.asc("artikelnummer"), text.alphabetic("lagerort").desc())
+    return numbering.number_rows(renamed, [F.asc("artikelnummer"), text.alphabetic("lagerort").desc()], "platz")
 
 
 @query("o3_position", "SELECT anr, aname, farbe FROM artikel")
@@ -211,9 +213,10 @@ def _(star):
 
 
 @query("o4_sorted_union", """
-    SELECT ort FROM (SELECT lstadt AS ort FROM lieferant UNION SELECT astadt FROM artikel)""")
+    SELECT row_number() OVER (ORDER BY lower(ort) DESC) AS platz, ort
+    FROM (SELECT lstadt AS ort FROM lieferant UNION SELECT astadt FROM artikel)""")
 def _(star):
-    return all_places(star).orderBy(text.alphabetic("ort").desc())
+    return numbering.number_rows(all_places(star), [text.alphabetic("ort").desc()], "platz")
 
 
 @query("o5_first", """
@@ -233,9 +236,7 @@ def places(star):
 
 
 def all_places(star):
-    living, storing = places(star)
-    # Both sides are reduced before the union, so that few rows meet in it.
-    return living.distinct().union(storing.distinct()).distinct()
+    return sets.union_texts(*places(star), "ort")
 
 
 @query("u1_union", """
@@ -258,8 +259,7 @@ def _(star):
     WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)
       AND NOT EXISTS (SELECT 1 FROM part WHERE p_partkey % 20 = n_nationkey)""")
 def _(star):
-    living, storing = places(star)
-    return living.distinct().subtract(storing.distinct())
+    return sets.except_texts(*places(star), "ort")
 
 
 @query("u4_intersect", """
@@ -267,5 +267,24 @@ def _(star):
     WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)
       AND EXISTS (SELECT 1 FROM part WHERE p_partkey % 20 = n_nationkey)""")
 def _(star):
+    return sets.intersect_texts(*places(star), "ort")
+
+
+def mixed_case_places(star):
+    """Places in capitals on one side, in small letters with trailing blanks on the other."""
     living, storing = places(star)
-    return living.distinct().intersect(storing.distinct())
+    return living.select(F.upper("ort").alias("ort")), storing.select(F.concat(F.lower("ort"), F.lit("  ")).alias("ort"))
+
+
+@query("u4_intersect_mixed_case", """
+    SELECT upper(n_name) AS ort FROM nation
+    WHERE n_nationkey IN (SELECT s_nationkey FROM supplier) AND n_nationkey IN (SELECT p_partkey % 20 FROM part)""")
+def _(star):
+    return sets.intersect_texts(*mixed_case_places(star), "ort")
+
+
+@query("u3_except_mixed_case", """
+    SELECT upper(n_name) AS ort FROM nation
+    WHERE n_nationkey IN (SELECT s_nationkey FROM supplier) AND n_nationkey NOT IN (SELECT p_partkey % 20 FROM part)""")
+def _(star):
+    return sets.except_texts(*mixed_case_places(star), "ort")

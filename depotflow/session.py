@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(name: str = "depotflow", master: str | None = None, **conf: object) -> SparkSession:
@@ -44,42 +44,46 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured or context.getCheckpointDir()
 
 
+# Folders handed out and not yet removed, in order.
+_folders: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused path in the folder that ``spark.checkpoint.dir`` names."""
     base = _ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/depotflow/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/depotflow/{purpose}-{uuid.uuid4().hex}"
+    _folders.append(path)
+    return path
 
 
-def frozen(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into a table of the shared folder and go on from there.
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a written folder, wherever Spark's file systems keep it; one that is not there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-    Later jobs all see the same rows, read only the columns they need, and lose nothing with an
-    executor.
-    """
-    path = shared_folder(df.sparkSession, "frozen")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is written to the shared folder inside the ``with`` block at its end.
 
-# Key sets up to this many rows are sent to every task: some ten megabytes.
-FEW_KEYS = 500_000
+    Results that are still to be read afterwards must have been written elsewhere by then.
+    """
+    before = len(_folders)
+    try:
+        yield
+    finally:
+        own = _folders[before:]
+        del _folders[before:]
+        for path in own:
+            remove(spark, path)
 
 
-def counted(keys: DataFrame) -> tuple[DataFrame, int]:
-    """A set of keys that decides a join, written down and counted, and its size.
+def frozen(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into a table of the shared folder and go on from there.
 
-    Spark cannot foresee how few keys a condition on groups leaves. Up to ``FEW_KEYS`` of them are
-    broadcast, so that the other side is not shuffled; more are joined by shuffling.
+    Later jobs all see the same rows, read only the columns they need, and lose nothing with an
+    executor. The files have true sizes, so joins with the table follow Spark's own broadcast limit.
     """
-    written = frozen(keys)
-    size = written.count()
-    return (F.broadcast(written) if size <= FEW_KEYS else written.hint("merge")), size
-
-
-def all_counted(sets: list[DataFrame]) -> list[DataFrame]:
-    """``counted`` for independent sets, whose jobs share the cluster instead of waiting in line."""
-    if not sets:
-        return []
-    work = inheritable_thread_target(sets[0].sparkSession)(lambda keys: counted(keys)[0])
-    with ThreadPoolExecutor(max_workers=min(8, len(sets))) as pool:
-        return list(pool.map(work, sets))
+    path = shared_folder(df.sparkSession, "frozen")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

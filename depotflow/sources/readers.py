@@ -11,9 +11,9 @@ def text_keys(number: str | Column) -> list[Column]:
     text = n.cast("string")
     return [
         n.alias("id"),
-        F.concat(text, F.lit("Warmduschwer")).alias("namen"),
-        F.concat(F.lit("Max_"), text).alias("vname"),
-        F.concat(text, F.lit("_Suhl_"), text).alias("ort"),
+        F.concat(text, F.lit("Lagerkraft")).alias("namen"),
+        F.concat(F.lit("Nr_"), text).alias("vname"),
+        F.concat(text, F.lit("_Halle_"), text).alias("ort"),
     ]
 
 

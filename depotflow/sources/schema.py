@@ -20,7 +20,7 @@ ARTIKEL = T.StructType([
     _field("farbe", T.StringType()),
     _field("gewicht", T.DecimalType(9, 2)),
     _field("astadt", T.StringType()),
-    _field("amenge", T.IntegerType()),
+    _field("amenge", T.LongType()),
 ])
 
 LIEFERUNG = T.StructType([

@@ -144,7 +144,7 @@ def from_tables(spark: SparkSession, folder: str) -> Star:
             F.substring_index("p_name", " ", 1).alias("farbe"),
             F.col("p_size").cast("decimal(9,2)").alias("gewicht"),
             "astadt",
-            F.floor("p_retailprice").cast("int").alias("amenge"),
+            F.floor("p_retailprice").cast("long").alias("amenge"),
         )
 
     def lieferung(*columns: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Stock levels from a stream of delivery changes.
 
-Each micro-batch writes the summed change of the parts it touches into a folder of its own. A
-batch that is replayed after a failure overwrites its folder, so nothing is counted twice, and
-the work of a batch grows with the batch and not with the part table. ``published`` names the
-batches that were written to the end, and the last batch that each compacted sum goes up to.
+Each micro-batch writes the summed change of the parts it touches into a folder of its own, and the
+work of a batch grows with the batch and not with the part table. A marker, an empty folder whose
+name has the batch's number, says that the batch is complete; a batch that is replayed after that is
+left as it is, so readers never see it half written, and nothing is counted twice.
 """
 
 from __future__ import annotations
@@ -13,40 +13,63 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from depotflow.operators.stock import apply_delta, delta_of_changes
+from depotflow.operators.stock import apply_delta, delta_of_changes, split_changes
+from depotflow.session import remove, shared_folder
 
 # Splits a batch into accepted and rejected rows.
 Check = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
-_PUBLISHED = "kind STRING, batch BIGINT"
+_NONE = -1
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers behind the last sign of the names in a folder, which may be missing."""
+    files, place = _files(spark, folder)
+    if not files.exists(place):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(place)]
+    return sorted(int(name.rpartition("=")[2]) for name in names if "=" in name)
+
+
+def _last(spark: SparkSession, folder: str, kind: str) -> int:
+    return max(_numbers(spark, f"{folder}/published/{kind}"), default=_NONE)
 
 
 def _publish(spark: SparkSession, folder: str, kind: str, batch: int) -> None:
-    entry = spark.range(batch, batch + 1, 1, 1).select(F.lit(kind).alias("kind"), F.col("id").alias("batch"))
-    entry.write.mode("append").parquet(f"{folder}/published")
+    """Name a batch as complete, then drop the markers it replaces."""
+    files, place = _files(spark, f"{folder}/published/{kind}/batch={batch}")
+    files.mkdirs(place)
+    for earlier in _numbers(spark, f"{folder}/published/{kind}"):
+        if earlier < batch:
+            remove(spark, f"{folder}/published/{kind}/batch={earlier}")
 
 
 def write_batch(changes: DataFrame, batch: int, folder: str, check: Check | None = None) -> None:
     """Store the change of one batch; ``changes`` has ``was`` (Insert or Delete), ``anr``, ``lmenge``.
 
-    With ``check`` only the accepted rows count, and the rejected ones are stored beside them.
+    Rows of another kind, without part or without quantity, and what ``check`` refuses, are stored as rejects with
+    their reason; all other rows count. A batch that is complete already is not written again.
     """
-    if check is None:
-        _write_deltas(changes, batch, folder)
+    spark = changes.sparkSession
+    if batch <= _last(spark, folder, "deltas"):
         return
-    # The check reads the batch several times; the source is read once.
-    kept = changes.persist()
-    try:
-        accepted, rejected = check(kept)
-        rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch}")
-        _write_deltas(accepted, batch, folder)
-    finally:
-        kept.unpersist()
-
-
-def _write_deltas(changes: DataFrame, batch: int, folder: str) -> None:
-    delta_of_changes(changes).write.mode("overwrite").parquet(f"{folder}/deltas/batch={batch}")
-    _publish(changes.sparkSession, folder, "deltas", batch)
+    # The source is read once; rejects and changes follow from the same rows.
+    path = shared_folder(spark, "batch")
+    changes.write.parquet(path)
+    kept = spark.read.schema(changes.schema).parquet(path)
+    booked, refused = split_changes(kept)
+    refused.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch}")
+    if check is not None:
+        booked, failed = check(booked)
+        failed.write.mode("overwrite").parquet(f"{folder}/failed/batch={batch}")
+    delta_of_changes(booked).write.mode("overwrite").parquet(f"{folder}/deltas/batch={batch}")
+    _publish(spark, folder, "deltas", batch)
+    remove(spark, path)
 
 
 def start(
@@ -61,33 +84,50 @@ def start(
     )
 
 
-def _last(spark: SparkSession, folder: str) -> dict[str, int]:
-    published = spark.read.schema(_PUBLISHED).parquet(f"{folder}/published")
-    # One row for each of the two kinds.
-    return {row.kind: row.batch for row in published.groupBy("kind").agg(F.max("batch").alias("batch")).collect()}
+def _complete(spark: SparkSession, folder: str, kind: str, after: int = _NONE) -> DataFrame | None:
+    """Rows of the complete batches behind a number; None if there is none."""
+    last = _last(spark, folder, "deltas")
+    paths = [f"{folder}/{kind}/batch={n}" for n in _numbers(spark, f"{folder}/{kind}") if after < n <= last]
+    return spark.read.parquet(*paths) if paths else None
 
 
-def _summed(spark: SparkSession, folder: str, last: dict[str, int]) -> DataFrame:
-    """Change of every part up to the last published batch; batches are published in order."""
-    folded = last.get("sums", -1)
-    parts = [
-        spark.read.option("basePath", f"{folder}/deltas").parquet(f"{folder}/deltas")
-        .filter((F.col("batch") > folded) & (F.col("batch") <= last["deltas"])).select("anr", "menge")
-    ]
-    if folded >= 0:
-        parts.append(spark.read.parquet(f"{folder}/sums/through={folded}").select("anr", "menge"))
+def _summed(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Change of every part by all complete batches; None before the first."""
+    folded = _last(spark, folder, "sums")
+    parts = [_complete(spark, folder, "deltas", after=folded)]
+    if folded > _NONE:
+        parts.append(spark.read.parquet(f"{folder}/sums/through={folded}"))
+    parts = [part.select("anr", "menge") for part in parts if part is not None]
+    if not parts:
+        return None
     changes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return changes.groupBy("anr").agg(F.sum("menge").alias("menge"))
 
 
 def current_stock(spark: SparkSession, parts: DataFrame, folder: str) -> DataFrame:
-    """The part table with all published changes applied."""
-    return apply_delta(parts, _summed(spark, folder, _last(spark, folder)))
+    """The part table with all complete batches applied; as it is before the first."""
+    change = _summed(spark, folder)
+    return parts.withColumn("amenge", F.col("amenge").cast("long")) if change is None else apply_delta(parts, change)
+
+
+def rejects(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Rows of the complete batches that could not be booked, with ``grund``; None before the first batch."""
+    return _complete(spark, folder, "rejected")
 
 
 def compact(spark: SparkSession, folder: str) -> None:
-    """Fold the published batches into one sum per part, so that readers open few files."""
-    last = _last(spark, folder)
-    if last["deltas"] > last.get("sums", -1):
-        _summed(spark, folder, last).write.mode("overwrite").parquet(f"{folder}/sums/through={last['deltas']}")
-        _publish(spark, folder, "sums", last["deltas"])
+    """Fold the complete batches into one sum per part, so that readers open few files.
+
+    What the compaction before this one had folded is removed now: a reader that began before this one still finds it.
+    """
+    last, folded = _last(spark, folder, "deltas"), _last(spark, folder, "sums")
+    if last <= folded:
+        return
+    _summed(spark, folder).write.mode("overwrite").parquet(f"{folder}/sums/through={last}")
+    _publish(spark, folder, "sums", last)
+    for batch in _numbers(spark, f"{folder}/deltas"):
+        if batch <= folded:
+            remove(spark, f"{folder}/deltas/batch={batch}")
+    for through in _numbers(spark, f"{folder}/sums"):
+        if through < folded:
+            remove(spark, f"{folder}/sums/through={through}")

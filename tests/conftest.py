@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
     session = build_session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": 4, "spark.ui.enabled": "false",
         "spark.sql.warehouse.dir": tmp_path_factory.mktemp("warehouse"),
+        "spark.checkpoint.dir": tmp_path_factory.mktemp("shared"),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,15 +1,15 @@
 """Operators beside brute force, with ties, NULLs and hot keys."""
 
 from collections import Counter
-from unittest.mock import patch
-
+from pathlib import Path
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from depotflow import session
-from depotflow.operators import division, grouping, joins, membership, numbering
+from depotflow.functions import text
+from depotflow.operators import division, grouping, joins, membership, numbering, sets
+from depotflow.session import scratch, shared_folder
 
 few = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 maybe = st.one_of(st.none(), st.integers(0, 4))
@@ -76,24 +76,55 @@ pairs_of = st.lists(st.tuples(st.integers(0, 4), maybe), max_size=25)
 
 
 @few
-@given(pairs_of, st.lists(maybe, max_size=4), st.sampled_from([0, 500_000]))
-def test_division_matches_nested_not_exists(spark, pairs, wanted, few_keys):
+@given(pairs_of, st.lists(maybe, max_size=4))
+def test_division_matches_nested_not_exists(spark, pairs, wanted):
     df = spark.createDataFrame(pairs, "c int, e int")
     elements = spark.createDataFrame([(w,) for w in wanted], "e int")
-    with patch.object(session, "FEW_KEYS", few_keys):
-        found = sorted(r.c for r in division.divide(df, "c", "e", elements).collect())
+    found = sorted(r.c for r in division.divide(df, "c", "e", elements).collect())
     covers = lambda c: all(any(p == (c, w) and w is not None for p in pairs) for w in wanted)
     assert found == sorted({c for c, _ in pairs if covers(c)})
 
 
-def test_counted_keys(spark, monkeypatch):
+def test_written_keys_follow_the_broadcast_limit(spark):
     facts, keys = spark.range(1000), spark.range(0, 1000, 100)
     few = membership.only_in(facts, keys, "id", unique=True, measured=True)
     assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(session, "FEW_KEYS", 9)
-    many = membership.only_in(facts, keys, "id", unique=True, measured=True)
-    assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
-    assert few.count() == many.count() == 10
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        many = membership.only_in(facts, keys, "id", unique=True, measured=True)
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+        assert few.count() == many.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_texts_meet_whatever_their_case(spark):
+    left = spark.createDataFrame([("Hamburg",), ("hamburg ",), ("Ulm",), (None,), ("Jena",)], "ort string")
+    right = spark.createDataFrame([("HAMBURG",), ("jena  ",), ("Jena",), (None,)], "ort string")
+    found = lambda df: sorted((r.ort for r in df.collect()), key=str)
+    assert found(sets.union_texts(left, right, "ort")) == ["HAMBURG", "Jena", None, "Ulm"]
+    assert found(sets.except_texts(left, right, "ort")) == ["Ulm"]
+    assert found(sets.intersect_texts(left, right, "ort")) == ["Hamburg", "Jena", None]
+    met = joins.count_partners(left, right.withColumnRenamed("ort", "wo"), "ort", "wo", "n")
+    assert sorted((r.ort, r.n) for r in met.collect()) == [("Hamburg", 1), ("Jena", 2), ("hamburg ", 1)]
+
+
+def test_german_order(spark):
+    names = spark.createDataFrame([(n,) for n in ("Zwickau", "Österreich", "arm", "Ärmel", "Gera", "Hof")], "n string")
+    order = [r.n for r in numbering.number_rows(names, [text.alphabetic("n")], "nr").orderBy("nr").collect()]
+    assert order == ["arm", "Ärmel", "Gera", "Hof", "Österreich", "Zwickau"]
+    assert sorted(r.n for r in names.filter(text.text_between("n", "A", "G")).collect()) == ["arm", "Ärmel"]
+
+
+def test_scratch_folders_are_removed(spark):
+    folder = Path(shared_folder(spark, "x").removeprefix("file:")).parent
+    before = set(folder.glob("*"))
+    with scratch(spark):
+        rows = numbering.number_rows(spark.range(100), [F.col("id").desc()], "nr")
+        assert rows.agg(F.max("nr")).first()[0] == 100
+        assert len(set(folder.glob("*")) - before) == 1
+    assert set(folder.glob("*")) == before
 
 
 def test_division_by_every_row(spark):
@@ -151,7 +182,7 @@ def test_hot_join_key_is_split(spark):
         fact = spark.range(0, 300000, 1, 16).select(keys.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
         dimension = spark.range(5000).select(F.col("id").alias("k"), F.lit("d").alias("name"))
         for df in (dimension.join(fact, "k"), joins.full_outer(dimension, fact, "k"),
-                   joins.left_from_dimension(dimension, fact, "k"), membership.only_in(fact, dimension, "k")):
+                   joins.left_from_dimension(dimension, fact, "k"), membership.only_in(fact, dimension, "k"), membership.where_exists(fact, dimension, "k")):
             assert df.count() == 300000
             rows = df.select(F.sum(F.length("v")))
             rows.collect()
@@ -161,6 +192,20 @@ def test_hot_join_key_is_split(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_inner_rows_of_exists_are_reduced(spark):
+    """Facts on the inner side are grouped before they are shuffled, so a hot key is one row per task."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(1000).select((F.col("id") % 7).alias("k"))
+        found = membership.where_exists(spark.range(20).select(F.col("id").alias("k")), fact, "k")
+        assert found.count() == 7
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "partial_count" in plan and "LeftSemi" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_subtotals_match_plain_cube(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("a"), (F.col("id") % 4).alias("b"), F.col("id").alias("v"))
     plain = df.cube("a", "b").agg(F.sum("v").alias("s"), F.grouping_id().cast("int").alias("ebene"))

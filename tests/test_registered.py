@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from depotflow.plans.catalogue import NAMES
 from depotflow.sources import schema, star as model
 from tests.compare import compare, oracle
 
@@ -18,7 +19,7 @@ def connection():
     return oracle(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, connection, name):
     assert compare(spark, connection, entry.queries()[name], entry.oracle_sql().get(name), FOLDER) is None
 
@@ -33,10 +34,10 @@ def test_no_query_multiplies_or_leaves_the_engine(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name, build in entry.queries().items():
-            if name == "d9_stock_stream":
+        for name in NAMES:
+            if name in ("d9_stock_stream", "d9_stream_rejects"):
                 continue
-            plan = build(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+            plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
             for word in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "CollectLimit"):
                 assert word not in plan, (name, word)
     finally:

@@ -1,5 +1,7 @@
 """Sources, sinks and the stock feed."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from depotflow.streaming import stock_feed
 def test_generated_rows(spark):
     made = readers.generate(spark, 5000)
     assert made.count() == 5000 and made.rdd.getNumPartitions() > 1
-    assert tuple(made.filter("id = 42").first()) == (42, "42Warmduschwer", "Max_42", "42_Suhl_42")
+    assert tuple(made.filter("id = 42").first()) == (42, "42Lagerkraft", "Nr_42", "42_Halle_42")
     assert made.filter("vname like '%3099%'").count() == 1
     assert made.filter(F.col("id").between(3055, 10344)).count() == 1946
 
@@ -159,10 +161,24 @@ def test_feed_with_check(star, tmp_path):
     check = lambda rows: validation.validate(rows, rules)
     stock_feed.start(feed, folder, f"{folder}/fortschritt", check).awaitTermination()
     assert levels(stock_feed.current_stock(spark, star.artikel, folder))["A06"] == 1000
-    refused = spark.read.parquet(f"{folder}/rejected/batch=0").collect()
+    refused = spark.read.parquet(f"{folder}/failed/batch=0").collect()
     assert sorted((r.anr, r.verletzt) for r in refused) == [("A06", ["lmenge_chk"]), ("A99", ["anr_fs"])]
 
 
+def test_a_published_batch_is_left_alone(star):
+    """A replay while a reader is at work takes nothing away from it, and rejects are found."""
+    spark = star.spark
+    folder = shared_folder(spark, "feed")
+    assert levels(stock_feed.current_stock(spark, star.artikel, folder)) == levels(star.artikel)
+    assert stock_feed.rejects(spark, folder) is None
+    batch = changes_of(spark, ("Insert", "A06", 500), ("insert", "A06", 7), ("Insert", None, 1), ("Delete", "A05", None))
+    stock_feed.write_batch(batch, 0, folder)
+    reader = stock_feed.current_stock(spark, star.artikel, folder)
+    stock_feed.write_batch(batch, 0, folder)
+    assert levels(reader)["A06"] == 1000
+    assert sorted(r.grund for r in stock_feed.rejects(spark, folder).collect()) == ["anr", "lmenge", "was"]
+
+
 def test_unfinished_batch_is_not_seen(star):
     spark = star.spark
     folder = shared_folder(spark, "feed")
@@ -185,3 +201,6 @@ def test_compaction_keeps_the_stock(star):
     assert levels(stock_feed.current_stock(spark, star.artikel, folder))["A06"] == 1611
     stock_feed.compact(spark, folder)
     assert levels(stock_feed.current_stock(spark, star.artikel, folder))["A06"] == 1611
+    root = Path(folder.removeprefix("file:"))
+    assert [p.name for p in (root / "deltas").glob("batch=*")] == ["batch=3"]
+    assert sorted(p.name for p in (root / "published" / "deltas").iterdir() if not p.name.startswith(".")) == ["batch=3"]
