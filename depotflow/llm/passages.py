@@ -92,19 +92,15 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _marked(rows: DataFrame) -> DataFrame:
     """Per key the spans whose anchor occurs again: ``marks`` of first and last window and kind."""
     seeds = frozen(rows.select("text").mapInArrow(_seeds, "anchor long, n long").groupBy("anchor").agg(
-        F.sum("n").alias("n")).where("n > 1").select("anchor"))
+        F.sum("n").alias("total")).where("total > 1"))
     places = rows.select("kid", "kth", "text").mapInArrow(
         _places, "kid long, kth int, anchor long, span long, first int, last int")
-    places = frozen(places.join(seeds, "anchor", "left_semi"))
+    places = frozen(places.join(seeds, "anchor"))
     by_span = places.groupBy("anchor", "span").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("kid", "kth", "first")).alias("sample"))
-    # Distinct spans of an anchor: one is no edge anywhere.
-    mixed = by_span.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(
-        "anchor", F.lit(True).alias("mixed"))
-    judged = by_span.join(mixed, "anchor", "left")
-    judged = places.join(judged, ["anchor", "span"])
+    judged = places.join(by_span, ["anchor", "span"])
     kind = F.when(F.col("n") == 1, EDGE).when(
-        F.col("mixed") & (F.col("sample") == F.struct("kid", "kth", "first")), SAMPLE).otherwise(WHOLE)
+        (F.col("n") < F.col("total")) & (F.col("sample") == F.struct("kid", "kth", "first")), SAMPLE).otherwise(WHOLE)
     return judged.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last", kind.alias("kind"))).alias("marks"))
 
 
