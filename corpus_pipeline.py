@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from depotflow.llm import decontamination, mixing, ngrams, sharding, toxicity
-from depotflow.llm.common import table
+from depotflow.llm.common import ship, table
 from depotflow.session import frozen
 
 SHARDS = 40
@@ -20,6 +20,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return ngrams.one_of_each(docs)
 
 
