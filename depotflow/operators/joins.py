@@ -22,7 +22,10 @@ def left_from_dimension(dimension: DataFrame, fact: DataFrame, on: str) -> DataF
 
 
 def full_outer(dimension: DataFrame, fact: DataFrame, on: str) -> DataFrame:
-    """Full outer join of a table with unique keys and a fact table, in two splittable parts."""
+    """Full outer join of a dimension and a fact table, in two splittable parts.
+
+    Where a dimension key repeats, its facts repeat with it, as in any outer join.
+    """
     matched = fact.join(dimension, on, "left")
     lonely = not_matched(dimension, fact, on)
     return matched.unionByName(lonely, allowMissingColumns=True)
