@@ -48,9 +48,9 @@ def test_insert_numbered(star, rows):
 
 
 def test_update_and_delete(star, rows):
-    table = star.lieferant.union(supplier(star, ("L22", "Maria", 5, None)))
+    table = star.lieferant.union(supplier(star, ("L22", "Ida", 5, None)))
     moved = changes.update(table, F.col("lnr") == "L22", lstadt=F.lit("Gotha"))
-    assert rows(moved)[-1] == ("L22", "Maria", 5, "Gotha")
+    assert rows(moved)[-1] == ("L22", "Ida", 5, "Gotha")
     # Unknown is not true: the row without a place is neither updated nor deleted.
     assert changes.update(table, F.col("lstadt") != "Aachen", status=F.lit(1)).filter("status = 1").count() == 4
     assert rows(changes.delete(table, F.col("lstadt") != "Aachen"), "lnr") == [("L05",), ("L22",)]
@@ -68,7 +68,7 @@ def test_update_and_delete(star, rows):
 def test_audit(star, rows):
     when = datetime(2022, 6, 30, 12)
     table = star.lieferant
-    after = changes.insert(table, named(star, lnr="L24", lname="Boomer", status=5, lstadt="Weimar"))
+    after = changes.insert(table, named(star, lnr="L24", lname="Fink", status=5, lstadt="Bremen"))
     three, five = F.col("lnr") == "L03", F.col("lnr") == "L05"
     moved = audit.updated(table, three, "lnr", lstadt=F.lit("Jena"))
     log = audit.stamped(audit.inserted(after.filter("lnr = 'L24'"), "lnr"), moved, audit.deleted(table, five, "lnr"),
@@ -165,13 +165,13 @@ def test_two_new_keys_for_one_stop(star):
 
 def test_routing(star, rows):
     feed = star.spark.createDataFrame([
-        ("L10", "Krause", 10, "Erfurt", "A03", 500, datetime(2022, 6, 30)),
-        ("L10", "Krause", 10, "Erfurt", "A04", 100, datetime(2022, 6, 30)),
+        ("L10", "Ihle", 10, "Erfurt", "A03", 500, datetime(2022, 6, 30)),
+        ("L10", "Ihle", 10, "Erfurt", "A04", 100, datetime(2022, 6, 30)),
         ("L01", "Schmidt", 20, "Hamburg", "A03", 500, datetime(2022, 6, 30)),
     ], "lnr string, lname string, status int, lstadt string, anr string, lmenge int, ldatum timestamp_ntz")
     # A known supplier in the batch does not keep the new one out.
     suppliers, deliveries = changes.route_joined_feed(feed, star.lieferant, star.lieferung, "lnr")
-    assert rows(suppliers) == [("L10", "Krause", 10, "Erfurt")]
+    assert rows(suppliers) == [("L10", "Ihle", 10, "Erfurt")]
     assert deliveries.count() == 3 and deliveries.columns == star.lieferung.columns
     refused = changes.refuse_all(star.artikel, "gesperrt")
     assert refused.count() == 6 and refused.first()["grund"] == "gesperrt"
@@ -179,7 +179,7 @@ def test_routing(star, rows):
 
 def test_views(star, rows):
     at_city = objects.at_place("Hamburg")
-    batch = supplier(star, ("L31", "Meier", None, "Weimar"), ("L32", "Lauch", None, "Hamburg"), ("L33", "Maria", None, None))
+    batch = supplier(star, ("L31", "Dorn", None, "Bremen"), ("L32", "Ebel", None, "Hamburg"), ("L33", "Ida", None, None))
     accepted, refused = changes.split_by_view(batch, at_city)
     assert rows(accepted, "lnr") == [("L32",)] and rows(refused, "lnr") == [("L31",), ("L33",)]
     table = star.lieferant.union(batch)
@@ -222,9 +222,9 @@ def test_model_rules(star, few_keys):
         accepted, rejected = validation.validate(table, rules)
         assert accepted.count() == table.count() and rejected.count() == 0
     batch = star.spark.createDataFrame([
-        ("L10", "8Sell", 5, "Jena"), ("L11", "Sell", 105, "Erfurt"), ("l12", "sell", None, None), ("X13", "Sell", 5, "Erfurt"),
-        ("L00", "Sell", 5, "Erfurt"), ("Lab", "Sell", 5, "Erfurt"), ("L14", None, 5, "99"), ("L01", "Kummer", 5, "Erfurt"),
-        ("L15", "Zwei", 5, "Erfurt"), ("L15", "Zwilling", 5, "Erfurt"), (None, "Namenlos", 5, "Erfurt"),
+        ("L10", "8Opal", 5, "Jena"), ("L11", "Opal", 105, "Erfurt"), ("l12", "opal", None, None), ("X13", "Opal", 5, "Erfurt"),
+        ("L00", "Opal", 5, "Erfurt"), ("Lab", "Opal", 5, "Erfurt"), ("L14", None, 5, "99"), ("L01", "Heller", 5, "Erfurt"),
+        ("L15", "Zwei", 5, "Erfurt"), ("L15", "Zweiter", 5, "Erfurt"), (None, "Namenlos", 5, "Erfurt"),
     ], "lnr string, lname string, status int, lstadt string")
     accepted, rejected = validation.validate(batch, validation.supplier_rules(), existing=star.lieferant)
     assert [r.lnr for r in accepted.collect()] == ["l12"]
@@ -265,13 +265,13 @@ def research(spark):
     today = date(2022, 6, 30)
     make = spark.createDataFrame
     tables = {
-        "orte": make([(1, "98527", "Suhl"), (2, "99082", "Erfurt"), (3, "99423", "Weimar"), (4, "07743", "Jena"),
-                      (5, "99868", "Gotha"), (6, "99734", "Nordhausen"), (7, "99610", "Sömmerda")], schema.ORTE),
-        "abteilung": make([("a1", "Forschung", 1)], schema.ABTEILUNG),
-        "projekt": make([("p1", "Mondlandung", Decimal(600000))], schema.PROJEKT),
-        "mitarbeiter": make([(1000, "Müller", "Bernd", 1, "Hochheimer Straße 2", date(1999, 9, 18), "a1")], schema.MITARBEITER),
-        "arbeiten": make([(1000, "p1", "Organisator", today)], schema.ARBEITEN),
-        "telefon": make([(1000, "0361", "563399")], schema.TELEFON),
+        "orte": make([(1, "20095", "Hamburg"), (2, "50667", "Köln"), (3, "28195", "Bremen"), (4, "24103", "Kiel"),
+                      (5, "18055", "Rostock"), (6, "04109", "Leipzig"), (7, "45127", "Essen")], schema.ORTE),
+        "abteilung": make([("a1", "Versuche", 1)], schema.ABTEILUNG),
+        "projekt": make([("p1", "Windkanal", Decimal(40000))], schema.PROJEKT),
+        "mitarbeiter": make([(1000, "Ahrens", "Jule", 1, "Am Deich 7", date(1990, 2, 3), "a1")], schema.MITARBEITER),
+        "arbeiten": make([(1000, "p1", "Messung", today)], schema.ARBEITEN),
+        "telefon": make([(1000, "040", "112233")], schema.TELEFON),
     }
     return tables, validation.research_rules(tables, today), today
 
@@ -293,9 +293,9 @@ def test_research_rules(spark, research):
         "a51": ["abt_nr_chk"], "a0": ["abt_nr_chk"], "b1": ["abt_nr_chk"], "a2": ["abt_name_chk", "aortid_chk", "aortid_fs"]}
     assert bad("projekt", "pr_nr", ("p150", "X", Decimal(1)), ("p151", "X", Decimal(1)), ("p2", "X", Decimal(0)),
                ("p1", "X", Decimal(5))) == {"p151": ["pr_nr_chk"], "p2": ["mittel_chk"], "p1": ["pr_nr_ps"]}
-    assert bad("orte", "ortid", (8, "98527", "Suhl"), (9, None, None)) == {8: ["orte_unq"]}
+    assert bad("orte", "ortid", (8, "20095", "Hamburg"), (9, None, None)) == {8: ["orte_unq"]}
     assert bad("mitarbeiter", "m_nr", (1001, "Ost", None, 8, None, None, None), (1002, "Ost", "5", 1, None, None, "a9")) == {
         1001: ["mortid_fs"], 1002: ["abt_nr_fs", "m_vorname_chk"]}
     assert bad("arbeiten", "m_nr", (1000, "p1", None, date(2022, 6, 23)), (1001, "p1", "x", date(2022, 6, 22))) == {
         1000: ["arbeiten_ps"], 1001: ["einst_dat_chk", "m_nr_fs"]}
-    assert bad("telefon", "tel_nr", (1001, "0361", "1"), (1000, "0361", "563399")) == {"1": ["m_nr_fk"], "563399": ["tel_ps"]}
+    assert bad("telefon", "tel_nr", (1001, "030", "1"), (1000, "040", "112233")) == {"1": ["m_nr_fk"], "112233": ["tel_ps"]}
