@@ -261,3 +261,18 @@ def extract(pages: DataFrame) -> DataFrame:
         "page_id", "url", "blocks", "free", F.coalesce("starts", F.array().cast("array<int>")).alias("starts"))
     texts = declared.unionByName(remaining.mapInArrow(_remaining, f"page_id {kind}, url string, text string"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: For pages whose markup is that of the stored ones: one article of headings and paragraphs, with ``b`` and ``br``.
+SQL = r"""
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS body FROM pages),
+blocks AS (
+    SELECT page_id, url, list_transform(
+        string_split_regex(replace(replace(replace(body, '<br>', ' '), '<b>', ''), '</b>', ''), '</?(?:p|h1)>'),
+        lambda x: trim(regexp_replace(replace(replace(replace(replace(
+            x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS lines FROM articles)
+SELECT page_id, url, array_to_string(list_filter(lines, lambda x: x <> ''), chr(10)) AS text,
+       length(array_to_string(list_filter(lines, lambda x: x <> ''), chr(10)))::BIGINT AS n_chars
+FROM blocks
+"""

@@ -265,3 +265,29 @@ def one_of_each(docs: DataFrame, identity: str = "doc_id", text: str = "text") -
     repeated = found.where("_rows > 1").dropDuplicates(["_key", "_id"])
     return found.where("_rows = 1").unionByName(repeated).select(*docs.columns).unionByName(
         keyed.where("_key IS NULL").select(*docs.columns))
+
+
+#: All pairs of texts that share an n-gram, counted and then walked through.
+SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, text, regexp_matches(coalesce(text, ''), '[^\x20\x09-\x0D]') AS spoken FROM documents),
+texts AS (
+    SELECT md5(text) AS t, min(doc_id) AS sample, count(*) AS n_copies,
+           regexp_extract_all(any_value(text), '[^\x20\x09-\x0D]+') AS w FROM docs WHERE spoken GROUP BY md5(text)),
+grams AS (
+    SELECT DISTINCT t, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT t, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM texts)),
+sizes AS (SELECT t, count(*) AS n FROM grams GROUP BY t),
+shared AS (SELECT a.t AS a, b.t AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.t <> b.t GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared s JOIN sizes x ON x.t = a JOIN sizes y ON y.t = b WHERE 5 * s.n >= 4 * (x.n + y.n - s.n)),
+reached AS (
+    SELECT t, t AS other FROM texts UNION SELECT r.t, l.b FROM reached r JOIN links l ON l.a = r.other),
+classes AS (
+    SELECT r.t, min(sample) AS class_id, min(other) AS class_key FROM reached r JOIN texts x ON x.t = r.other GROUP BY r.t),
+counted AS (SELECT a AS t, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, md5(text) AS text_key, class_id, class_key, coalesce(n_links, 0)::BIGINT AS n_links, n_copies
+FROM docs JOIN texts x ON x.t = md5(text) JOIN classes c ON c.t = x.t LEFT JOIN counted k ON k.t = x.t WHERE spoken
+UNION ALL
+SELECT doc_id, NULL, doc_id, NULL, 0, 1 FROM docs WHERE NOT spoken
+"""

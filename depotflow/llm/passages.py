@@ -199,3 +199,23 @@ def dedup(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> Data
     return whole.join(cut, KEY, "left").select(
         F.col("id").alias(identity), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+
+
+#: Every window of every text, counted, and the words that no repeated one covers.
+SQL = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+runs AS (
+    SELECT r, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS run
+    FROM (SELECT r, w, unnest(generate_series(1, len(w) - {WINDOW - 1})) AS i FROM docs WHERE len(w) >= {WINDOW})),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY run) AS times FROM runs) WHERE times > 1),
+covered AS (SELECT DISTINCT r, i + j AS i FROM again, generate_series(0, {WINDOW - 1}) t(j)),
+kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+    FROM (SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM docs) ANTI JOIN covered USING (r, i)
+    GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""

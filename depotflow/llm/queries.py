@@ -114,4 +114,5 @@ FROM firsts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: build for name, build in list(globals().items()) if name.startswith("op")}
 
-SQL = {"op2_quality_rules": RULES_SQL, "op8_archive_conversion": ARCHIVE_SQL, "op10_mixing": mixing.SQL}
+SQL = {"op1_ngram_jaccard": ngrams.SQL, "op2_quality_rules": RULES_SQL, "op6_substring_dedup": passages.SQL,
+       "op7_html_extraction": extraction.SQL, "op8_archive_conversion": ARCHIVE_SQL, "op10_mixing": mixing.SQL}
