@@ -96,8 +96,9 @@ def _marked(rows: DataFrame) -> DataFrame:
     places = rows.select("kid", "kth", "text").mapInArrow(
         _places, "kid long, kth int, anchor long, span long, first int, last int")
     places = frozen(places.join(seeds, "anchor"))
-    by_span = places.groupBy("anchor", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("kid", "kth", "first")).alias("sample"))
+    # Written, so that the join has exchanges of its own and a span that very many places share can be split.
+    by_span = frozen(places.groupBy("anchor", "span").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("kid", "kth", "first")).alias("sample")))
     judged = places.join(by_span, ["anchor", "span"])
     kind = F.when(F.col("n") == 1, EDGE).when(
         (F.col("n") < F.col("total")) & (F.col("sample") == F.struct("kid", "kth", "first")), SAMPLE).otherwise(WHOLE)
@@ -177,7 +178,7 @@ def repeats(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> Da
     rows = _keyed(docs, identity, text)
     candidates = frozen(rows.join(_marked(rows), KEY).select("kid", "kth", "text", "marks"))
     windows = candidates.mapInArrow(_windows, "kid long, kth int, window long, start int, weight int")
-    again = windows.groupBy("window").agg(F.sum("weight").alias("n")).where("n > 1").select("window")
+    again = frozen(windows.groupBy("window").agg(F.sum("weight").alias("n")).where("n > 1").select("window"))
     edges = windows.where("weight = 1").join(again, "window", "left_semi").groupBy(*KEY).agg(
         F.collect_set("start").alias("edges"))
     cut = candidates.join(edges, KEY, "left").select("kid", "kth", "text", "marks", "edges").mapInArrow(
