@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from depotflow.session import shared_folder
+from depotflow.session import frozen, shared_folder
 
 #: Payloads below this many bytes are always responses.
 LEAST = 100
@@ -215,7 +215,7 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 block = split_http(block)[1]
                 fields = [("WARC-Type", "revisit"), *fields, ("WARC-Refers-To", warc_id(first, first_url, digest)),
                           ("WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")]
-            elif first is None or first == page:
+            else:
                 fields = [("WARC-Type", "response"), *fields]
             fields += [("Content-Type", "application/http; msgtype=response"), ("WARC-Identified-Payload-Type", kind),
                        ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}")]
@@ -239,12 +239,14 @@ def convert(spark: SparkSession, arcs: str, warcs: str, least: int = LEAST) -> N
     Of the records with equal payloads of ``least`` bytes or more, that with the smallest page id is the response and
     the others revisit it; rows that share that id with equal payloads are all responses, and so are records without id
     where no other has one. First pages are found among digests alone, one row per digest and task before the shuffle;
-    payloads are shuffled once, compressed, and a digest that very many records share is split by the join.
+    payloads are shuffled once, compressed.
     """
     records = read_arcs(spark, arcs)
     firsts = records.where(F.col("bytes") >= least).groupBy("digest").agg(
-        F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"))
-    firsts = firsts.select("digest", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url"))
+        F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"),
+        F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join has exchanges of its own, and a digest that very many records share can be split.
+    firsts = frozen(firsts.select("digest", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url")))
     joined = records.join(firsts, "digest", "left").select(
         "page_id", "url", "date", "type", "digest", "bytes", "block",
         F.when(F.col("bytes") >= least, F.col("first")).alias("first"), "first_url")
