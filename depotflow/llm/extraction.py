@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.llm.words import Slice, sequences, slices
+from depotflow.session import frozen
 
 RUN = 6
 
@@ -249,8 +250,9 @@ def extract(pages: DataFrame) -> DataFrame:
     declared = rows.mapInArrow(_texts, f"page_id {kind}, url string, text string")
     hosted = rows.withColumn("host", host_of()).withColumn("page", _page_key())
     runs = hosted.select("host", "page", "html").mapInArrow(_runs, "host string, page long, run long")
-    repeated = runs.groupBy("host", "run").agg(F.min("page").alias("low"), F.max("page").alias("high")).where(
-        "low < high").select("host", "run")
+    # Written, so that the join has exchanges of its own, and a run that all pages of a host share can be split.
+    repeated = frozen(runs.groupBy("host", "run").agg(F.min("page").alias("low"), F.max("page").alias("high")).where(
+        "low < high").select("host", "run"))
     candidates = hosted.select("page_id", "url", "host", "html", "page").mapInArrow(
         _candidates, f"page_id {kind}, url string, host string, page long, blocks array<string>, free array<boolean>, "
         "runs array<long>")
