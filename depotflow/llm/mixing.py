@@ -113,7 +113,7 @@ def _mixed(docs: DataFrame, identity: str, text: str, source: str, share: float,
         F.col(identity).alias("id"), _key(source).alias("source_key"), word_count(text).alias("size"),
         _order(identity, text).alias("order")))
     goals = frozen(targets(rows.groupBy("source_key").agg(F.sum("size").alias("source_size")), share, most))
-    slots = schedule(spark, _planned(goals, block), block)
+    slots = schedule(spark, frozen(_planned(goals, block)), block)
     placed = with_starts(rows, "source_key", "order", "size", goals)
     pieces = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(
         F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")))))
