@@ -48,7 +48,14 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adse
          "pagination", "pager", "toolbar", "login"}
 BODY = re.compile(r"\b(?:article|post|entry|story|main)[-_]?(?:body|content|text)\b")
 
+#: Boilerplate in which an article is a reader's, never the page's own.
+COMMENTS = {"comment", "comments", "reply", "replies", "disqus"}
+
 ARTICLE, MAIN, OPEN, CHROME = "article", "main", "open", "chrome"
+#: Boilerplate by its name or as a form only: it may be the wrapper of the whole page, so main regions open inside it.
+NAMED, FORM = "named", "form"
+#: An article named like boilerplate, or inside something that is: the page's own or a teaser.
+WRAPPED = "wrapped"
 
 
 @dataclass
@@ -70,34 +77,79 @@ def _attributes(text: str) -> dict[str, str]:
     return {name.lower(): html.unescape(value.strip("\"'")).lower() for name, value in _ATTRIBUTE.findall(text)}
 
 
-def _region(tag: str, attributes: dict[str, str], inside: bool) -> str | None:
+def _region(tag: str, attributes: dict[str, str], kind: str) -> str | None:
     """What an element opens, if anything: text that is never shown, boilerplate, or a main region."""
     if tag in INVISIBLE or "hidden" in attributes or re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return ""
     role, named = attributes.get("role", ""), f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    if tag in BOILERPLATE or tag == "header" and not inside or role in ROLES:
+    form = tag == "form" or role == "form"
+    header = tag == "header" and kind not in (ARTICLE, MAIN, WRAPPED)
+    if header or not form and tag in BOILERPLATE or role in ROLES and role != "form":
         return CHROME
-    if tag not in ("html", "body") and NAMES & set(re.split(r"[^a-z0-9]+", named)):
+    names = NAMES & set(re.split(r"[^a-z0-9]+", named)) if tag not in ("html", "body") else set()
+    if tag == "main" or role == "main":
+        return MAIN
+    if names & COMMENTS:
         return CHROME
-    if tag == "article" or "articlebody" in attributes.get("itemprop", ""):
+    if "articlebody" in attributes.get("itemprop", ""):
         return ARTICLE
-    if tag == "main" or role == "main" or BODY.search(named):
-        return MAIN
-    return None
+    if tag == "article" or BODY.search(named) and not form:
+        return WRAPPED if names or kind == NAMED else ARTICLE if tag == "article" else MAIN
+    return NAMED if names else FORM if form else None
+
+
+def _opened(tag: str, attributes: dict[str, str], regions: list[list]) -> str | None:
+    """The region that an element opens inside others, or none where it changes nothing."""
+    kind = regions[-1][0] if regions else OPEN
+    holder = next((own for own, *_ in reversed(regions) if own in (ARTICLE, MAIN, WRAPPED)), None)
+    opened = _region(tag, attributes, kind)
+    if holder in (ARTICLE, WRAPPED) and opened == MAIN:
+        return None
+    if holder == WRAPPED and opened == ARTICLE:
+        return WRAPPED if kind != WRAPPED else None
+    if kind in (NAMED, FORM) and (opened == FORM or opened == kind):
+        return None
+    return opened
+
+
+def _settled(blocks: list[tuple[str, str, int, int]]) -> list[tuple[str, str]]:
+    """Blocks (kind, text, depth and number of the wrapped article) with every wrapped article judged.
+
+    The longest of a depth decides. If it has more words than all that the page declares otherwise, those articles are the
+    page's own, else teasers. On a page that declares nothing else they are its own if the longest has half as many
+    words as the text outside boilerplate; if not, markup leaves them open.
+    """
+    found = [kind for kind, *_ in blocks]
+    for depth in sorted({depth for kind, _, depth, _ in blocks if kind == WRAPPED}):
+        places = [n for n, block in enumerate(blocks) if block[0] == WRAPPED and block[2] == depth]
+        sizes: dict[int, int] = {}
+        for n in places:
+            sizes[blocks[n][3]] = sizes.get(blocks[n][3], 0) + len(blocks[n][1].split())
+        longest = max(sizes.values())
+        held = {kinds: sum(len(block[1].split()) for block, kind in zip(blocks, found, strict=True) if kind in kinds)
+                for kinds in ((ARTICLE, MAIN), (OPEN,))}
+        if held[ARTICLE, MAIN]:
+            verdict = ARTICLE if longest > held[ARTICLE, MAIN] else CHROME
+        else:
+            verdict = ARTICLE if 2 * longest >= held[OPEN,] else OPEN
+        for n in places:
+            found[n] = verdict
+    return [(kind, block[1]) for kind, block in zip(found, blocks, strict=True)]
 
 
 def parse(source: str) -> Page:
     """Blocks of a page. Markup that is never closed is closed by the end of the page or of what holds it."""
-    page, words = Page(), []
-    # Open regions: kind, the tag that opened it, and how many elements of that tag are open inside it.
+    blocks, words = [], []
+    # Open regions: kind, the tag that opened it, how many elements of that tag are open inside it, and for wrapped
+    # articles the depth and a number.
     regions: list[list] = []
-    kind = OPEN
+    kind, wrapped = OPEN, 0
 
     def close() -> None:
         text = " ".join("".join(words).split())
         words.clear()
         if text and kind != "":
-            page.blocks.append((kind, text))
+            blocks.append((CHROME if kind in (NAMED, FORM) else kind, text, *(regions[-1][3:] if regions else (0, 0))))
 
     at = 0
     while match := _TOKEN.match(source, at):
@@ -130,21 +182,25 @@ def parse(source: str) -> Page:
             continue
         if tag in VOID or rest.endswith("/"):
             continue
-        for region in reversed(regions):
-            if region[1] == tag:
-                region[2] += 1
-                break
-        if kind in (CHROME, ""):
+        opened = None
+        if kind not in (CHROME, ""):
+            opened = _opened(tag, _attributes(rest) if rest.strip() else {}, regions)
+        if opened is None:
+            for region in reversed(regions):
+                if region[1] == tag:
+                    region[2] += 1
+                    break
             continue
-        opened = _region(tag, _attributes(rest) if rest.strip() else {}, kind in (ARTICLE, MAIN))
-        if opened is not None and not (opened == MAIN and kind == ARTICLE):
-            close()
-            if regions and regions[-1][1] == tag:
-                regions[-1][2] -= 1
-            regions.append([opened, tag, 1])
-            kind = opened
+        close()
+        depth, number = next((own[3:] for own in reversed(regions) if own[0] == WRAPPED), (0, 0))
+        # The body of a wrapped article is part of it.
+        if opened == WRAPPED and not (depth and "articlebody" in rest.lower()):
+            wrapped += 1
+            depth, number = depth + 1, wrapped
+        regions.append([opened, tag, 1, depth, number])
+        kind = opened
     close()
-    return page
+    return Page(_settled(blocks))
 
 
 def host_of(url: str = "url") -> Column:

@@ -34,6 +34,42 @@ def test_blocks(html, expected):
     assert text_of(html) == expected
 
 
+@pytest.mark.parametrize("html, expected", [
+    ('<div class="content has-sidebar"><nav>n</nav><article><p>a</p></article><p>x</p></div>', "a"),
+    ('<p>stray</p><div id="page" class="social-share-on"><div><main><p>m</p><aside>s</aside></main></div></div>', "m"),
+    ('<form id="aspnet"><div>menu</div><article>one</article><article>two</article></form><p>x</p>', "one\ntwo"),
+    ('<div class="no-sidebar"><div role="main">m</div></div>', "m"),
+    ('<div class="share"><p>x</p><div itemprop="articleBody">b</div></div>', "b"),
+    ('<article><h1>t</h1><div class="sharing" itemprop="articleBody"><p>b</p></div></article>', "t\nb"),
+    ('<div class="has-sidebar"><article><h1>t</h1><div class="share" itemprop="articleBody">b</div></article></div>', "t\nb"),
+    ('<main><h1>t</h1><div class="has-sidebar"><article><p>a b c</p></article></div></main>', "a b c"),
+    ('<article class="post social-share-on">a b</article>', "a b"),
+    ('<main class="has-sidebar">m</main><p>x</p>', "m"),
+    ('<div class="has-sidebar"><div class="post-content">a b</div></div>', "a b"),
+    ('<article>one two</article><div class="related"><article>teaser</article></div>', "one two"),
+    ('<main><p>one two</p><div class="related"><article>teaser</article></div></main>', "one two"),
+    ('<p>one two three four five</p><div class="sidebar"><article>open one</article></div>', "one two three four five\nopen one"),
+    ('<div class="has-sidebar"><article>a b<div class="related"><article>c</article></div></article></div>', "a b"),
+    ('<div class="has-sidebar"><nav><article>n</article></nav><p>c</p></div><p>v</p>', "v"),
+    ('<aside class="sidebar"><article>n</article></aside><p>v</p>', "v"),
+    ('<form><div class="comments"><article>n</article></div></form><p>v</p>', "v"),
+    ('<div class="has-sidebar"><div hidden><article>n</article></div></div><p>v</p>', "v"),
+    ('<form><p>f</p><input></form><p>v</p>', "v"),
+    ('<div role="main"><article>a<div class="ad">x</div>b</article></div><div>y</div>', "a\nb"),
+    ('<div role="main"><section>a<p><span></span></p><div class="ad">x</div></section></div><p>y</p>', "a"),
+])
+def test_main_regions_in_wrappers_named_like_boilerplate(html, expected):
+    assert text_of(html) == expected
+
+
+def test_wrapped_pages_give_their_article(spark):
+    text = "words of the article that only this page has"
+    rows = [(1, "http://h/1", f'<div class="content has-sidebar"><article>{text}</article></div>'),
+            (2, "http://h/2", f'<p>stray</p><form><div><main>{text}</main></div></form>')]
+    found = {r.page_id: r.text for r in extraction.extract(pages(spark, rows)).collect()}
+    assert found == {1: text, 2: text}
+
+
 def test_repeated_runs_of_a_host_are_boilerplate(spark):
     menu = "home about us contact news sport weather"
     foot = "all rights reserved by the owners of this site"
