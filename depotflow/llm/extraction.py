@@ -3,7 +3,9 @@
 A page that declares its article is taken at its word: the article's blocks without menus, notices, forms and the like.
 Of a page that does not, everything outside boilerplate elements is a candidate, and the words of all pages of its host
 say which of it is boilerplate: the pages' token streams are laid end to end, and every substring of ``RUN`` words or
-more that occurs on two distinct pages is removed. What is left are the runs that only this page has.
+more that occurs on at least two and on one in ``SHARE`` of the host's distinct pages is removed. Equal pages under
+several ids or URLs are one page, and so are several versions of one page. A passage or phrase that fewer pages share,
+however long, is prose.
 
 A substring of at least ``RUN`` words is repeated exactly where each of its windows of ``RUN`` words is, so it is enough
 to know the suffixes by their first ``RUN`` words: equal neighbours in the sorted suffix array are groups of equal
@@ -12,6 +14,7 @@ windows, and sorting becomes grouping, with one row per window and task before t
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -25,6 +28,8 @@ from depotflow.llm.words import Slice, sequences, slices
 from depotflow.session import frozen
 
 RUN = 6
+#: Boilerplate is on one in so many of the distinct pages of a host that have a run.
+SHARE = 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<",
@@ -232,14 +237,26 @@ def _outside(page: Page) -> list[str]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of ``RUN`` words of every page's text outside its main region."""
+    """Windows of ``RUN`` words of every page's text outside its main region, and a null for every page that has one.
+
+    ``body`` is a hash of that text, the same for equal pages.
+    """
     for batch in batches:
         for part in slices(batch.column(2)):
             texts = [" ".join(_outside(parse(part.text(row).decode()))) for row in range(part.rows)]
             for own in slices(pa.array(texts, pa.large_string())):
                 inside, owners = _windows(own)
+                bodies = np.array([_body(own.text(row)) for row in range(own.rows)], dtype=np.int64)
+                pages = np.unique(owners)
+                owners = np.concatenate([owners, pages])
+                runs = pa.concat_arrays([pa.array(inside.view(np.int64)), pa.nulls(len(pages), pa.int64())])
                 held = batch.select([0, 1]).take(pa.array(part.first + own.first + owners))
-                yield pa.RecordBatch.from_arrays([*held.columns, pa.array(inside.view(np.int64))], ["host", "page", "run"])
+                yield pa.RecordBatch.from_arrays(
+                    [*held.columns, pa.array(bodies[owners]), runs], ["host", "page", "body", "run"])
+
+
+def _body(text: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
 def _windows(part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -298,17 +315,20 @@ def extract(pages: DataFrame) -> DataFrame:
     """Page id, URL and main text of every row of ``pages`` (page_id, url, html); ``n_chars`` counts code points.
 
     A page without text, null html among them, gives an empty text. A null URL belongs to the empty host. Rows that agree
-    in id and URL are one page and no evidence against each other. Extra columns are left aside, an empty table stays
+    in id and URL are one page and no evidence against each other, and neither are pages with equal words. Extra columns are left aside, an empty table stays
     empty. Words for the suffix array are separated by white space.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     kind = rows.schema["page_id"].dataType.simpleString()
     declared = rows.mapInArrow(_texts, f"page_id {kind}, url string, text string")
     hosted = rows.withColumn("host", host_of()).withColumn("page", _page_key())
-    runs = hosted.select("host", "page", "html").mapInArrow(_runs, "host string, page long, run long")
+    runs = hosted.select("host", "page", "html").mapInArrow(_runs, "host string, page long, body long, run long")
+    counted = frozen(runs.groupBy("host", "run").agg(
+        F.least(F.count_distinct("page"), F.count_distinct("body")).alias("n")).where("n > 1"))
+    sizes = frozen(counted.where("run IS NULL").select("host", F.col("n").alias("total")))
     # Written, so that the join has exchanges of its own, and a run that all pages of a host share can be split.
-    repeated = frozen(runs.groupBy("host", "run").agg(F.min("page").alias("low"), F.max("page").alias("high")).where(
-        "low < high").select("host", "run"))
+    repeated = frozen(counted.where("run IS NOT NULL").join(sizes, "host").where(F.col("n") * SHARE >= F.col("total")).select(
+        "host", "run"))
     candidates = hosted.select("page_id", "url", "host", "html", "page").mapInArrow(
         _candidates, f"page_id {kind}, url string, host string, page long, blocks array<string>, free array<boolean>, "
         "runs array<long>")

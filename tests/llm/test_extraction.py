@@ -82,6 +82,27 @@ def test_repeated_runs_of_a_host_are_boilerplate(spark):
         9: f"{menu}\nalone here", 10: menu}
 
 
+def test_equal_pages_keep_their_text(spark):
+    menu = "home about us contact news sport weather"
+    one, two = "<p>the same long story told here under two ids</p>", "<p>a page that was changed since the last visit</p>"
+    rows = [(1, "http://h/1", one), (2, "http://h/2", one), (1, "http://h/1", one),
+            (3, "http://v/3", two), (3, "http://v/3", two.replace("changed", "rewritten")),
+            *((n, f"http://m/{n % 2}{n}", f"<div>{menu}</div><p>{n // 2} story told in few words</p>") for n in range(10, 14))]
+    found = {(r.page_id, r.url, r.text) for r in extraction.extract(pages(spark, rows)).collect()}
+    assert found == {(1, "http://h/1", one[3:-4]), (2, "http://h/2", one[3:-4]), (3, "http://v/3", two[3:-4]),
+                     (3, "http://v/3", two[3:-4].replace("changed", "rewritten")),
+                     *((n, f"http://m/{n % 2}{n}", f"{n // 2} story told in few words") for n in range(10, 14))}
+
+
+def test_shared_prose_of_a_large_host_stays(spark):
+    menu, quote = "home about us contact news sport weather", "it was the best of times it was the worst of times " * 3
+    texts = [f"{n} begins " + ("on the other side of the " if n % 8 == 0 else "") + (quote if n in (1, 2) else "") + f"{n} ends"
+             for n in range(80)]
+    rows = [(n, f"http://h/{n}", f"<div>{menu}</div><p>{text}</p>") for n, text in enumerate(texts)]
+    found = {r.page_id: r.text for r in extraction.extract(pages(spark, rows)).collect()}
+    assert found == {n: " ".join(text.split()) for n, text in enumerate(texts)}
+
+
 def test_covered_words_are_those_of_all_long_common_substrings(spark):
     """Against every pair of pages and every start, word by word."""
     streams = ["a b c d e f g h i j", "x a b c d e f y d e f g h i j z", "f g h i j k l m", "q r s"]
