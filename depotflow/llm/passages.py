@@ -26,14 +26,15 @@ WINDOW = 35
 RUN = 5
 
 EDGE, WHOLE, SAMPLE = 0, 1, 2
-KEY = ["kid", "kth"]
+KEY = ["kid", "kth", "ktw"]
 NO_ID = -(1 << 63)
 
 
 def _keyed(docs: DataFrame, identity: str, text: str) -> DataFrame:
-    """Id and text with a key of two numbers. Rows that agree in id and text share it, and every result."""
+    """Id and text with a key of the id and 128 bits of the text. Rows that agree in both share it, and every result."""
     return docs.select(F.col(identity).alias("id"), F.col(text).cast("string").alias("text")).select(
-        "id", F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)).alias("kid"), F.hash("text").alias("kth"), "text")
+        "id", F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)).alias("kid"), F.xxhash64("text").alias("kth"),
+        F.xxhash64(F.lit(1), "text").alias("ktw"), "text")
 
 
 def anchors(part: Slice, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
@@ -77,39 +78,39 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch.column(2)):
+        for part in slices(batch.column(3)):
             first, last, found = anchors(part)
             whole = spans(part, first, last)
             owners = part.owners[first]
             begin = part.words[owners]
-            held = batch.select([0, 1]).take(pa.array(part.first + owners))
+            held = batch.select([0, 1, 2]).take(pa.array(part.first + owners))
             yield pa.RecordBatch.from_arrays(
                 [*held.columns, pa.array(found.view(np.int64)), pa.array(whole.view(np.int64)),
                  pa.array((first - begin).astype(np.int32)), pa.array((last - begin).astype(np.int32))],
-                ["kid", "kth", "anchor", "span", "first", "last"])
+                [*KEY, "anchor", "span", "first", "last"])
 
 
 def _marked(rows: DataFrame) -> DataFrame:
     """Per key the spans whose anchor occurs again: ``marks`` of first and last window and kind."""
     seeds = frozen(rows.select("text").mapInArrow(_seeds, "anchor long, n long").groupBy("anchor").agg(
         F.sum("n").alias("total")).where("total > 1"))
-    places = rows.select("kid", "kth", "text").mapInArrow(
-        _places, "kid long, kth int, anchor long, span long, first int, last int")
+    places = rows.select(*KEY, "text").mapInArrow(
+        _places, "kid long, kth long, ktw long, anchor long, span long, first int, last int")
     places = frozen(places.join(seeds, "anchor"))
     # Written, so that the join has exchanges of its own and a span that very many places share can be split.
     by_span = frozen(places.groupBy("anchor", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("kid", "kth", "first")).alias("sample")))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "first")).alias("sample")))
     judged = places.join(by_span, ["anchor", "span"])
     kind = F.when(F.col("n") == 1, EDGE).when(
-        (F.col("n") < F.col("total")) & (F.col("sample") == F.struct("kid", "kth", "first")), SAMPLE).otherwise(WHOLE)
+        (F.col("n") < F.col("total")) & (F.col("sample") == F.struct(*KEY, "first")), SAMPLE).otherwise(WHOLE)
     return judged.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last", kind.alias("kind"))).alias("marks"))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of edge spans, and of one sample of every repeated span that shares its anchor with others."""
     for batch in batches:
-        marks = batch.column(3).to_pylist()
-        for part in slices(batch.column(2)):
+        marks = batch.column(4).to_pylist()
+        for part in slices(batch.column(3)):
             windows = sequences(part.hashes(), WINDOW)
             starts, weights, owners = [], [], []
             for row in range(part.rows):
@@ -122,11 +123,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not starts:
                 continue
             start, owner = np.concatenate(starts), np.concatenate(owners)
-            held = batch.select([0, 1]).take(pa.array(part.first + owner))
+            held = batch.select([0, 1, 2]).take(pa.array(part.first + owner))
             yield pa.RecordBatch.from_arrays(
                 [*held.columns, pa.array(windows[part.words[owner] + start].view(np.int64)),
                  pa.array(start.astype(np.int32)), pa.array(np.concatenate(weights).astype(np.int32))],
-                ["kid", "kth", "window", "start", "weight"])
+                [*KEY, "window", "start", "weight"])
 
 
 def _digest(words: list[bytes]) -> str:
@@ -135,18 +136,18 @@ def _digest(words: list[bytes]) -> str:
 
 def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch.column(3)):
+        for part in slices(batch.column(4)):
             words = [part.text(row).split() for row in range(part.rows)]
-            held = batch.select([0, 1, 2]).slice(part.first, part.rows)
+            held = batch.select([0, 1, 2, 3]).slice(part.first, part.rows)
             yield pa.RecordBatch.from_arrays(
                 [*held.columns, pa.array([len(w) for w in words], pa.int64()), pa.array([_digest(w) for w in words])],
-                ["id", "kid", "kth", "n_words", "whole"])
+                ["id", *KEY, "n_words", "whole"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        marks, edges = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-        for part in slices(batch.column(2)):
+        marks, edges = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+        for part in slices(batch.column(3)):
             removed, kept, digests = [], [], []
             for row in range(part.rows):
                 words = part.text(row).split()
@@ -163,10 +164,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join(left).decode())
                 digests.append(_digest(left))
-            held = batch.select([0, 1]).slice(part.first, part.rows)
+            held = batch.select([0, 1, 2]).slice(part.first, part.rows)
             yield pa.RecordBatch.from_arrays(
                 [*held.columns, pa.array(removed, pa.int64()), pa.array(kept), pa.array(digests)],
-                ["kid", "kth", "n_removed", "kept_text", "kept_sha256"])
+                [*KEY, "n_removed", "kept_text", "kept_sha256"])
 
 
 def repeats(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> DataFrame:
@@ -176,13 +177,13 @@ def repeats(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> Da
     that agree in id and text there is one.
     """
     rows = _keyed(docs, identity, text)
-    candidates = frozen(rows.join(_marked(rows), KEY).select("kid", "kth", "text", "marks"))
-    windows = candidates.mapInArrow(_windows, "kid long, kth int, window long, start int, weight int")
+    candidates = frozen(rows.join(_marked(rows), KEY).select(*KEY, "text", "marks"))
+    windows = candidates.mapInArrow(_windows, "kid long, kth long, ktw long, window long, start int, weight int")
     again = frozen(windows.groupBy("window").agg(F.sum("weight").alias("n")).where("n > 1").select("window"))
     edges = windows.where("weight = 1").join(again, "window", "left_semi").groupBy(*KEY).agg(
         F.collect_set("start").alias("edges"))
-    cut = candidates.join(edges, KEY, "left").select("kid", "kth", "text", "marks", "edges").mapInArrow(
-        _cut, "kid long, kth int, n_removed long, kept_text string, kept_sha256 string")
+    cut = candidates.join(edges, KEY, "left").select(*KEY, "text", "marks", "edges").mapInArrow(
+        _cut, "kid long, kth long, ktw long, n_removed long, kept_text string, kept_sha256 string")
     return cut
 
 
@@ -191,11 +192,12 @@ def dedup(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> Data
 
     Words are judged on the input: a window of ``WINDOW`` words counts as repeated if its words start anywhere else, in
     the same text, another one, or a repeated row. Shorter, empty and null texts lose nothing. Rows with null ids take
-    part like others. Other columns are left aside; an empty table stays empty. Windows are compared by 64-bit hashes.
+    part like others. Other columns are left aside; an empty table stays empty. Windows are compared by 64-bit hashes, and
+    texts under one id, or without one, are told apart by 128 bits.
     """
     kind = docs.schema[identity].dataType.simpleString()
     rows = _keyed(docs, identity, text)
-    whole = rows.mapInArrow(_untouched, f"id {kind}, kid long, kth int, n_words long, whole string")
+    whole = rows.mapInArrow(_untouched, f"id {kind}, kid long, kth long, ktw long, n_words long, whole string")
     cut = repeats(docs, identity, text).drop("kept_text").dropDuplicates(KEY)
     return whole.join(cut, KEY, "left").select(
         F.col("id").alias(identity), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),

@@ -60,6 +60,17 @@ def test_equal_windows_choose_the_same_anchor(drawn, shift):
     assert len(places[0]) == len(drawn) - N + 1
 
 
+def test_texts_under_one_id_whose_short_hashes_agree(spark):
+    """Pairs of these texts share a 32-bit hash, as some do among many rows with null ids."""
+    shared = " ".join(f"p{n}" for n in range(40))
+    texts = [f"w{n} " * (n % 50 + 1) + shared for n in (42894, 77251, 31434, 118523, 2521, 36020)]
+    frame = plain(spark, [(None, t) for t in texts])
+    assert frame.selectExpr("hash(text) AS h").distinct().count() == 3
+    for n in (None, 7):
+        rows = [(n, t) for t in texts]
+        assert found(plain(spark, rows)) == brute(rows)
+
+
 def test_kept_texts(spark):
     draw = random.Random(9)
     shared = sentence(draw, 40)
