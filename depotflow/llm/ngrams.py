@@ -207,7 +207,8 @@ def texts_linked(rows: DataFrame, plan: Plan, threshold: float, block: int) -> t
     # The sample's id is part of the key, so the rows of a text with very many copies do not meet in one task.
     whole = known.join(wanted.withColumnRenamed("text_key", "key"), (F.col("text_key") == F.col("key"))
                        & F.col("id").eqNullSafe(F.col("sample"))).select("text_key", "text", "buckets")
-    whole = frozen(whole)
+    # Copies that share the sample's id, or have no id at all, are made one before the shuffle.
+    whole = frozen(whole.groupBy("text_key").agg(F.any_value("text").alias("text"), F.any_value("buckets").alias("buckets")))
     blocks = F.ceil(F.col("size") / block).cast("int")
     dealt = members.join(whole, "text_key").withColumn("block", F.pmod(F.xxhash64("text_key"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))

@@ -43,6 +43,23 @@ def found(df, **options):
     return sorted(((r.doc_id, r.class_id, r.n_links, r.n_copies) for r in rows), key=repr)
 
 
+@pytest.mark.parametrize("identity", [None, 7])
+def test_copies_under_one_id_are_fetched_once(spark, monkeypatch, identity):
+    fetched, write = [], ngrams.frozen
+
+    def watched(df):
+        kept = write(df)
+        if df.columns == ["text_key", "text", "buckets"]:
+            fetched.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(ngrams, "frozen", watched)
+    text = sentence(random.Random(3), 60)
+    rows = [(identity, text)] * 20 + [(identity, text + " more")] * 20
+    assert found(plain(spark, rows)) == brute(rows)
+    assert fetched == [2]
+
+
 def test_banding_reaches_the_recall():
     plan = ngrams.banding(0.8, 0.9995, 100)
     assert plan.bands * plan.rows <= 100
