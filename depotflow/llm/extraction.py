@@ -213,7 +213,12 @@ def host_of(url: str = "url") -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[^:/?#]*:?//([^/?#]*)", 1), F.lit("")))
 
 
+#: What joins starts back to their rows: rows that agree in id and URL, null ones among them, may differ in html.
+VERSION = ["page", "one", "two"]
+
+
 def _page_key() -> Column:
+    """Tells distinct pages apart."""
     return F.xxhash64("page_id", "url")
 
 
@@ -268,7 +273,7 @@ def _windows(part: Slice) -> tuple[np.ndarray, np.ndarray]:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages without a main region: which blocks are candidates, all blocks, and the run that starts at each word."""
     for batch in batches:
-        for part in slices(batch.column(3)):
+        for part in slices(batch.column(6)):
             rows, blocks, free, runs = [], [], [], []
             for row in range(part.rows):
                 page = parse(part.text(row).decode())
@@ -281,10 +286,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 blocks.append([text for _, text in outside])
                 free.append([kind == OPEN for kind, _ in outside])
                 runs.append(sequences(hashes, RUN).view(np.int64))
-            held = batch.select([0, 1, 2, 4]).take(pa.array(rows, pa.int64()))
+            held = batch.select([0, 1, 2, 3, 4, 5]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*held.columns, pa.array(blocks, pa.list_(pa.string())), pa.array(free, pa.list_(pa.bool_())),
-                 pa.array(runs, pa.list_(pa.int64()))], ["page_id", "url", "host", "page", "blocks", "free", "runs"])
+                 pa.array(runs, pa.list_(pa.int64()))], ["page_id", "url", "host", *VERSION, "blocks", "free", "runs"])
 
 
 def uncovered(blocks: list[str], free: list[bool], starts: list[int]) -> str:
@@ -321,7 +326,8 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     kind = rows.schema["page_id"].dataType.simpleString()
     declared = rows.mapInArrow(_texts, f"page_id {kind}, url string, text string")
-    hosted = rows.withColumn("host", host_of()).withColumn("page", _page_key())
+    hosted = rows.withColumn("host", host_of()).withColumn("page", _page_key()).withColumn(
+        "one", F.xxhash64("html")).withColumn("two", F.xxhash64(F.lit(1), "html"))
     runs = hosted.select("host", "page", "html").mapInArrow(_runs, "host string, page long, body long, run long")
     counted = frozen(runs.groupBy("host", "run").agg(
         F.least(F.count_distinct("page"), F.count_distinct("body")).alias("n")).where("n > 1"))
@@ -329,13 +335,13 @@ def extract(pages: DataFrame) -> DataFrame:
     # Written, so that the join has exchanges of its own, and a run that all pages of a host share can be split.
     repeated = frozen(counted.where("run IS NOT NULL").join(sizes, "host").where(F.col("n") * SHARE >= F.col("total")).select(
         "host", "run"))
-    candidates = hosted.select("page_id", "url", "host", "html", "page").mapInArrow(
-        _candidates, f"page_id {kind}, url string, host string, page long, blocks array<string>, free array<boolean>, "
-        "runs array<long>")
-    places = candidates.select("host", "page", F.posexplode("runs").alias("start", "run"))
-    starts = places.join(repeated, ["host", "run"], "left_semi").groupBy("page").agg(
+    candidates = hosted.select("page_id", "url", "host", *VERSION, "html").mapInArrow(
+        _candidates, f"page_id {kind}, url string, host string, page long, one long, two long, blocks array<string>, "
+        "free array<boolean>, runs array<long>")
+    places = candidates.select("host", *VERSION, F.posexplode("runs").alias("start", "run"))
+    starts = places.join(repeated, ["host", "run"], "left_semi").groupBy(*VERSION).agg(
         F.collect_set("start").alias("starts"))
-    remaining = candidates.drop("runs").join(starts, "page", "left").select(
+    remaining = candidates.drop("runs").join(starts, VERSION, "left").select(
         "page_id", "url", "blocks", "free", F.coalesce("starts", F.array().cast("array<int>")).alias("starts"))
     texts = declared.unionByName(remaining.mapInArrow(_remaining, f"page_id {kind}, url string, text string"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -103,6 +103,14 @@ def test_shared_prose_of_a_large_host_stays(spark):
     assert found == {n: " ".join(text.split()) for n, text in enumerate(texts)}
 
 
+def test_rows_without_id_and_url_keep_their_own_words(spark):
+    menu = "home about us contact news sport weather"
+    rows = [(n, None, f"<div>{menu}</div><p>{n} page</p>") for n in (1, 2, 3, None)]
+    rows += [(None, None, "<p>this row has words where another row has a menu and keeps them</p>")]
+    found = sorted(r.text for r in extraction.extract(pages(spark, rows)).collect())
+    assert found == ["1 page", "2 page", "3 page", "None page", "this row has words where another row has a menu and keeps them"]
+
+
 def test_covered_words_are_those_of_all_long_common_substrings(spark):
     """Against every pair of pages and every start, word by word."""
     streams = ["a b c d e f g h i j", "x a b c d e f y d e f g h i j z", "f g h i j k l m", "q r s"]
