@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotflow.llm import (
-    archives, decontamination, extraction, mixing, ngrams, passages, quality, rules, sharding, toxicity,
+    archives, decontamination, extraction, mixing, ngrams, passages, quality, retrieval, rules, sharding, toxicity,
 )
 from depotflow.llm.common import table, training
 from depotflow.llm.words import WORD
@@ -66,6 +66,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return retrieval.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def _failures() -> str:
     return " + ".join(f"CASE WHEN {rule.broken} THEN {1 << bit} ELSE 0 END" for bit, rule in enumerate(rules.RULES))
 
@@ -115,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: build for name, build in list(globals().items()) if name.startswith("op")}
 
 SQL = {"op1_ngram_jaccard": ngrams.SQL, "op2_quality_rules": RULES_SQL, "op6_substring_dedup": passages.SQL,
-       "op7_html_extraction": extraction.SQL, "op8_archive_conversion": ARCHIVE_SQL, "op10_mixing": mixing.SQL}
+       "op7_html_extraction": extraction.SQL, "op8_archive_conversion": ARCHIVE_SQL, "op10_mixing": mixing.SQL,
+       "op13_ranked_search": retrieval.SQL}
