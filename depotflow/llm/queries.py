@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from depotflow.llm import (
-    archives, decontamination, extraction, mixing, ngrams, passages, prefixes, quality, retrieval, rules, sharding,
-    toxicity,
+    archives, decontamination, extraction, mixing, neighbours, ngrams, passages, prefixes, quality, retrieval, rules,
+    sharding, toxicity,
 )
 from depotflow.llm.common import table, training
 from depotflow.llm.words import WORD
@@ -67,6 +67,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, folder, "embeddings")).drop("recall")
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefixes.trie(table(spark, folder, "conversations")).drop("node")
 
@@ -125,4 +129,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL = {"op1_ngram_jaccard": ngrams.SQL, "op2_quality_rules": RULES_SQL, "op6_substring_dedup": passages.SQL,
        "op7_html_extraction": extraction.SQL, "op8_archive_conversion": ARCHIVE_SQL, "op10_mixing": mixing.SQL,
-       "op12_prefix_trie": prefixes.SQL, "op13_ranked_search": retrieval.SQL}
+       "op11_embedding_near_dedup": neighbours.SQL, "op12_prefix_trie": prefixes.SQL,
+       "op13_ranked_search": retrieval.SQL}
