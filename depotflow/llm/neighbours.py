@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from depotflow.llm.common import ship
 from depotflow.llm.components import components
+from depotflow.llm.words import mix
 from depotflow.session import frozen
 
 LEAST = 0.95
@@ -42,6 +43,8 @@ class Settings(NamedTuple):
     fetch: int = 8192
 
 
+#: One less the cosine of vectors that are all but equal.
+SAME = 1e-5
 #: Vectors that the audit compares with all others.
 AUDITED = 512
 #: Recall below which the search is repeated with twice the beam, at most so many times.
@@ -64,45 +67,39 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _deal(fan: int):
+def _deal(level: int):
     def deal(rows: pa.Table, pivots: pa.Table) -> pa.Table:
         # The last chunks may be empty by chance of the hash; pivots then come alone.
         if not rows.num_rows:
-            return rows.select(["point", "vec", "shard", "home", "spread"])
+            return rows.select(["point", "vec", "shard", "home"])
         vectors, centres = _matrix(rows["vec"]), _matrix(pivots["vec"])
         points, places = rows["point"].to_numpy(), pivots["place"].to_numpy()
         centres = centres[np.argsort(places)]
         # Vectors that are as near to several pivots are spread over them.
-        salt = (points[:, None] * 7919 + np.arange(len(centres))[None, :] * 104729) % 1048573
-        near = vectors @ centres.T + salt * 1e-15
-        first = near.argmax(axis=1)
-        take, at, home = [np.arange(len(points))], [first], [rows["home"].to_numpy(zero_copy_only=False)]
-        last = rows["last"].to_numpy(zero_copy_only=False)
-        spread = rows["spread"].to_numpy(zero_copy_only=False)
-        if len(centres) > 1:
-            near[np.arange(len(points)), first] = -np.inf
-            twice = np.flatnonzero(last & ~spread)
-            take.append(twice)
-            at.append(near[twice].argmax(axis=1))
-            home.append(np.zeros(len(twice), dtype=bool))
-        take, at = np.concatenate(take), np.concatenate(at)
+        salt = mix(points.astype(np.uint64)[:, None] ^ mix(np.arange(len(centres), dtype=np.uint64) + np.uint64(level << 32))[None, :])
+        near = vectors @ centres.T + (salt >> np.uint64(44)) * 1e-15
+        first, home = near.argmax(axis=1), rows["home"].to_numpy(zero_copy_only=False)
+        # Only what is at home here goes to a second shard too, so a vector has one copy more for each level.
+        near[np.arange(len(points)), first] = -np.inf
+        twice = np.flatnonzero(home)
+        take, at = np.append(np.arange(len(points)), twice), np.append(first, near[twice].argmax(axis=1))
         names = rows["shard"].take(pa.array(take)).to_pylist()
         return pa.table({
             "point": pa.array(points[take]), "vec": rows["vec"].take(pa.array(take)),
             "shard": pa.array([f"{name}.{n}" for name, n in zip(names, at.tolist(), strict=True)], pa.string()),
-            "home": pa.array(np.concatenate(home)), "spread": pa.array((spread | last)[take])})
+            "home": pa.array(np.append(home, np.zeros(len(twice), dtype=bool)))})
 
     return deal
 
 
 def sharded(points: DataFrame, settings: Settings) -> DataFrame:
-    """``point``, ``vec``, ``shard``, ``home``: every point in its home shard and, where shards touch, a second one.
+    """``point``, ``vec``, ``shard``, ``home``: every point in its home shard and in one more for each level of splits.
 
-    A shard that is too large is dealt by the nearest of ``fan`` of its own points, in chunks of bounded size.
+    A shard that is too large is dealt by the nearest of ``fan`` of its own points, in chunks of bounded size; what is at
+    home in it goes to the second nearest too, so shards overlap along every border that a split has drawn.
     """
     kind = points.schema["vec"].dataType.simpleString()
-    rows = points.select("point", "vec", F.size("vec").cast("string").alias("shard"), F.lit(True).alias("home"),
-                         F.lit(False).alias("spread"))
+    rows = points.select("point", "vec", F.size("vec").cast("string").alias("shard"), F.lit(True).alias("home"))
     done, level = None, 0
     while True:
         sizes = frozen(rows.groupBy("shard").agg(F.count("*").alias("n")))
@@ -114,25 +111,31 @@ def sharded(points: DataFrame, settings: Settings) -> DataFrame:
             return done
         large = large.select(
             "shard", F.least(F.lit(settings.fan), F.ceil(F.col("n") / settings.mean)).alias("fan"),
-            F.ceil(F.col("n") / settings.chunk).alias("chunks"), (F.col("n") <= settings.fan * settings.mean).alias("last"))
+            F.ceil(F.col("n") / settings.chunk).alias("chunks"))
         mine = rows.join(large, "shard").withColumn("chunk", F.pmod(F.xxhash64("point"), F.col("chunks")))
         drawn = Window.partitionBy("shard").orderBy(F.xxhash64("point", F.lit(level)), "point")
         pivots = mine.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= settings.fan).where(
             F.col("place") <= F.col("fan")).select(
             "shard", "place", "vec", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
         rows = frozen(mine.groupBy("shard", "chunk").cogroup(frozen(pivots).groupBy("shard", "chunk")).applyInArrow(
-            _deal(settings.fan), f"point long, vec {kind}, shard string, home boolean, spread boolean"))
+            _deal(level), f"point long, vec {kind}, shard string, home boolean"))
         level += 1
 
 
 def _pruned(alike: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
-    """Of each row's candidates (nearest first, -1 for none) those that robust pruning keeps; -1 fills up."""
+    """Of each row's candidates (nearest first, -1 for none) those that robust pruning keeps; -1 fills up.
+
+    Vectors that are all but equal say nothing of a direction: they do not replace each other, but take at most half of
+    the edges.
+    """
     n = len(candidates)
     own = np.arange(n)[:, None]
     far = 1 - np.where(candidates >= 0, alike[own, candidates], -1)
     alive = (candidates >= 0) & (candidates != own)
     kept = np.full((n, degree), -1)
     for place in range(degree):
+        if place == degree // 2:
+            alive &= far > SAME
         first = alive.argmax(axis=1)
         some = alive[np.arange(n), first]
         if not some.any():
@@ -140,7 +143,7 @@ def _pruned(alike: np.ndarray, candidates: np.ndarray, degree: int, alpha: float
         chosen = candidates[np.arange(n), first]
         kept[some, place] = chosen[some]
         between = 1 - alike[chosen[:, None], candidates]
-        alive &= ~(alpha * alpha * between <= far)
+        alive &= ~((alpha * alpha * between <= far) & (far > SAME))
         alive[np.arange(n), first] = False
     return kept
 
@@ -158,6 +161,8 @@ def graph_of(vectors: np.ndarray, settings: Settings) -> tuple[list[np.ndarray],
     n = len(vectors)
     alike = (vectors @ vectors.T).astype(np.float32)
     medoid = int((vectors @ vectors.sum(axis=0)).argmax())
+    # Chance decides among vectors that are all but equal, so that edges lead all over a group of such.
+    alike += np.random.default_rng(n).random(alike.shape, dtype=np.float32) * np.float32(SAME / 2)
     if n == 1:
         return [np.zeros(0, dtype=np.int64)], 0
     near = min(settings.near, n - 1) + 1

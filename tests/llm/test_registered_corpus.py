@@ -29,7 +29,7 @@ def test_queries_beside_their_sql(spark, connection, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) < set(names) and names["pipeline"] is corpus_pipeline.run
 
 
