@@ -14,10 +14,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from depotflow.llm.words import Slice, _powers, _prefix, mix, sequences, slices
 from depotflow.session import frozen
@@ -32,8 +35,10 @@ NO_ID = -(1 << 63)
 
 def _keyed(docs: DataFrame, identity: str, text: str) -> DataFrame:
     """Id and text with a key of the id and 128 bits of the text. Rows that agree in both share it, and every result."""
+    whole = isinstance(docs.schema[identity].dataType, IntegralType)
+    number = F.col("id").cast("long") if whole else F.xxhash64(F.col("id").cast("string"))
     return docs.select(F.col(identity).alias("id"), F.col(text).cast("string").alias("text")).select(
-        "id", F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)).alias("kid"), F.xxhash64("text").alias("kth"),
+        "id", F.when(F.col("id").isNull(), NO_ID).otherwise(number).alias("kid"), F.xxhash64("text").alias("kth"),
         F.xxhash64(F.lit(1), "text").alias("ktw"), "text")
 
 
@@ -106,27 +111,34 @@ def _marked(rows: DataFrame) -> DataFrame:
     return judged.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last", kind.alias("kind"))).alias("marks"))
 
 
+def _listed(column: pa.Array, first: int, rows: int) -> tuple[np.ndarray, pa.Array]:
+    """Of some rows of a list column: the row, from 0, of each element, and the elements. A null list has none."""
+    own = column.slice(first, rows)
+    return np.repeat(np.arange(rows), pc.list_value_length(own).fill_null(0).to_numpy(zero_copy_only=False)), own.flatten()
+
+
+def _marks(column: pa.Array, part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last window, and kind of each mark of a slice."""
+    owner, marks = _listed(column, part.first, part.rows)
+    return owner, *(np.asarray(marks.field(n).to_numpy(zero_copy_only=False), dtype=np.int64) for n in range(3))
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of edge spans, and of one sample of every repeated span that shares its anchor with others."""
     for batch in batches:
-        marks = batch.column(4).to_pylist()
         for part in slices(batch.column(3)):
-            windows = sequences(part.hashes(), WINDOW)
-            starts, weights, owners = [], [], []
-            for row in range(part.rows):
-                for mark in marks[part.first + row]:
-                    if mark["kind"] != WHOLE:
-                        own = np.arange(mark["first"], mark["last"] + 1)
-                        starts.append(own)
-                        weights.append(np.full(len(own), 1 if mark["kind"] == EDGE else 2))
-                        owners.append(np.full(len(own), row))
-            if not starts:
+            row, first, last, kind = _marks(batch.column(4), part)
+            asked = kind != WHOLE
+            row, first, kind, size = row[asked], first[asked], kind[asked], (last - first + 1)[asked]
+            if not len(row):
                 continue
-            start, owner = np.concatenate(starts), np.concatenate(owners)
+            owner = np.repeat(row, size)
+            start = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+            windows = sequences(part.hashes(), WINDOW)
             held = batch.select([0, 1, 2]).take(pa.array(part.first + owner))
             yield pa.RecordBatch.from_arrays(
                 [*held.columns, pa.array(windows[part.words[owner] + start].view(np.int64)),
-                 pa.array(start.astype(np.int32)), pa.array(np.concatenate(weights).astype(np.int32))],
+                 pa.array(start.astype(np.int32)), pa.array(np.repeat(np.where(kind == EDGE, 1, 2), size).astype(np.int32))],
                 [*KEY, "window", "start", "weight"])
 
 
@@ -144,34 +156,32 @@ def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", *KEY, "n_words", "whole"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        marks, edges = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-        for part in slices(batch.column(3)):
-            removed, kept, digests = [], [], []
-            for row in range(part.rows):
-                words = part.text(row).split()
-                covered = np.zeros(len(words) + 1, dtype=np.int64)
-                for mark in marks[part.first + row]:
-                    if mark["kind"] != EDGE:
-                        covered[mark["first"]] += 1
-                        covered[mark["last"] + WINDOW] -= 1
-                for start in edges[part.first + row] or ():
-                    covered[start] += 1
-                    covered[start + WINDOW] -= 1
-                gone = np.cumsum(covered)[:-1] > 0
-                left = [word for word, out in zip(words, gone, strict=True) if not out]
-                removed.append(int(gone.sum()))
-                kept.append(b" ".join(left).decode())
-                digests.append(_digest(left))
-            held = batch.select([0, 1, 2]).slice(part.first, part.rows)
-            yield pa.RecordBatch.from_arrays(
-                [*held.columns, pa.array(removed, pa.int64()), pa.array(kept), pa.array(digests)],
-                [*KEY, "n_removed", "kept_text", "kept_sha256"])
+def _cut(with_text: bool):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column(3)):
+                row, first, last, kind = _marks(batch.column(4), part)
+                edge_row, edge = _listed(batch.column(5), part.first, part.rows)
+                edge = np.asarray(edge.to_numpy(zero_copy_only=False), dtype=np.int64)
+                whole = kind != EDGE
+                begin = np.append(part.words[row[whole]] + first[whole], part.words[edge_row] + edge)
+                stop = np.append(part.words[row[whole]] + last[whole], part.words[edge_row] + edge) + WINDOW
+                steps = np.bincount(begin, minlength=len(part.starts) + 1) - np.bincount(stop, minlength=len(part.starts) + 1)
+                stays = np.cumsum(steps)[:-1] <= 0
+                left = [b" ".join(compress(part.text(n).split(), stays[part.words[n]:part.words[n + 1]])) for n in range(part.rows)]
+                held = batch.select([0, 1, 2]).slice(part.first, part.rows)
+                texts = [pa.array(left).cast(pa.string())] if with_text else []
+                yield pa.RecordBatch.from_arrays(
+                    [*held.columns, pa.array(part.sum_words((~stays).astype(np.int64)), pa.int64()),
+                     pa.array([hashlib.sha256(x).hexdigest() for x in left]), *texts],
+                    [*KEY, "n_removed", "kept_sha256", *["kept_text"] * with_text])
+
+    return cut
 
 
-def repeats(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> DataFrame:
-    """What is left of every text of ``docs`` that shares a window with another place: key, words removed, text, digest.
+def repeats(docs: DataFrame, identity: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
+    """What is left of every text of ``docs`` that shares a window with another place: key, words removed, digest, and,
+    if asked for, ``kept_text``.
 
     The text is its remaining words joined by one space. Texts without a repeated anchor are not among the rows; of rows
     that agree in id and text there is one.
@@ -183,7 +193,7 @@ def repeats(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> Da
     edges = windows.where("weight = 1").join(again, "window", "left_semi").groupBy(*KEY).agg(
         F.collect_set("start").alias("edges"))
     cut = candidates.join(edges, KEY, "left").select(*KEY, "text", "marks", "edges").mapInArrow(
-        _cut, "kid long, kth long, ktw long, n_removed long, kept_text string, kept_sha256 string")
+        _cut(with_text), "kid long, kth long, ktw long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
     return cut
 
 
@@ -193,12 +203,12 @@ def dedup(docs: DataFrame, identity: str = "doc_id", text: str = "text") -> Data
     Words are judged on the input: a window of ``WINDOW`` words counts as repeated if its words start anywhere else, in
     the same text, another one, or a repeated row. Shorter, empty and null texts lose nothing. Rows with null ids take
     part like others. Other columns are left aside; an empty table stays empty. Windows are compared by 64-bit hashes, and
-    texts under one id, or without one, are told apart by 128 bits.
+    texts under one id, or without one, are told apart by 128 bits. Ids may have any type that is a text too.
     """
     kind = docs.schema[identity].dataType.simpleString()
     rows = _keyed(docs, identity, text)
     whole = rows.mapInArrow(_untouched, f"id {kind}, kid long, kth long, ktw long, n_words long, whole string")
-    cut = repeats(docs, identity, text).drop("kept_text").dropDuplicates(KEY)
+    cut = repeats(docs, identity, text, with_text=False).dropDuplicates(KEY)
     return whole.join(cut, KEY, "left").select(
         F.col("id").alias(identity), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"))

@@ -81,3 +81,11 @@ def test_kept_texts(spark):
 
 def test_empty_table(spark):
     assert found(documents(spark, [])) == []
+
+
+def test_text_ids(spark):
+    passage = sentence(random.Random(9), 40)
+    docs = spark.createDataFrame([("a", f"one {passage}"), ("b", f"{passage} two"), ("c", "three"), (None, passage)],
+                                 "doc_id string, text string")
+    found = {r.doc_id: (r.n_words, r.n_removed) for r in passages.dedup(docs).collect()}
+    assert found == {"a": (41, 40), "b": (41, 40), "c": (1, 0), None: (40, 40)}
