@@ -38,16 +38,25 @@ FIELDS = {
 VERSIONS = {1: "1 0", 2: "2 0"}
 
 
+def _shown(page: object) -> str | None:
+    """A page id as a header value: ids of any type, signs that would end the line as their bytes."""
+    return None if page is None else re.sub(r"[%\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", str(page))
+
+
+def _read(page: str | None) -> str | None:
+    return None if page is None else re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), page)
+
+
 def _place(url: str | None) -> str:
     """A URL that fits a header line: white space and control characters are written by their bytes."""
     held = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     return held or "about:blank"
 
 
-def arc_block(page: int | None, html: str | None) -> bytes:
+def arc_block(page: object, html: str | None) -> bytes:
     """An HTTP answer as ARC stores it: status, headers, empty line, payload in UTF-8."""
     body = (html or "").encode()
-    known = f"X-Page: {page}\r\n" if page is not None else ""
+    known = f"X-Page: {_shown(page)}\r\n" if page is not None else ""
     return f"HTTP/1.0 200 OK\r\nContent-Type: text/html\r\n{known}Content-Length: {len(body)}\r\n\r\n".encode() + body
 
 
@@ -89,6 +98,10 @@ def read_arc(data: bytes) -> Iterator[dict[str, str | bytes]]:
         at = begin + length + 1
 
 
+def is_http(block: bytes) -> bool:
+    return block.startswith(b"HTTP/")
+
+
 def split_http(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
     """Header fields by lower-case name, the head as it is, and the payload."""
     head, _, payload = block.partition(b"\r\n\r\n")
@@ -96,7 +109,7 @@ def split_http(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
     return {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}, head + b"\r\n\r\n", payload
 
 
-def warc_id(page: int | None, url: str, digest: str) -> str:
+def warc_id(page: str | None, url: str, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{page} {url} {digest}')}>"
 
 
@@ -127,9 +140,10 @@ def read_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _files(df: DataFrame, path: str, ends: str) -> None:
-    """Write ``(file, seq, record)``: each file's records in order, each closed by ``ends``."""
+    """Write ``(file, seq, record)``: each file's records in order, each closed by ``ends``; packed fast, not small."""
     ordered = df.sortWithinPartitions("file", "seq").select("file", F.col("record").cast("string").alias("value"))
-    ordered.write.partitionBy("file").option("lineSep", ends).option("compression", "gzip").text(path)
+    ordered.write.partitionBy("file").option("lineSep", ends).option("compression", "gzip").option(
+        "zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def _contents(spark: SparkSession, path: str) -> DataFrame:
@@ -171,7 +185,11 @@ def _rows(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
         "record": pa.array([r[2] for r in rows], pa.binary())})
 
 
-RECORD = "page_id long, url string, date string, type string, digest string, bytes long, block binary"
+KINDS = {"page_id": pa.string(), "url": pa.string(), "date": pa.string(), "type": pa.string(), "address": pa.string(),
+         "result": pa.string(), "source": pa.string(), "digest": pa.string(), "bytes": pa.int64(), "http": pa.bool_(),
+         "block": pa.binary()}
+RECORD = ("page_id string, url string, date string, type string, address string, result string, source string, "
+          "digest string, bytes long, http boolean, block binary")
 
 
 def _parse_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,10 +197,17 @@ def _parse_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for packed in batch.column(0):
             rows: list[tuple] = []
             for record in read_arc(zlib.decompress(packed.as_py(), wbits=31)):
-                fields, _, payload = split_http(record["block"])
-                page = fields.get("x-page")
-                rows.append((page and int(page), record["URL"], record["Archive-date"], record["Content-type"],
-                             hashlib.sha256(payload).hexdigest(), len(payload), zlib.compress(record["block"], 1)))
+                block, url, page = record["block"], record["URL"], None
+                payload = block
+                if is_http(block):
+                    fields, _, payload = split_http(block)
+                    page = _read(fields.get("x-page"))
+                checksum = record.get("Checksum", "-")
+                if checksum != "-" and hashlib.md5(block).hexdigest() != checksum:
+                    raise ValueError(f"record of {url} does not match its checksum")
+                rows.append((page, url, record["Archive-date"], record["Content-type"], record["IP-address"],
+                             record.get("Result-code"), record.get("Filename"),
+                             hashlib.sha256(payload).hexdigest(), len(payload), is_http(block), block))
                 if len(rows) >= 500:
                     yield _records(rows)
                     rows = []
@@ -190,14 +215,16 @@ def _parse_arc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _records(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"page_id": pa.int64(), "url": pa.string(), "date": pa.string(), "type": pa.string(),
-             "digest": pa.string(), "bytes": pa.int64(), "block": pa.binary()}
     return pa.RecordBatch.from_pydict({
-        name: pa.array([r[n] for r in rows], kind) for n, (name, kind) in enumerate(kinds.items())})
+        name: pa.array([r[n] for r in rows], kind) for n, (name, kind) in enumerate(KINDS.items())})
 
 
 def read_arcs(spark: SparkSession, path: str) -> DataFrame:
-    """Records of ARC files: what their headers say, the payload's digest and length, the block compressed."""
+    """Records of ARC files: what their headers say, the payload's digest and length, and the block.
+
+    A checksum that a version-2 header states must fit its block. Only HTTP answers have a head before the payload; of
+    others, as of ``dns:`` records, the block is the payload.
+    """
     return _contents(spark, path).mapInArrow(_parse_arc, RECORD)
 
 
@@ -205,20 +232,24 @@ def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     name, size, seq = "", FILE, 0
     for batch in batches:
         rows: list[tuple[str, int, bytes]] = []
-        for page, url, date, kind, digest, _, packed, first, first_url in zip(
+        for page, url, date, kind, address, result, source, digest, _, http, block, first, first_url in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True):
-            block = zlib.decompress(packed)
             fields = [("WARC-Record-ID", warc_id(page, url, digest)), ("WARC-Target-URI", url),
-                      ("WARC-Date", _stamp(date)), ("WARC-IP-Address", ADDRESS),
+                      ("WARC-Date", _stamp(date)), ("WARC-IP-Address", address),
                       ("WARC-Payload-Digest", f"sha256:{digest}")]
-            if first is not None and first != page:
+            # What ARC has and WARC has no field for.
+            fields += [(name, value) for name, value in (("X-ARC-Result-Code", result), ("X-ARC-File", source)) if value]
+            if not http:
+                fields = [("WARC-Type", "resource"), *fields, ("Content-Type", kind)]
+            elif first is not None and first != page:
                 block = split_http(block)[1]
                 fields = [("WARC-Type", "revisit"), *fields, ("WARC-Refers-To", warc_id(first, first_url, digest)),
                           ("WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")]
             else:
                 fields = [("WARC-Type", "response"), *fields]
-            fields += [("Content-Type", "application/http; msgtype=response"), ("WARC-Identified-Payload-Type", kind),
-                       ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}")]
+            if http:
+                fields += [("Content-Type", "application/http; msgtype=response"), ("WARC-Identified-Payload-Type", kind)]
+            fields += [("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}")]
             if size >= FILE:
                 name, size, seq = uuid.uuid4().hex, 0, 0
                 info = f"software: archive conversion\r\nconformsTo: WARC 1.0\r\nfilename: {name}.warc\r\n".encode()
@@ -239,22 +270,24 @@ def convert(spark: SparkSession, arcs: str, warcs: str, least: int = LEAST) -> N
     Of the records with equal payloads of ``least`` bytes or more, that with the smallest page id is the response and
     the others revisit it; rows that share that id with equal payloads are all responses, and so are records without id
     where no other has one. First pages are found among digests alone, one row per digest and task before the shuffle;
-    payloads are shuffled once, compressed.
+    payloads are shuffled once. Archives are parsed once, into a table. Only HTTP answers revisit each other.
+    Page ids compare as numbers where they are numbers, and as texts otherwise; numbers come first.
     """
-    records = read_arcs(spark, arcs)
-    firsts = records.where(F.col("bytes") >= least).groupBy("digest").agg(
-        F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"),
+    records = frozen(read_arcs(spark, arcs))
+    firsts = records.where((F.col("bytes") >= least) & F.col("http")).groupBy("digest").agg(
+        F.min(F.when(F.col("page_id").isNotNull(), F.struct(
+            F.expr("try_cast(page_id AS long) IS NULL").alias("text"), F.expr("try_cast(page_id AS long)").alias("number"),
+            "page_id", "url"))).alias("first"),
         F.count(F.lit(1)).alias("n")).where("n > 1")
     # Written, so that the join has exchanges of its own, and a digest that very many records share can be split.
     firsts = frozen(firsts.select("digest", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url")))
     joined = records.join(firsts, "digest", "left").select(
-        "page_id", "url", "date", "type", "digest", "bytes", "block",
-        F.when(F.col("bytes") >= least, F.col("first")).alias("first"), "first_url")
+        *KINDS, F.when((F.col("bytes") >= least) & F.col("http"), F.col("first")).alias("first"), "first_url")
     _files(joined.mapInArrow(_convert, "file string, seq long, record binary"), warcs, "\r\n\r\n")
 
 
 def _parse_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = {"record_id": pa.string(), "page_id": pa.int64(), "record_type": pa.string(), "payload_digest": pa.string(),
+    kinds = {"record_id": pa.string(), "page_id": pa.string(), "record_type": pa.string(), "payload_digest": pa.string(),
              "payload_bytes": pa.int64(), "refers_to_id": pa.string(), "url": pa.string(), "date": pa.string()}
     for batch in batches:
         for packed in batch.column(0):
@@ -262,13 +295,15 @@ def _parse_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for fields, block in read_warc(zlib.decompress(packed.as_py(), wbits=31)):
                 if fields["WARC-Type"] == "warcinfo":
                     continue
-                http, _, payload = split_http(block)
+                http, payload = {}, block
+                if fields["WARC-Type"] != "resource":
+                    http, _, payload = split_http(block)
                 digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-                length = int(http["content-length"])
-                if fields["WARC-Type"] == "response" and (
+                length = int(http.get("content-length", len(payload)))
+                if fields["WARC-Type"] != "revisit" and (
                         len(payload) != length or hashlib.sha256(payload).hexdigest() != digest):
                     raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
-                rows.append((fields["WARC-Record-ID"], http.get("x-page") and int(http["x-page"]), fields["WARC-Type"],
+                rows.append((fields["WARC-Record-ID"], _read(http.get("x-page")), fields["WARC-Type"],
                              digest, length, fields.get("WARC-Refers-To"), fields["WARC-Target-URI"],
                              fields["WARC-Date"]))
             yield pa.RecordBatch.from_pydict({
@@ -276,9 +311,9 @@ def _parse_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_warcs(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files, one row each; a response's payload is checked against its digest and length."""
+    """Records of WARC files, one row each; payloads are checked against their digests and lengths."""
     return _contents(spark, path).mapInArrow(
-        _parse_warc, "record_id string, page_id long, record_type string, payload_digest string, payload_bytes long, "
+        _parse_warc, "record_id string, page_id string, record_type string, payload_digest string, payload_bytes long, "
         "refers_to_id string, url string, date string")
 
 
@@ -292,8 +327,13 @@ def round_trip(pages: DataFrame) -> DataFrame:
     arcs, warcs = shared_folder(spark, "arc"), shared_folder(spark, "warc")
     write_arc(pages, arcs)
     convert(spark, arcs, warcs)
-    records = read_warcs(spark, warcs)
+    # What the headers say, without blocks; the archives are read once.
+    records = frozen(read_warcs(spark, warcs))
     known = records.where("record_type = 'response' AND page_id IS NOT NULL").select(
         F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")).distinct()
-    return records.join(known, "refers_to_id", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+    revisits = records.where("record_type = 'revisit'").join(known, "refers_to_id", "left")
+    others = records.where("record_type <> 'revisit'").withColumn("refers_to", F.lit(None).cast("string"))
+    kind = pages.schema["page_id"].dataType
+    return revisits.unionByName(others).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"), "url")

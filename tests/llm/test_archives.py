@@ -62,6 +62,47 @@ def test_both_versions_are_parsed_by_their_own_fields():
         assert int(record["Archive-length"]) == len(block)
 
 
+def test_every_field_is_carried_over_and_checksums_are_checked(spark, tmp_path):
+    import gzip
+    dns = b"20010203040506\nexample.org. 3600 IN A 192.0.2.7\n"
+    for version in (1, 2):
+        http = archives.arc_block("a b%", "<p>x</p>")
+        name = f"v{version}"
+        lookup = b"dns:example.org 192.0.2.53 20020304050607 text/dns " + (
+            b"200 " + hashlib.md5(dns).hexdigest().encode() + b" - 0 v2.arc " if version == 2 else b"") + str(len(dns)).encode()
+        records = [archives.arc_version(version, name), archives.arc_record(version, name, "ftp://odd/", http), lookup + b"\n" + dns, b""]
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "one.gz").write_bytes(gzip.compress(b"\n".join(records)))
+        parsed = {r.url: r for r in archives.read_arcs(spark, str(folder)).collect()}
+        assert parsed["ftp://odd/"].page_id == "a b%" and parsed["ftp://odd/"].http
+        answer = parsed["dns:example.org"]
+        assert (answer.address, answer.date, answer.type, answer.http) == ("192.0.2.53", "20020304050607", "text/dns", False)
+        assert bytes(answer.block) == dns and answer.bytes == len(dns)
+        assert (answer.result, answer.source) == ((None, None) if version == 1 else ("200", "v2.arc"))
+        warcs = shared_folder(spark, "warc")
+        archives.convert(spark, str(folder), warcs)
+        content = gzip.decompress(archives._contents(spark, warcs).first().content)
+        fields = {f["WARC-Target-URI"]: (f, b) for f, b in archives.read_warc(content) if f["WARC-Type"] != "warcinfo"}
+        held, block = fields["dns:example.org"]
+        assert (held["WARC-Type"], held["Content-Type"], held["WARC-IP-Address"]) == ("resource", "text/dns", "192.0.2.53")
+        assert held["WARC-Date"] == "2002-03-04T05:06:07Z" and block == dns
+        assert held.get("X-ARC-Result-Code") == answer.result and held.get("X-ARC-File") == answer.source
+        assert {r.record_type for r in archives.read_warcs(spark, warcs).collect()} == {"resource", "response"}
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    bad = archives.arc_record(2, "v2", "http://a/", b"HTTP/1.0 200 OK\r\n\r\nx").replace(b"\r\nx", b"\r\ny")
+    (broken / "one.gz").write_bytes(gzip.compress(b"\n".join([archives.arc_version(2, "v2"), bad, b""])))
+    with pytest.raises(Exception, match="checksum"):
+        archives.read_arcs(spark, str(broken)).collect()
+
+
+def test_text_ids(spark):
+    rows = spark.createDataFrame([(n, f"http://h/{n}", LONG) for n in ("b", "a c", "%41")], "page_id string, url string, html string")
+    found = {r.page_id: (r.record_type, r.refers_to) for r in archives.round_trip(rows).collect()}
+    assert found == {"b": ("revisit", "%41"), "a c": ("revisit", "%41"), "%41": ("response", None)}
+
+
 def test_broken_files_are_refused():
     whole = b"\n".join([archives.arc_version(1, "f"), archives.arc_record(1, "f", "u", b"x" * 20), b""])
     with pytest.raises(ValueError, match="declared length"):
