@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from depotflow.operators.membership import not_matched
 from depotflow.operators.numbering import number_rows
+from depotflow.session import frozen
 
 
 def aligned(rows: DataFrame, like: DataFrame, defaults: dict[str, object] | None = None) -> DataFrame:
@@ -94,6 +95,25 @@ def cascade_key(table: DataFrame, renamed: DataFrame, on: str) -> DataFrame:
     )
 
 
+def checked_cascade(table: DataFrame, renamed: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
+    """The table with changed keys, and the new keys that would not be unique in it.
+
+    The change is judged as a whole, as a primary key does: keys may swap, but if any new key is one that a row keeps, or
+    that another row takes, nothing is changed. ``table`` has one row for each key; names of keys that it lacks are
+    left aside. Only the keys that change, and those they meet, are shuffled.
+    """
+    one = frozen(renamed.select("old", "new").filter(~F.col("old").eqNullSafe(F.col("new"))).distinct().join(
+        table.select(F.col(on).alias("old")), "old", "left_semi"))
+    kept = table.select(F.col(on).alias("new")).join(one.select("new").distinct(), "new", "left_semi").join(
+        one.select(F.col("old").alias("new")), "new", "left_anti")
+    twice = one.groupBy("new").agg(F.count("*").alias("_n")).filter("_n > 1").select("new")
+    split = one.groupBy("old").agg(F.count("*").alias("_n")).filter("_n > 1").join(one, "old").select("new")
+    taken = frozen(kept.union(twice).union(split).distinct().withColumnRenamed("new", on))
+    if taken.limit(1).count():
+        return table, taken
+    return cascade_key(table, one, on), taken
+
+
 def add_column(table: DataFrame, name: str, kind: str) -> DataFrame:
     return table.withColumn(name, F.lit(None).cast(kind))
 

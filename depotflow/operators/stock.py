@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from depotflow.session import frozen
 
@@ -88,3 +91,45 @@ def checked_stock(
     new = parts.join(level, F.col("anr") == F.col("_anr"), "left").withColumn(
         "amenge", F.when(F.col("_new"), F.col("_amenge")).otherwise(F.col("amenge").cast("long")))
     return new.select(*parts.columns), broken
+
+
+def guarded_changes(
+    parts: DataFrame, changes: DataFrame, order: str, low: int = LOWEST, high: int = HIGHEST
+) -> tuple[DataFrame, DataFrame]:
+    """Changes in their order, those that leave the stock rule kept, and those that do not.
+
+    Both have ``stand``, the level that the change met. A refused change does not count for those behind it. Parts with
+    unknown stock, and parts that the table lacks, take every change. ``order`` must be unique for each part.
+
+    Parts whose running sums all keep the rule, nearly all of them, need Spark's window only. The others are folded in
+    order by tasks that hold one level at a time, however many changes a part has.
+    """
+    amount = F.when(F.col("was") == "Insert", F.col("lmenge").cast("long")).otherwise(-F.col("lmenge").cast("long"))
+    start = parts.select("anr", F.col("amenge").cast("long").alias("_start"))
+    earlier = Window.partitionBy("anr").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    met = F.col("_start") + F.coalesce(F.sum("_amount").over(earlier), F.lit(0))
+    placed = frozen(changes.withColumn("_amount", amount).join(start, "anr", "left").withColumn("stand", met))
+    breaks = ~(F.col("stand") + F.col("_amount")).between(low, high)
+    tight = frozen(placed.filter(breaks).select("anr").distinct())
+    calm = placed.join(tight, "anr", "left_anti").withColumn("_held", F.lit(True))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, level = None, 0
+        for batch in batches:
+            held, levels = [], []
+            for name, begin, step in zip(*(batch.column(c).to_pylist() for c in ("anr", "_start", "_amount")), strict=True):
+                if name != part:
+                    part, level = name, begin
+                keeps = low <= level + step <= high
+                held.append(keeps)
+                levels.append(level)
+                level += step if keeps else 0
+            at = batch.schema.get_field_index("stand")
+            columns = [pa.array(levels, pa.int64()) if n == at else c for n, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(held, pa.bool_())], [*batch.schema.names, "_held"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
+    ordered = placed.join(tight, "anr", "left_semi").repartition("anr").sortWithinPartitions("anr", order)
+    judged = frozen(calm.unionByName(ordered.mapInArrow(fold, f"{schema}, _held boolean")))
+    names = [*changes.columns, "stand"]
+    return judged.filter("_held").select(*names), judged.filter(~F.col("_held")).select(*names)

@@ -10,7 +10,7 @@ from depotflow.functions import dates, numbers, text
 from depotflow.operators import audit, changes, numbering, receipt, stock, validation
 from depotflow.plans import objects
 from depotflow.plans.registry import query
-from depotflow.session import shared_folder
+from depotflow.session import frozen, shared_folder
 from depotflow.sources import sinks
 from depotflow.streaming import stock_feed
 
@@ -256,6 +256,57 @@ def _(star):
     return stock.checked_stock(star.artikel, stock.stock_delta(deleted=star.lieferung))[1].select("anr", "amenge")
 
 
+LINES = """
+    SELECT l_partkey AS anr, l_orderkey * 8 + l_linenumber AS nr, l_returnflag <> 'R' AS zugang,
+           CAST(l_quantity AS BIGINT) * 40 AS lmenge FROM lineitem"""
+#: Every change of a part in order, with the level that those before it have left.
+MET = f"""
+    folge AS (
+        SELECT anr, list(CASE WHEN zugang THEN lmenge ELSE -lmenge END ORDER BY nr) AS wege, list(nr ORDER BY nr) AS nrn
+        FROM ({LINES}) GROUP BY anr),
+    stufen AS (
+        SELECT folge.*, unnest(generate_series(0, len(wege))) AS i, amenge FROM folge JOIN artikel USING (anr)),
+    erreicht AS (
+        SELECT anr, i, wege, nrn, list_reduce(list_prepend(amenge, wege[1:i]), lambda stand, weg:
+                   CASE WHEN stand + weg BETWEEN 0 AND 10000 THEN stand + weg ELSE stand END) AS stand
+        FROM stufen)"""
+
+
+def guarded(star):
+    """Folder of a feed of order lines as large changes of stock, in three batches in the order of the orders."""
+    lines = star.raw("lineitem").select(
+        F.col("l_partkey").alias("anr"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("nr"),
+        F.when(F.col("l_returnflag") == "R", "Delete").otherwise("Insert").alias("was"),
+        (F.col("l_quantity").cast("long") * 40).cast("int").alias("lmenge"))
+    source, folder = shared_folder(star.spark, "zugang"), shared_folder(star.spark, "bestand")
+    last = lines.agg(F.max("nr")).scalar()
+    place = frozen(lines.withColumn("teil", F.least(F.lit(2), F.floor(F.col("nr") * 3 / last))))
+    for number in range(3):
+        # Four files a batch, each with all changes of its parts.
+        place.filter(F.col("teil") == number).drop("teil").repartition(4, "anr").write.mode("append").parquet(source)
+    stream = star.spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    rule = stock_feed.stock_rule(star.artikel, folder, "nr")
+    stock_feed.start(stream, folder, f"{folder}/fortschritt", rule).awaitTermination()
+    return folder
+
+
+@query("d9_stream_guarded_stock", f"""
+    WITH {MET}
+    SELECT a.anr, aname, farbe, gewicht, astadt, CAST(coalesce(stand, amenge) AS BIGINT) AS amenge
+    FROM artikel a LEFT JOIN (SELECT anr, stand FROM erreicht WHERE i = len(wege)) USING (anr)""")
+def _(star):
+    return stock_feed.current_stock(star.spark, star.artikel, guarded(star))
+
+
+@query("d9_stream_refused", f"""
+    WITH {MET}
+    SELECT anr, nrn[i + 1] AS nr, CASE WHEN wege[i + 1] < 0 THEN 'Delete' ELSE 'Insert' END AS was,
+           CAST(abs(wege[i + 1]) AS INTEGER) AS lmenge, CAST(stand AS BIGINT) AS stand
+    FROM erreicht WHERE i < len(wege) AND stand + wege[i + 1] NOT BETWEEN 0 AND 10000""")
+def _(star):
+    return stock_feed.refused(star.spark, guarded(star))
+
+
 # --- routing and views ------------------------------------------------------------------------
 
 
@@ -542,6 +593,11 @@ def _(star):
     return changes.insert(star.lieferant, rows, defaults={"lstadt": "Gotha"})
 
 
+def shifted_suppliers(star, by):
+    moved = star.lieferant.filter(objects.at_place("NATION_3"))
+    return moved.select(F.col("lnr").alias("old"), (F.col("lnr") + by).alias("new"))
+
+
 def renamed_suppliers(star):
     moved = star.lieferant.filter(objects.at_place("NATION_3"))
     return moved.select(F.col("lnr").alias("old"), (F.col("lnr") + FIRST_NEW).alias("new"))
@@ -560,6 +616,24 @@ def _(star):
     return changes.cascade_key(star.lieferung, renamed_suppliers(star), "lnr")
 
 
+@query("d22_cascade_refused", "SELECT lnr, lname, status, lstadt FROM lieferant")
+def _(star):
+    return changes.checked_cascade(star.lieferant, shifted_suppliers(star, 1), "lnr")[0]
+
+
+@query("d22_taken_keys", """
+    WITH neu AS (SELECT lnr + 1 AS lnr FROM lieferant WHERE lstadt = 'NATION_3')
+    SELECT lnr FROM neu WHERE lnr IN (SELECT lnr FROM lieferant WHERE lstadt <> 'NATION_3')""")
+def _(star):
+    return changes.checked_cascade(star.lieferant, shifted_suppliers(star, 1), "lnr")[1]
+
+
+@query("d22_cascade_accepted", f"""
+    SELECT CASE lstadt WHEN 'NATION_3' THEN lnr + {FIRST_NEW} ELSE lnr END AS lnr, lname, status, lstadt FROM lieferant""")
+def _(star):
+    return changes.checked_cascade(star.lieferant, shifted_suppliers(star, FIRST_NEW), "lnr")[0]
+
+
 @query("d23_only_new_rows_checked", """
     SELECT lnr, anr, lmenge, ldatum FROM lieferung
     WHERE ldatum < TIMESTAMP '2000-01-01' OR lnr IN (SELECT lnr FROM lieferant)""")

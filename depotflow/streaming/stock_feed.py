@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from depotflow.operators.stock import apply_delta, delta_of_changes, split_changes
+from depotflow.operators.stock import HIGHEST, LOWEST, apply_delta, delta_of_changes, guarded_changes, split_changes
 from depotflow.session import remove, shared_folder
 
 # Splits a batch into accepted and rejected rows.
@@ -49,11 +49,16 @@ def _publish(spark: SparkSession, folder: str, kind: str, batch: int) -> None:
             remove(spark, f"{folder}/published/{kind}/batch={earlier}")
 
 
-def write_batch(changes: DataFrame, batch: int, folder: str, check: Check | None = None) -> None:
+#: Batches after which a feed folds them into one sum.
+FOLD = 100
+
+
+def write_batch(changes: DataFrame, batch: int, folder: str, check: Check | None = None, fold: int = FOLD) -> None:
     """Store the change of one batch; ``changes`` has ``was`` (Insert or Delete), ``anr``, ``lmenge``.
 
     Rows of another kind, without part or without quantity, and what ``check`` refuses, are stored as rejects with
-    their reason; all other rows count. A batch that is complete already is not written again.
+    their reason; all other rows count. A batch that is complete already is not written again. After ``fold`` batches
+    they are folded into one, so a reader opens a bounded number of folders however long the feed runs.
     """
     spark = changes.sparkSession
     if batch <= _last(spark, folder, "deltas"):
@@ -70,6 +75,22 @@ def write_batch(changes: DataFrame, batch: int, folder: str, check: Check | None
     delta_of_changes(booked).write.mode("overwrite").parquet(f"{folder}/deltas/batch={batch}")
     _publish(spark, folder, "deltas", batch)
     remove(spark, path)
+    if batch - _last(spark, folder, "sums") >= fold:
+        compact(spark, folder)
+
+
+def stock_rule(parts: DataFrame, folder: str, order: str, low: int = LOWEST, high: int = HIGHEST) -> Check:
+    """A check that refuses exactly the changes that would break the stock rule, in the order of ``order``.
+
+    The level that a batch starts from is the part table with all complete batches applied, which is what a replay of
+    the batch finds too; only the parts of the batch are looked up.
+    """
+
+    def check(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        own = parts.join(changes.select("anr").distinct(), "anr", "left_semi")
+        return guarded_changes(current_stock(parts.sparkSession, own, folder), changes, order, low, high)
+
+    return check
 
 
 def start(
@@ -115,6 +136,11 @@ def rejects(spark: SparkSession, folder: str) -> DataFrame | None:
     return _complete(spark, folder, "rejected")
 
 
+def refused(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Rows of the complete batches that the feed's check has refused; None before the first batch."""
+    return _complete(spark, folder, "failed")
+
+
 def compact(spark: SparkSession, folder: str) -> None:
     """Fold the complete batches into one sum per part, so that readers open few files.
 
