@@ -99,14 +99,15 @@ def guarded_changes(
     """Changes in their order, those that leave the stock rule kept, and those that do not.
 
     Both have ``stand``, the level that the change met. A refused change does not count for those behind it. Parts with
-    unknown stock, and parts that the table lacks, take every change. ``order`` must be unique for each part.
+    unknown stock, and parts that the table lacks, take every change. Changes of a part that share their ``order`` follow
+    each other by amount, the largest removal first, so a rerun judges alike.
 
     Parts whose running sums all keep the rule, nearly all of them, need Spark's window only. The others are folded in
     order by tasks that hold one level at a time, however many changes a part has.
     """
     amount = F.when(F.col("was") == "Insert", F.col("lmenge").cast("long")).otherwise(-F.col("lmenge").cast("long"))
     start = parts.select("anr", F.col("amenge").cast("long").alias("_start"))
-    earlier = Window.partitionBy("anr").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("anr").orderBy(order, "_amount").rowsBetween(Window.unboundedPreceding, -1)
     met = F.col("_start") + F.coalesce(F.sum("_amount").over(earlier), F.lit(0))
     placed = frozen(changes.withColumn("_amount", amount).join(start, "anr", "left").withColumn("stand", met))
     breaks = ~(F.col("stand") + F.col("_amount")).between(low, high)
@@ -129,7 +130,7 @@ def guarded_changes(
             yield pa.RecordBatch.from_arrays([*columns, pa.array(held, pa.bool_())], [*batch.schema.names, "_held"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
-    ordered = placed.join(tight, "anr", "left_semi").repartition("anr").sortWithinPartitions("anr", order)
+    ordered = placed.join(tight, "anr", "left_semi").repartition("anr").sortWithinPartitions("anr", order, "_amount")
     judged = frozen(calm.unionByName(ordered.mapInArrow(fold, f"{schema}, _held boolean")))
     names = [*changes.columns, "stand"]
     return judged.filter("_held").select(*names), judged.filter(~F.col("_held")).select(*names)

@@ -262,8 +262,8 @@ LINES = """
 #: Every change of a part in order, with the level that those before it have left.
 MET = f"""
     folge AS (
-        SELECT anr, list(CASE WHEN zugang THEN lmenge ELSE -lmenge END ORDER BY nr) AS wege, list(nr ORDER BY nr) AS nrn
-        FROM ({LINES}) GROUP BY anr),
+        SELECT anr, list(weg ORDER BY nr, weg) AS wege, list(nr ORDER BY nr) AS nrn
+        FROM (SELECT anr, nr, CASE WHEN zugang THEN lmenge ELSE -lmenge END AS weg FROM ({LINES})) GROUP BY anr),
     stufen AS (
         SELECT folge.*, unnest(generate_series(0, len(wege))) AS i, amenge FROM folge JOIN artikel USING (anr)),
     erreicht AS (
