@@ -301,6 +301,22 @@ def _(star):
     return division.covers_all_of(priorities(star), "kunde", "prioritaet", 7)
 
 
+@query("j23_covering_other_by_bits", """
+    WITH p AS (SELECT DISTINCT o_custkey AS kunde, o_orderpriority AS prioritaet FROM orders)
+    SELECT kunde FROM p WHERE kunde <> 7 AND prioritaet IN (SELECT prioritaet FROM p WHERE kunde = 7)
+    GROUP BY kunde HAVING count(*) = (SELECT count(*) FROM p WHERE kunde = 7)""")
+def _(star):
+    return division.covers_all_of_by_bits(priorities(star), "kunde", "prioritaet", 7)
+
+
+@query("j24_every_priority_by_bits", """
+    SELECT o_custkey AS kunde FROM orders GROUP BY o_custkey
+    HAVING list_unique(list(o_orderpriority)) = (SELECT count(DISTINCT o_orderpriority) FROM orders)""")
+def _(star):
+    pairs = priorities(star)
+    return division.divide_by_bits(pairs, "kunde", "prioritaet", pairs)
+
+
 @query("j24_customers_of_every_priority", """
     SELECT o_custkey AS kunde FROM orders GROUP BY o_custkey
     HAVING count(DISTINCT o_orderpriority) = (SELECT count(DISTINCT o_orderpriority) FROM orders)""")
@@ -318,6 +334,14 @@ def _(star):
     return division.with_every(pairs, "lnr", "marke", parts.select("marke").distinct())
 
 
+@query("j24_every_brand_by_bits", """
+    SELECT l_suppkey AS lnr FROM lineitem JOIN part ON p_partkey = l_partkey
+    GROUP BY l_suppkey HAVING list_unique(list(p_brand)) = (SELECT count(DISTINCT p_brand) FROM part)""")
+def _(star):
+    parts = star.raw("part").select(F.col("p_partkey").alias("anr"), F.col("p_brand").alias("marke"))
+    return division.divide_by_bits(star.lieferung.join(parts, "anr"), "lnr", "marke", parts)
+
+
 @query("j25_independent_conditions", """
     SELECT ldatum FROM lieferung JOIN lieferant USING (lnr) JOIN artikel USING (anr)
     WHERE lstadt = 'NATION_3' AND farbe IN ('red', 'blue')""")

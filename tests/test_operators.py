@@ -83,6 +83,34 @@ def test_division_matches_nested_not_exists(spark, pairs, wanted):
     found = sorted(r.c for r in division.divide(df, "c", "e", elements).collect())
     covers = lambda c: all(any(p == (c, w) and w is not None for p in pairs) for w in wanted)
     assert found == sorted({c for c, _ in pairs if covers(c)})
+    assert sorted(r.c for r in division.divide_by_bits(df, "c", "e", elements).collect()) == found
+
+
+def shuffled_rows(df):
+    """Rows that the finished plan of ``df`` has written to shuffles."""
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_division_by_bits_shuffles_words_not_pairs(spark):
+    """One candidate holds a third of all pairs; words of several hundred elements."""
+    pairs = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("c"), (F.col("id") % 700).alias("e"))
+    wanted = spark.range(700).select(F.col("id").alias("e"))
+    plain, bits = (build(pairs, "c", "e", wanted) for build in (division.divide, division.divide_by_bits))
+    assert shuffled_rows(bits) * 10 < shuffled_rows(plain)
+    assert sorted(r.c for r in bits.collect()) == sorted(r.c for r in plain.collect()) == [0]
 
 
 def test_written_keys_follow_the_broadcast_limit(spark):
