@@ -764,7 +764,7 @@ def _(star):
 
 @query("q5_unknown_table", "SELECT lnr AS nummer, lname AS namen, lstadt AS orte FROM lieferant WHERE FALSE")
 def _(star):
-    return objects.number_name_place(star, "zitrone")
+    return objects.number_name_place(star, "unbekannt")
 
 
 MONTH = """SELECT lnr AS lieferantennummer, lname AS lieferantenname, aname AS artikelname,

@@ -226,16 +226,16 @@ def _(star):
 
 
 @query("p8_searched_case", """
-    SELECT anr, CASE WHEN farbe = 'red' AND amenge > 1000 THEN 'toller Artikel'
-                     WHEN farbe = 'blue' AND amenge >= 950 THEN 'noch toller'
-                     ELSE 'auch toll' END AS bewertung FROM artikel""")
-def _(star):
-    rating = (
-        F.when(text.same_text("farbe", "red") & (F.col("amenge") > 1000), "toller Artikel")
-        .when(text.same_text("farbe", "blue") & (F.col("amenge") >= 950), "noch toller")
-        .otherwise("auch toll")
+    SELECT anr, CASE WHEN farbe = 'green' AND amenge < 950 THEN 'knapp'
+                     WHEN farbe = 'black' OR amenge >= 1000 THEN 'reichlich'
+                     ELSE 'ausreichend' END AS vorrat FROM artikel""")
+def _(star):
+    supply = (
+        F.when(text.same_text("farbe", "green") & (F.col("amenge") < 950), "knapp")
+        .when(text.same_text("farbe", "black") | (F.col("amenge") >= 1000), "reichlich")
+        .otherwise("ausreichend")
     )
-    return star.artikel.select("anr", rating.alias("bewertung"))
+    return star.artikel.select("anr", supply.alias("vorrat"))
 
 
 @query("p9_case_on_group", """

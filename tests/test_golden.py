@@ -186,7 +186,7 @@ def test_objects(star, rows, values):
     assert objects.deliveries_of(star, "Hamburg", 1990).count() == 9
     assert rows(objects.number_name_place(star, "Artikel"))[0] == ("A01", "Mutter", "Hamburg")
     assert objects.number_name_place(star).columns == ["nummer", "namen", "orte"]
-    assert objects.number_name_place(star, "zitrone").count() == 0
+    assert objects.number_name_place(star, "unbekannt").count() == 0
     by_name, by_number = objects.deliveries_in_month(star, "Juli"), objects.deliveries_in_month(star, 7)
     assert rows(by_name) == rows(by_number) and by_name.count() == 3
     assert objects.deliveries_in_month(star, "13").count() == 0
