@@ -252,3 +252,17 @@ def test_subquery_with_two_rows_fails(star):
     place = star.artikel.select("astadt").scalar()
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         star.lieferant.filter(F.col("lstadt") == place).collect()
+
+
+def test_sketched_levels_are_near_the_exact_counts(spark):
+    from depotflow.operators import grouping
+
+    df = spark.range(30000).selectExpr("id % 3 AS a", "id % 4 AS b", "id % 20011 AS x").unionByName(
+        spark.createDataFrame([(None, 1, None), (None, 1, 7)], "a long, b long, x long"))
+    for how in ("rollup", "cube"):
+        exact = {(r.a, r.b, r.g): r.n for r in getattr(df, how)("a", "b").agg(
+            F.countDistinct("x").alias("n"), F.grouping_id().alias("g")).collect()}
+        found = {(r.a, r.b, r.ebene): r.n for r in grouping.level_distinct(df, ["a", "b"], "x", "n", how).collect()}
+        assert found.keys() == exact.keys()
+        assert all(abs(found[key] - n) <= 0.08 * n for key, n in exact.items())
+        assert found[(None, 1, 0)] == 1
