@@ -2,15 +2,19 @@
 
 Vectors are dealt to overlapping shards by nearest pivots, again and again until every shard is small. Each shard builds
 a graph: every vector's nearest are pruned robustly, so that of several neighbours in one direction the nearest stays
-and far ones remain as long edges. The adjacency lists of all shards are united. Then the vectors of each shard search
-the graph together: the block starts at the medoids of the shards its vectors touch and fetches neighbours in rounds of
-joins. What a round fetches is compared with the whole block in double precision; it is expanded if it is among the
-nearest of some vector of the block so far, or within range of one. So the search goes on as long as the range grows.
-Found links are counted where they are found; of linked pairs only a spanning forest leaves a task.
+and far ones remain as long edges. Vectors that have a shard among their next nearest are linked into its graph where they
+are near a vector of it, so that pairs which a border parts still meet. The adjacency lists of all shards are united. Then the vectors of each shard search
+the graph together: the block starts at the medoids of the shards its vectors touch and at its own nodes, and fetches
+neighbours in rounds of joins. What a round fetches is compared with the whole block in double precision; it is expanded
+if it is within range of some vector of the block, or among the nearest of one so far and within reach of it. Edges know
+their length, so neighbours that the triangle inequality puts out of reach are not fetched. So the search goes on as long
+as the range grows, and a block fetches what is near it, however large the graph is. Found links are counted where they
+are found; of linked pairs only a spanning forest leaves a task.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 import numpy as np
@@ -26,7 +30,7 @@ LEAST = 0.95
 
 
 class Settings(NamedTuple):
-    """``shard``: most vectors in a shard. ``mean``: what a split aims at, before overlap. ``fan``: most pivots of a
+    """``shard``: most members of a shard; with its guests it may have four times as many rows. ``mean``: what a split aims at, before overlap. ``fan``: most pivots of a
     split. ``chunk``: rows of a shard that one task deals at a time. ``degree``, ``near``, ``alpha``: edges left by
     pruning, candidates it starts from, and how much nearer a kept neighbour must be to replace another. ``beam``: nearest
     of a vector that are expanded, in range or not. ``fetch``: nodes a block gets in one round; others wait.
@@ -45,10 +49,21 @@ class Settings(NamedTuple):
 
 #: One less the cosine of vectors that are all but equal.
 SAME = 1e-5
+#: A vector is member of the shards of its two nearest pivots, and guest in those of the next.
+MEMBER, NEAREST = 2, 4
+#: Edges at most between a guest and members, or a member and some thousand guests.
+MET = 4
 #: Vectors that the audit compares with all others.
 AUDITED = 512
-#: Recall below which the search is repeated with twice the beam, at most so many times.
+#: Recall below which the search is repeated without a reach, and then with twice the beam, at most so many times.
 RECALL, REPEATS = 0.97, 3
+#: A reach that leaves nothing out.
+ENDLESS = math.pi
+
+
+def narrow(least: float) -> float:
+    """Twice the angle of ``least``: as far may a vector be from what is within range of one it links with."""
+    return min(ENDLESS, 2 * math.acos(min(1.0, max(-1.0, least))))
 
 
 def usable(vector: str = "vec") -> Column:
@@ -71,7 +86,7 @@ def _deal(level: int):
     def deal(rows: pa.Table, pivots: pa.Table) -> pa.Table:
         # The last chunks may be empty by chance of the hash; pivots then come alone.
         if not rows.num_rows:
-            return rows.select(["point", "vec", "shard", "home"])
+            return rows.select(["point", "vec", "shard", "home", "member"])
         vectors, centres = _matrix(rows["vec"]), _matrix(pivots["vec"])
         points, places = rows["point"].to_numpy(), pivots["place"].to_numpy()
         centres = centres[np.argsort(places)]
@@ -79,38 +94,44 @@ def _deal(level: int):
         salt = mix(points.astype(np.uint64)[:, None] ^ mix(np.arange(len(centres), dtype=np.uint64) + np.uint64(level << 32))[None, :])
         near = vectors @ centres.T + (salt >> np.uint64(44)) * 1e-15
         first, home = near.argmax(axis=1), rows["home"].to_numpy(zero_copy_only=False)
-        # Only what is at home here goes to a second shard too, so a vector has one copy more for each level.
-        near[np.arange(len(points)), first] = -np.inf
-        twice = np.flatnonzero(home)
-        take, at = np.append(np.arange(len(points)), twice), np.append(first, near[twice].argmax(axis=1))
+        # Only what is at home here goes to further shards too, so a vector has three copies more for each level.
+        member, homes = rows["member"].to_numpy(zero_copy_only=False), np.flatnonzero(home)
+        further = np.argsort(-near[homes], axis=1)[:, 1:NEAREST]
+        take = np.append(np.arange(len(points)), np.repeat(homes, further.shape[1]))
+        at, ranks = np.append(first, further.ravel()), np.tile(np.arange(1, further.shape[1] + 1), len(homes))
         names = rows["shard"].take(pa.array(take)).to_pylist()
         return pa.table({
             "point": pa.array(points[take]), "vec": rows["vec"].take(pa.array(take)),
             "shard": pa.array([f"{name}.{n}" for name, n in zip(names, at.tolist(), strict=True)], pa.string()),
-            "home": pa.array(np.append(home, np.zeros(len(twice), dtype=bool)))})
+            "home": pa.array(np.append(home, np.zeros(len(ranks), dtype=bool))),
+            "member": pa.array(np.append(member, ranks < MEMBER))})
 
     return deal
 
 
 def sharded(points: DataFrame, settings: Settings) -> DataFrame:
-    """``point``, ``vec``, ``shard``, ``home``: every point in its home shard and in one more for each level of splits.
+    """``point``, ``vec``, ``shard``, ``home``, ``member``: every point in its home shard and, for each level of splits, a
+    member of one more and a guest of two.
 
     A shard that is too large is dealt by the nearest of ``fan`` of its own points, in chunks of bounded size; what is at
-    home in it goes to the second nearest too, so shards overlap along every border that a split has drawn.
+    home in it goes to the next nearest too, so shards overlap along every border that a split has drawn.
     """
     kind = points.schema["vec"].dataType.simpleString()
-    rows = points.select("point", "vec", F.size("vec").cast("string").alias("shard"), F.lit(True).alias("home"))
+    rows = points.select("point", "vec", F.size("vec").cast("string").alias("shard"), F.lit(True).alias("home"),
+                         F.lit(True).alias("member"))
     done, level = None, 0
     while True:
-        sizes = frozen(rows.groupBy("shard").agg(F.count("*").alias("n")))
-        small = rows.join(sizes.where(F.col("n") <= settings.shard).select("shard"), "shard").select(
-            "point", "vec", "shard", "home")
+        # Guests take part in no comparison of all with all, so they weigh a quarter.
+        sizes = frozen(rows.groupBy("shard").agg(F.count("*").alias("n"), F.greatest(
+            F.count_if("member"), F.ceil(F.count("*") / 4)).alias("weight")))
+        small = rows.join(sizes.where(F.col("weight") <= settings.shard).select("shard"), "shard").select(
+            "point", "vec", "shard", "home", "member")
         done = small if done is None else done.unionByName(small)
-        large = sizes.where(F.col("n") > settings.shard)
+        large = sizes.where(F.col("weight") > settings.shard)
         if large.isEmpty():
             return done
         large = large.select(
-            "shard", F.least(F.lit(settings.fan), F.ceil(F.col("n") / settings.mean)).alias("fan"),
+            "shard", F.least(F.lit(settings.fan), F.ceil(F.col("weight") / settings.mean)).alias("fan"),
             F.ceil(F.col("n") / settings.chunk).alias("chunks"))
         mine = rows.join(large, "shard").withColumn("chunk", F.pmod(F.xxhash64("point"), F.col("chunks")))
         drawn = Window.partitionBy("shard").orderBy(F.xxhash64("point", F.lit(level)), "point")
@@ -118,7 +139,7 @@ def sharded(points: DataFrame, settings: Settings) -> DataFrame:
             F.col("place") <= F.col("fan")).select(
             "shard", "place", "vec", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
         rows = frozen(mine.groupBy("shard", "chunk").cogroup(frozen(pivots).groupBy("shard", "chunk")).applyInArrow(
-            _deal(level), f"point long, vec {kind}, shard string, home boolean"))
+            _deal(level), f"point long, vec {kind}, shard string, home boolean, member boolean"))
         level += 1
 
 
@@ -156,15 +177,15 @@ def _nearest_first(alike: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return np.take_along_axis(ordered, np.argsort(far, axis=1, kind="stable"), axis=1)
 
 
-def graph_of(vectors: np.ndarray, settings: Settings) -> tuple[list[np.ndarray], int]:
-    """Neighbours of each vector of one shard, and the medoid."""
+def graph_of(vectors: np.ndarray, settings: Settings) -> tuple[list[np.ndarray], np.ndarray, int]:
+    """Neighbours of each vector of one shard, the cosines of all these edges in order, and the medoid."""
     n = len(vectors)
     alike = (vectors @ vectors.T).astype(np.float32)
     medoid = int((vectors @ vectors.sum(axis=0)).argmax())
     # Chance decides among vectors that are all but equal, so that edges lead all over a group of such.
     alike += np.random.default_rng(n).random(alike.shape, dtype=np.float32) * np.float32(SAME / 2)
     if n == 1:
-        return [np.zeros(0, dtype=np.int64)], 0
+        return [np.zeros(0, dtype=np.int64)], np.zeros(0, dtype=np.float32), 0
     near = min(settings.near, n - 1) + 1
     found = np.empty((n, near), dtype=np.int64)
     for a in range(0, n, 512):
@@ -184,19 +205,48 @@ def graph_of(vectors: np.ndarray, settings: Settings) -> tuple[list[np.ndarray],
     side = np.full((n, 2), -1)
     side[thread[1:], 0], side[thread[:-1], 1] = thread[:-1], thread[1:]
     whole = np.concatenate([both, side], axis=1)
-    return [np.unique(row[row >= 0]) for row in whole], medoid
-
-
-def _build(settings: Settings):
+    edges = [np.unique(row[row >= 0]) for row in whole]
+    return edges, alike[np.repeat(np.arange(n), [len(e) for e in edges]), np.concatenate(edges)], medoid
+
+
+def meetings(members: np.ndarray, guests: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members and guests that are near each other, with their cosines: the nearest of each that are not below ``least``."""
+    found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
+    for a in range(0, len(guests), 1024):
+        alike = members @ guests[a:a + 1024].T
+        close = np.zeros(alike.shape, dtype=bool)
+        for axis in (0, 1):
+            few = min(MET, alike.shape[axis])
+            nearest = np.take(np.argpartition(-alike, few - 1, axis=axis), np.arange(few), axis=axis)
+            np.put_along_axis(close, nearest, True, axis=axis)
+        member, guest = np.nonzero(close & (alike >= least))
+        found.append((member, guest + a, alike[member, guest]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _build(settings: Settings, least: float):
     def build(rows: pa.Table) -> pa.Table:
-        points = rows["point"].to_numpy()
-        order = np.argsort(points)
-        points = points[order]
-        edges, medoid = graph_of(_matrix(rows["vec"])[order], settings)
-        return pa.table({
+        points, member = rows["point"].to_numpy(), rows["member"].to_numpy(zero_copy_only=False)
+        order = np.lexsort((points, ~member))
+        points, vectors, n = points[order], _matrix(rows["vec"])[order], int(member.sum())
+        source = target = np.zeros(0, dtype=np.int64)
+        alike, medoid = np.zeros(0), -1
+        if n:
+            edges, alike, medoid = graph_of(vectors[:n], settings)
+            source, target = np.repeat(np.arange(n), [len(e) for e in edges]), np.concatenate(edges)
+            inside, guest, met = meetings(vectors[:n], vectors[n:], least)
+            source, target = np.concatenate([source, inside, guest + n]), np.concatenate([target, guest + n, inside])
+            alike = np.concatenate([alike, met, met])
+        by = np.argsort(source, kind="stable")
+        ends = pa.StructArray.from_arrays(
+            [pa.array(points[target[by]]), pa.array(alike[by].astype(np.float32))], ["node", "alike"])
+        bounds = np.searchsorted(source[by], np.arange(len(points) + 1))
+        built = pa.table({
             "shard": pa.array([rows["shard"][0].as_py()] * len(points), pa.string()), "point": pa.array(points),
-            "neighbours": pa.array([points[e] for e in edges], pa.list_(pa.int64())),
+            "neighbours": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), ends),
             "medoid": pa.array(np.arange(len(points)) == medoid)})
+        # Guests that have met nobody have nothing to say.
+        return built.filter(pa.array((np.arange(len(points)) < n) | (np.diff(bounds) > 0)))
 
     return build
 
@@ -207,28 +257,36 @@ class Graph(NamedTuple):
     starts: DataFrame  # block, node
 
 
-def build(points: DataFrame, settings: Settings) -> Graph:
+def build(points: DataFrame, settings: Settings, least: float = LEAST) -> Graph:
     """The united graph over ``points(point, vec, copies)``, the blocks of queries and where each block starts."""
     ship(points.sparkSession)
     shards = frozen(sharded(points, settings))
     local = frozen(shards.groupBy("shard").applyInArrow(
-        _build(settings), "shard string, point long, neighbours array<long>, medoid boolean"))
+        _build(settings, math.cos(narrow(least))), "shard string, point long, neighbours array<struct<node: long, alike: float>>, medoid boolean"))
     united = local.groupBy("point").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
     nodes = frozen(points.select("point", "vec", "copies").join(united, "point"))
     homes = shards.where("home").select("point", F.col("shard").alias("block"))
     medoids = local.where("medoid").select("shard", F.col("point").alias("node"))
-    starts = shards.select("point", "shard").join(homes, "point").select("block", "shard").distinct().join(
-        medoids, "shard").select("block", "node").distinct()
+    starts = shards.where("member").select("point", "shard").join(homes, "point").select("block", "shard").distinct().join(
+        medoids, "shard").select("block", "node").unionByName(homes.select("block", F.col("point").alias("node"))).distinct()
     return Graph(nodes, shards.where("home").select(F.col("shard").alias("block"), "point", "vec"), frozen(starts))
 
 
-def _visit(beam: int, least: float):
+def _angle(alike: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(alike, -1, 1))
+
+
+def _visit(beam: int, least: float, reach: float):
+    # Within rounding, as cosines of edges are single ones and a little raised by chance.
+    near = math.cos(reach) - SAME if reach < ENDLESS else -2.0
+
     def visit(queries: pa.Table, fetched: pa.Table) -> pa.Table:
         own, block = queries["point"].to_numpy(), queries["block"][0].as_py()
         vectors, nodes = _matrix(queries["vec"]), fetched["node"].to_numpy()
         best = np.array(queries["beam"].to_pylist(), dtype=np.float64).reshape(len(own), beam)
         counts = queries["links"].to_numpy().copy()
-        wide = np.zeros(len(nodes), dtype=bool)
+        # How far neighbours of each node may be from it; nothing is asked of nodes that are not expanded.
+        ask = np.full(len(nodes), -1.0)
         label = np.arange(len(own))
         edges = []
         copies = fetched["copies"].to_numpy()
@@ -241,7 +299,12 @@ def _visit(beam: int, least: float):
             before = best
             best = -np.sort(-np.concatenate([best, alike], axis=1), axis=1)[:, :beam]
             entered = (alike >= best[:, -1:]) & (alike > before[:, -1:])
-            wide[a:a + 1024] = entered.any(axis=0) | linked.any(axis=0) | np.isin(nodes[a:a + 1024], own)
+            # A node is expanded for the vectors it is near to, the own one among them; its neighbours are to be in reach
+            # of one of these, of which the farthest allows most.
+            served = linked | (entered & (alike >= near))
+            farthest = np.where(served, alike, 1.0).min(axis=0)
+            expanded = served.any(axis=0) | np.isin(nodes[a:a + 1024], own)
+            ask[a:a + 1024] = np.where(expanded, _angle(farthest) + reach, -1.0)
             for n in np.flatnonzero(linked.any(axis=0)):
                 at = np.flatnonzero(linked[:, n])
                 edges.append((own[at[0]], nodes[a + n]))
@@ -250,7 +313,13 @@ def _visit(beam: int, least: float):
                     label[np.isin(label, roots)] = roots[0]
         edges += [(own[root], own[n]) for n, root in enumerate(label.tolist()) if root != n]
         lists, vec = fetched["neighbours"].combine_chunks(), queries["vec"].combine_chunks()
-        asked = np.unique(lists.filter(pa.array(wide)).flatten().to_numpy(zero_copy_only=False)) if len(nodes) else []
+        asked = []
+        if len(nodes):
+            ends = lists.flatten()
+            allowed = np.repeat(ask, lists.value_lengths().to_numpy(zero_copy_only=False)) + SAME
+            # Lengths of tiny edges are lost in rounding of the cosine; SAME is a cosine, its angle covers that.
+            far = _angle(ends.field("alike").to_numpy(zero_copy_only=False).astype(np.float64))
+            asked = np.unique(ends.field("node").to_numpy(zero_copy_only=False)[far <= allowed])
         n, r, e = len(own), len(asked), len(edges)
         return pa.table({
             "block": pa.array([block] * (n + r + e), pa.string()),
@@ -264,8 +333,12 @@ def _visit(beam: int, least: float):
     return visit
 
 
-def search(graph: Graph, settings: Settings, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
-    """``point``, ``links`` (copies of other points within range) and ``a``, ``b``, a forest that spans the links."""
+def search(
+        graph: Graph, settings: Settings, least: float = LEAST, reach: float = ENDLESS) -> tuple[DataFrame, DataFrame]:
+    """``point``, ``links`` (copies of other points within range) and ``a``, ``b``, a forest that spans the links.
+
+    ``reach`` is an angle. Within it from a vector, nodes that are among its nearest are expanded, in range or not.
+    """
     kind = graph.nodes.schema["vec"].dataType.simpleString()
     state = graph.blocks.select(
         "block", "point", "vec", F.array_repeat(F.lit(float("-inf")), settings.beam).alias("beam"),
@@ -280,7 +353,7 @@ def search(graph: Graph, settings: Settings, least: float = LEAST) -> tuple[Data
         visited = now if visited is None else visited.unionByName(now)
         fetched = now.join(graph.nodes.withColumnRenamed("point", "node"), "node")
         step = frozen(state.groupBy("block").cogroup(fetched.groupBy("block")).applyInArrow(
-            _visit(settings.beam, least), "block string, kind string, point long, other long, "
+            _visit(settings.beam, least, reach), "block string, kind string, point long, other long, "
             f"vec {kind}, beam array<double>, links long"))
         state = step.where("kind = 'query'").select("block", "point", "vec", "beam", "links")
         found = step.where("kind = 'edge'").select(F.col("point").alias("a"), F.col("other").alias("b"))
@@ -325,8 +398,9 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST, settings: Setti
     its component is the smallest id there is in it, or null. Other columns are left alone. Very long vectors are only
     bounded by shards: some thousand of them are in a task at once.
 
-    The graph finds nearly all links, not surely all: recall is audited, and a search below 0.97 is repeated with twice
-    the beam, three times at most. A group of N different vectors that are all within range of each other costs
+    The graph finds nearly all links, not surely all: recall is audited. The first search reaches twice the angle of
+    ``least``; a search below 0.97 is repeated without that bound, and then with twice the beam, three times at most. A
+    group of N different vectors that are all within range of each other costs
     N*N/1000 fetched rows, as each block of some thousand must see each of them.
     """
     ship(embeddings.sparkSession)
@@ -337,9 +411,9 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST, settings: Setti
         found, edges, recall = None, None, 1.0
         linked = points.select("vec", F.lit(0).cast("long").alias("n_links"), F.col("least_id").alias("component_id"))
     else:
-        graph = build(points, settings)
-        for repeat in range(REPEATS + 1):
-            found, edges = search(graph, settings._replace(beam=settings.beam << repeat), least)
+        graph = build(points, settings, least)
+        for beam, reach in [(settings.beam, narrow(least)), *((settings.beam << n, ENDLESS) for n in range(REPEATS + 1))]:
+            found, edges = search(graph, settings._replace(beam=beam), least, reach)
             recall = audit(points, found, least)
             if recall >= RECALL:
                 break

@@ -73,6 +73,38 @@ def test_many_shards_beside_brute_force(spark):
     assert all(r.n_links <= truth[r.vec_id][1] and r.component_id >= truth[r.vec_id][2] for r in result.collect())
 
 
+def test_blocks_fetch_what_is_near_them_alone(spark, monkeypatch):
+    """Random vectors have no neighbours to speak of, so a block has no business in most of the graph."""
+    draw = np.random.default_rng(6)
+    vectors = draw.normal(size=(1000, 24))
+    vectors = np.concatenate([vectors, vectors[:150] + draw.normal(size=(150, 24)) * 0.1])
+    rows = [(n, v.tolist()) for n, v in enumerate(vectors)]
+    fetched, plain = spark.sparkContext.accumulator(0), neighbours._visit
+
+    def counted(*args):
+        visit = plain(*args)
+
+        def count(queries, nodes):
+            fetched.add(nodes.num_rows)
+            return visit(queries, nodes)
+
+        return count
+
+    monkeypatch.setattr(neighbours, "_visit", counted)
+    result = found(near_duplicates(embeddings(spark, rows), settings=SMALL))
+    linked = sum(r[1] for r in brute(rows))
+    assert linked >= 250 and sum(r[1] for r in result) >= 0.97 * linked
+    assert fetched.value < 8 * len(rows)
+
+
+def test_guests_meet_members_that_are_near():
+    angles = np.array([0.0, 0.5, 1.0]), np.array([0.52, 3.0])
+    members, guests = (np.stack([np.cos(a), np.sin(a)], axis=1) for a in angles)
+    member, guest, alike = neighbours.meetings(members, guests, math.cos(0.3))
+    assert (member.tolist(), guest.tolist()) == ([1], [0]) and np.allclose(alike, math.cos(0.02))
+    assert not len(neighbours.meetings(members, guests[:0], 0.5)[0])
+
+
 def test_audit_sees_what_a_search_has_missed(spark):
     rows = clustered(4, 60)
     points = embeddings(spark, rows).selectExpr("vec_id AS point", "embedding AS vec", "1L AS copies")
