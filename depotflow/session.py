@@ -78,12 +78,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
-def frozen(df: DataFrame) -> DataFrame:
+def frozen(df: DataFrame, path: str | None = None) -> DataFrame:
     """Compute ``df`` once into a table of the shared folder and go on from there.
 
     Later jobs all see the same rows, read only the columns they need, and lose nothing with an
     executor. The files have true sizes, so joins with the table follow Spark's own broadcast limit.
+    ``path`` is a folder from ``shared_folder``, if one made before a ``scratch`` block is to outlast it.
     """
-    path = shared_folder(df.sparkSession, "frozen")
+    path = path or shared_folder(df.sparkSession, "frozen")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 import pyarrow as pa
 
+from depotflow import session
 from depotflow.llm import passages
 from depotflow.llm.words import slices
 from tests.llm.helpers import awkward_rows, documents, plain, sentence, words
@@ -79,6 +80,34 @@ def test_kept_texts(spark):
     assert texts == {1: "begin end", 2: "other"}
 
 
+def test_texts_that_share_short_runs_alone_are_no_candidates(spark):
+    """Runs of nine words recur, but no window does, so nothing of these texts is written or moved again."""
+    draw = random.Random(3)
+    shared = [sentence(draw, 9) for _ in range(6)]
+    rows = [(n, " ".join(f"{sentence(draw, 40)} {run}" for run in shared)) for n in range(8)]
+    docs = plain(spark, rows)
+    assert not passages._marked(passages._keyed(docs, "doc_id", "text")).count()
+    assert found(docs) == brute(rows)
+
+
+def test_tables_on_the_way_do_not_stay(spark):
+    passage = sentence(random.Random(4), 80)
+    rows = [(1, passage), (2, f"some {passage} more"), (3, " ".join(passage.split(" ")[10:60])), (4, "short")]
+    before = set(session._folders)
+    result = passages.dedup(plain(spark, rows))
+    # The candidates' texts and the repeated windows, which the result still reads.
+    assert len(set(session._folders) - before) == 2
+    assert sorted((tuple(r) for r in result.collect()), key=repr) == brute(rows)
+
+
+def test_spans_shared_by_some_places_of_an_anchor(spark):
+    """Copies whose passages agree around an anchor for a while: each span is had by two texts, the anchor by four."""
+    draw = random.Random(8)
+    core, one, two = sentence(draw, 50), sentence(draw, 60), sentence(draw, 60)
+    rows = [(n, f"{sentence(draw, 20)} {core} {tail} {sentence(draw, 20)}") for n, tail in enumerate([one, one, two, two, ""])]
+    assert found(plain(spark, rows)) == brute(rows)
+
+
 def test_empty_table(spark):
     assert found(documents(spark, [])) == []
 
